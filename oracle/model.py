@@ -67,7 +67,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         """SELECT c_custkey * 2 + s AS address_id, c_custkey AS customer_id,
                   CASE WHEN s = 0 THEN 'DELIVERY' ELSE 'BOTH' END AS kind,
                   lpad((c_custkey * 12345679 % 100000000)::VARCHAR, 8, '0') AS postcode,
-                  (c_nationkey + s) % 25 * 10 + c_custkey % 10 AS city_id,
+                  'Street ' || (c_custkey % 997) AS street, (1 + c_custkey % 500)::VARCHAR AS number,
+                  'District ' || (c_custkey % 13) AS district, (c_nationkey + s) % 25 * 10 + c_custkey % 10 AS city_id,
                   s = 1 OR c_custkey % 4 <> 0 AS principal
            FROM customer, range(2) AS r(s) WHERE s = 0 OR c_custkey % 3 = 0""",
         (),

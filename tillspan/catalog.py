@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType, TimestampType
 
-from tillspan.operators import lookups, reports, views
+from tillspan.operators import extras, jobs, lookups, matching, quality, reports, rules, views
+from tillspan.operators.checkout import Checkout, checkout
+from tillspan.functions.dates import instant
 from tillspan.sources.star import AS_OF
 from tillspan.sources.tables import Retail
 
@@ -34,6 +36,37 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*[plain(field) for field in df.schema.fields])
 
 
+def _checkout(t: Retail) -> Checkout:
+    return checkout(t.checkout_requests, t.carts, t.products, t.addresses, t.coupons, t.order_status)
+
+
+def _status_changes(t: Retail) -> jobs.StatusChanges:
+    return jobs.apply_status_changes(t.status_requests, t.orders, t.order_items, t.order_status)
+
+
+def _deletes(t: Retail) -> jobs.DeletePlan:
+    return jobs.plan_deletes(
+        t.customers.select("customer_id"), t.customers, t.orders, t.addresses, t.reviews, t.carts
+    )
+
+
+# Nullable columns the derived tables leave empty in part; checked as if they were required.
+ALSO_REQUIRED = {
+    "customers": ["tax_id"],
+    "products": ["franchise"],
+    "orders": ["coupon_code", "payment_ts"],
+    "order_items": ["unit_discount"],
+    "carts": ["customer_id"],
+    "coupons": ["max_uses"],
+}
+
+COUNTED = (
+    "customers", "products", "addresses", "orders", "order_items", "reviews", "categories", "states", "cities",
+    "carts", "coupons", "payment_methods", "order_status",
+)
+
+ITEM_SEQUENCE = ("item_id", "qty", "unit_price", "unit_discount", "subtotal")
+
 _BUILD: dict[str, Callable[[Retail], DataFrame]] = {
     "r01_sales_detail": lambda t: reports.sales_detail(t, "1997-01-01", "1998-01-01"),
     "r02_best_sellers": lambda t: reports.best_sellers(t),
@@ -56,6 +89,65 @@ _BUILD: dict[str, Callable[[Retail], DataFrame]] = {
     "t02_top_products": lambda t: lookups.top_products(t),
     "t02_top_products_franchise": lambda t: lookups.top_products(t, franchise="Brand#12"),
     "t03_daily_revenue": lambda t: lookups.daily_revenue(t, "1995-01-01", AS_OF),
+    "c01_clean_customers": lambda t: rules.clean_customers(t.customers, AS_OF),
+    "c02_price_list": lambda t: rules.price_list(t.products),
+    "c03_check_availability": lambda t: rules.check_availability(t.carts, t.products),
+    "c04_quote_freight": lambda t: rules.quote_freight(t.freight_requests),
+    "c05_apply_coupons": lambda t: rules.apply_coupons(t.orders, t.coupons, AS_OF).select(
+        "order_id", "coupon_code", "subtotal", "coupon_discount"
+    ),
+    "j01_checkout_orders": lambda t: _checkout(t).orders,
+    "j01_checkout_items": lambda t: _checkout(t).items,
+    "j01_checkout_stock_deltas": lambda t: _checkout(t).stock_deltas,
+    "j01_checkout_coupon_use": lambda t: _checkout(t).coupon_use,
+    "j01_checkout_history": lambda t: _checkout(t).history,
+    "j01_checkout_carts": lambda t: _checkout(t).carts,
+    "j01_checkout_rejects": lambda t: _checkout(t).rejects,
+    "j02_status_orders": lambda t: _status_changes(t).orders.select(
+        "order_id", "status_id", "payment_ts", "shipping_ts", "delivery_ts"
+    ),
+    "j02_status_history": lambda t: _status_changes(t).history,
+    "j02_status_restock": lambda t: _status_changes(t).restock,
+    "j02_status_rejects": lambda t: _status_changes(t).rejects,
+    "j03_upsert_cart_lines": lambda t: jobs.upsert_cart(t.cart_adds, t.carts, t.products).carts,
+    "j03_upsert_cart_rejects": lambda t: jobs.upsert_cart(t.cart_adds, t.carts, t.products).rejects,
+    "j04_replenish_products": lambda t: jobs.replenish(t.replenish_requests, t.products).products.select(
+        "product_id", "stock", "updated_at"
+    ),
+    "j04_replenish_audit": lambda t: jobs.replenish(t.replenish_requests, t.products).audit,
+    "j04_replenish_rejects": lambda t: jobs.replenish(t.replenish_requests, t.products).rejects,
+    "j05_change_log": lambda t: jobs.change_log(
+        t.products_old, t.products_new, "product_id", "products", ignore=("updated_at",)
+    ),
+    "j06_low_stock_alerts": lambda t: jobs.low_stock_alerts(t.products_old, t.products_new),
+    "j07_item_subtotals": lambda t: jobs.item_subtotals(t.order_items),
+    "j08_plan_deletes_customers": lambda t: _deletes(t).customers.select("customer_id", "name"),
+    "j08_plan_deletes_addresses": lambda t: _deletes(t).addresses.select("address_id", "customer_id"),
+    "j08_plan_deletes_refusals": lambda t: _deletes(t).refusals,
+    "j09_stamp_updates": lambda t: jobs.stamp_updates(t.products_old, t.products_new, "product_id", instant(AS_OF)),
+    "j10_merge_items": lambda t: jobs.merge_items(t.order_items, ITEM_SEQUENCE),
+    "j11_dedupe_reviews": lambda t: jobs.dedupe_reviews(t.review_submissions).select(
+        "review_id", "product_id", "customer_id", "rating", "approved", "created_at"
+    ),
+    "j12_backfill_status_history": lambda t: jobs.backfill_status_history(t.orders),
+    "j13_assign_delivery_address": lambda t: jobs.assign_delivery_address(t.orders, t.addresses).select(
+        "order_id", "customer_id", "address_id"
+    ),
+    "d01_check_unique": lambda t: quality.all_unique(t),
+    "d02_check_references": lambda t: quality.all_references(t),
+    "d03_check_rules": lambda t: quality.all_rules(t),
+    "d04_check_required": lambda t: quality.all_required(t, ALSO_REQUIRED),
+    "d05_table_counts": lambda t: quality.table_counts(t, COUNTED),
+    "l04_name_matches": lambda t: matching.name_matches(t.products, t.products, 0.4),
+    "l04_name_matches_customers": lambda t: matching.name_matches(t.customers, t.customers, 0.9),
+    "x01_stock_by_category_franchise": lambda t: extras.stock_by_category_franchise(t),
+    "x02_pending_orders_by_region": lambda t: extras.pending_orders_by_region(t),
+    "x03_category_performance": lambda t: extras.category_performance(t),
+    "x04_top_rated_products": lambda t: extras.top_rated_products(t),
+    "x05_product_rank_in_category": lambda t: extras.product_rank_in_category(t),
+    "x06_franchise_sales": lambda t: extras.franchise_sales(t, 1_000_000),
+    "x07_reviews_per_product": lambda t: extras.reviews_per_product(t),
+    "x08_customers_by_level": lambda t: extras.customers_by_level(t),
 }
 
 

@@ -97,27 +97,35 @@ def top_rated_products(t: Retail, min_reviews: int = 1, limit: int = 20) -> Data
 def product_rank_in_category(t: Retail) -> DataFrame:
     """Rank of every sold product by revenue inside its category.
 
-    A category may hold most of the catalogue, so the rank is not taken by one window per category. Products
-    are counted by (category, revenue) first; a running count over bands of revenue gives what lies above.
+    A category may hold most of the catalogue, so no window runs over a whole category. Products are counted
+    per (category, revenue), then per band of revenue; the bands above and the values above inside the band
+    add up to the rank.
     """
     sold = t.products.select("product_id", F.col("name").alias("product"), "category_id").join(
         _sales_by_product(t), "product_id"
     )
     band = F.floor(F.log2(F.greatest(F.col("revenue"), F.lit(1)).cast("double")) * 64)
-    banded = sold.withColumn("_band", band)
-    sizes = banded.groupBy("category_id", "_band").agg(F.count(F.lit(1)).alias("n"))
-    above = Window.partitionBy("category_id").orderBy(F.col("_band").desc()).rowsBetween(
+    values = (
+        sold.groupBy("category_id", "revenue").agg(F.count(F.lit(1)).alias("n")).withColumn("_band", band)
+    )
+    bands = values.groupBy("category_id", "_band").agg(F.sum("n").alias("n"))
+    higher_bands = Window.partitionBy("category_id").orderBy(F.col("_band").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    higher_values = Window.partitionBy("category_id", "_band").orderBy(F.col("revenue").desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sizes.select("category_id", "_band", zero_if_null(F.sum("n").over(above)).alias("above"))
-    inside = Window.partitionBy("category_id", "_band").orderBy(F.col("revenue").desc())
+    above = bands.select("category_id", "_band", zero_if_null(F.sum("n").over(higher_bands)).alias("_above"))
+    ranks = (
+        values.withColumn("_inside", zero_if_null(F.sum("n").over(higher_values)))
+        .join(above, ["category_id", "_band"])
+        .select("category_id", "revenue", (F.col("_above") + F.col("_inside") + 1).alias("category_rank"))
+    )
     return (
-        banded.withColumn("_rank", F.rank().over(inside))
-        .join(offsets, ["category_id", "_band"])
+        sold.join(ranks, ["category_id", "revenue"])
         .join(category_names(t), "category_id")
         .select(
-            "category", "product_id", "product", F.col("units").alias("units_sold"), "revenue",
-            (F.col("above") + F.col("_rank")).alias("category_rank"),
+            "category", "product_id", "product", F.col("units").alias("units_sold"), "revenue", "category_rank"
         )
     )
 

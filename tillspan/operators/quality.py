@@ -102,9 +102,11 @@ def all_rules(t: Retail) -> DataFrame:
     ])
 
 
-def all_required(t: Retail) -> DataFrame:
+def all_required(t: Retail, also: dict[str, list[str]] | None = None) -> DataFrame:
+    """The declared required columns, and those in `also`."""
+    also = also or {}
     return _union([
-        check_required(getattr(t, name), columns, f"{name}.")
+        check_required(getattr(t, name), columns + also.get(name, []), f"{name}.")
         for name, columns in REQUIRED.items() if name in t.names()
     ])
 

@@ -38,6 +38,7 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
             "order_items": lambda: _order_items(raw),
             "carts": lambda: _carts(raw),
             "reviews": lambda: _reviews(raw),
+            "review_submissions": lambda: _review_submissions(raw),
             "coupons": lambda: _coupons(raw),
             "products_old": lambda: _products_old(raw),
             "products_new": lambda: _products_new(raw),
@@ -264,21 +265,29 @@ def _carts(raw) -> DataFrame:
     )
 
 
+REVIEW_COLUMNS = (
+    "review_id",
+    "k as product_id",
+    "user_id as customer_id",
+    "cast(1 + review_id % 5 as int) as rating",
+    "cast(null as string) as title",
+    "cast(null as string) as comment",
+    "review_id % 10 <> 0 as recommends",
+    "review_id % 7 <> 0 as approved",
+    "created_at",
+)
+
+
+def _review_submissions(raw) -> DataFrame:
+    sent = _events(raw, "view").withColumnsRenamed({"event_id": "review_id", "ts": "created_at"})
+    return sent.selectExpr(*REVIEW_COLUMNS)
+
+
 def _reviews(raw) -> DataFrame:
     firsts = _events(raw, "view").groupBy("k", "user_id").agg(
         F.min("event_id").alias("review_id"), F.min_by("ts", "event_id").alias("created_at")
     )
-    return firsts.selectExpr(
-        "review_id",
-        "k as product_id",
-        "user_id as customer_id",
-        "cast(1 + review_id % 5 as int) as rating",
-        "cast(null as string) as title",
-        "cast(null as string) as comment",
-        "review_id % 10 <> 0 as recommends",
-        "review_id % 7 <> 0 as approved",
-        "created_at",
-    )
+    return firsts.selectExpr(*REVIEW_COLUMNS)
 
 
 def _coupons(raw) -> DataFrame:
