@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType, TimestampType
 
 from tillspan.operators import extras, jobs, lookups, matching, quality, reports, rules, views
 from tillspan.operators.checkout import Checkout, checkout
 from tillspan.functions.dates import instant
-from tillspan.sources.star import AS_OF
+from tillspan.plans.lineage import run_dir
+from tillspan.sources.star import AS_OF, star_retail, star_streams
 from tillspan.sources.tables import Retail
+from tillspan.streaming.changes import ChangeLog, stream_change_log
+from tillspan.streaming.revenue import stream_daily_revenue
+from tillspan.streaming.run import drained
+from tillspan.streaming.stock import stream_low_stock, use_state_store
 
 SINCE = "1998-01-01"
 COHORTS_SINCE = "1996-01-01"
@@ -151,8 +156,45 @@ _BUILD: dict[str, Callable[[Retail], DataFrame]] = {
 }
 
 
-def _named(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
-    return lambda t: present(build(t))
+# Streaming queries need the session and the folder, not only the tables.
+def _stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = run_dir(spark, "daily-revenue")
+    stream = stream_daily_revenue(star_streams(spark, sf_dir).orders, star_retail(spark, sf_dir).order_status)
+    return drained(stream, f"{out}/result", f"{out}/checkpoint")
 
 
-QUERIES: dict[str, Callable[[Retail], DataFrame]] = {name: _named(build) for name, build in _BUILD.items()}
+def _stream_low_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_state_store(spark)
+    out = run_dir(spark, "low-stock")
+    stream = stream_low_stock(star_streams(spark, sf_dir).stock_deltas, star_retail(spark, sf_dir).products)
+    return drained(stream, f"{out}/result", f"{out}/checkpoint")
+
+
+def _stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = run_dir(spark, "change-log")
+    old = star_retail(spark, sf_dir).products_old
+    log = ChangeLog(out, old.schema, "product_id", "products", ignore=("updated_at",))
+    log.start(old)
+    entries = stream_change_log(star_streams(spark, sf_dir).product_feed, log, f"{out}/checkpoint")
+    return entries.drop("batch")
+
+
+_STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "s01_stream_daily_revenue": _stream_daily_revenue,
+    "s02_stream_low_stock": _stream_low_stock,
+    "s03_stream_change_log": _stream_change_log,
+}
+
+
+def _on_tables(build: Callable[[Retail], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: present(build(star_retail(spark, sf_dir)))
+
+
+def _on_streams(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: present(build(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{name: _on_tables(build) for name, build in _BUILD.items()},
+    **{name: _on_streams(build) for name, build in _STREAMS.items()},
+}

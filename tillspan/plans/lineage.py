@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,8 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder in shared storage for one run of a job."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

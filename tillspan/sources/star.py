@@ -22,6 +22,23 @@ def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(star_schema_of(name)).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of files: `<name>.parquet`, and further files whose names start with it."""
+    reader = spark.readStream.schema(star_schema_of(name)).option("pathGlobFilter", f"{name}*.parquet")
+    return reader.parquet(sf_dir)
+
+
+def star_streams(spark: SparkSession, sf_dir: str) -> Retail:
+    raw = partial(stream_star, spark, sf_dir)
+    return Retail(
+        {
+            "orders": lambda: _orders(raw),
+            "stock_deltas": lambda: _stock_deltas(raw),
+            "product_feed": lambda: _product_feed(raw),
+        }
+    )
+
+
 def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
     raw = partial(read_star, spark, sf_dir)
     return Retail(
@@ -42,6 +59,7 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
             "coupons": lambda: _coupons(raw),
             "products_old": lambda: _products_old(raw),
             "products_new": lambda: _products_new(raw),
+            "product_feed": lambda: _product_feed(raw),
             "checkout_requests": lambda: _checkout_requests(raw),
             "status_requests": lambda: _status_requests(raw),
             "cart_adds": lambda: _cart_adds(raw),
@@ -341,6 +359,16 @@ def _products_new(raw) -> DataFrame:
     )
 
 
+def _product_feed(raw) -> DataFrame:
+    """The newer snapshot as row versions; a product that took a new key also sends a deletion of the old one."""
+    versions = _products_new(raw).withColumn(
+        "gone",
+        F.expr(f"explode(case when product_id >= {RENUMBERED} then array(false, true) else array(false) end)"),
+    )
+    key = f"case when gone then product_id - {RENUMBERED} else product_id end as product_id"
+    return versions.selectExpr(key, *SNAPSHOT_COLUMNS[1:], "gone as deleted", "cast(0 as bigint) as seq")
+
+
 def _checkout_requests(raw) -> DataFrame:
     return _events(raw, "purchase").selectExpr(
         "event_id as request_id",
