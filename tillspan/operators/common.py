@@ -35,10 +35,13 @@ def not_void(orders: DataFrame, t: Retail, void: tuple[str, ...]) -> DataFrame:
     return orders.join(kept, "status_id", "left_semi")
 
 
-def top_per_key(df: DataFrame, keys: list[str], count: str, name: str, alias: str) -> DataFrame:
-    """The most frequent name per key, ties to the lowest name; a plain aggregate, so it combines map-side."""
-    best = F.min(F.struct((-F.col(count)).alias("n"), F.col(name).alias("name")))
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best.name").alias(alias))
+def most_frequent(count: str, name: str) -> Column:
+    """Aggregate: the name with the highest count, ties to the lowest name; names that are NULL do not take part.
+
+    A plain aggregate over (key, name) counts, so it combines map-side where a window would sort whole keys.
+    """
+    pair = F.struct((-F.col(count)).alias("n"), F.col(name).alias("name"))
+    return F.min(F.when(F.col(name).isNotNull(), pair))["name"]
 
 
 def count_when(condition: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql.types import DecimalType
 
 from tillspan.functions.dates import DateLike, day_after
 from tillspan.functions.numbers import ratio, zero_if_null
-from tillspan.operators.common import category_names, status_ids, top_per_key
+from tillspan.operators.common import category_names, most_frequent, status_ids
 from tillspan.sources.statuses import VOID
 from tillspan.sources.tables import Retail, in_period
 
@@ -21,25 +21,25 @@ def customer_stats(t: Retail) -> DataFrame:
         F.min("order_ts").alias("first"),
         F.max("order_ts").alias("last"),
     )
-    totals = by_status.groupBy("customer_id").agg(
+    names = t.order_status.select("status_id", F.col("name").alias("status"))
+    totals = by_status.join(names, "status_id", "left").groupBy("customer_id").agg(
         F.sum("n").alias("orders"),
         F.sum("spent").cast(DecimalType(28, 2)).alias("spent"),
         F.min("first").cast("date").alias("first_order"),
         F.max("last").cast("date").alias("last_order"),
+        most_frequent("n", "status").alias("usual_status"),
     )
-    names = t.order_status.select("status_id", F.col("name").alias("status"))
-    usual = top_per_key(by_status.join(names, "status_id"), ["customer_id"], "n", "status", "usual_status")
-    bought = (
+    favourite = (
         t.order_items.select("order_id", "product_id")
         .join(t.orders.select("order_id", "customer_id"), "order_id")
         .join(t.products.filter("franchise is not null").select("product_id", "franchise"), "product_id")
         .groupBy("customer_id", "franchise")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("customer_id")
+        .agg(most_frequent("n", "franchise").alias("favourite_franchise"))
     )
-    favourite = top_per_key(bought, ["customer_id"], "n", "franchise", "favourite_franchise")
     return (
         totals.join(t.customers.select("customer_id", "level", "xp"), "customer_id")
-        .join(usual, "customer_id", "left")
         .join(favourite, "customer_id", "left")
         .select(
             "customer_id", "orders", F.col("spent").alias("total_spent"),

@@ -25,10 +25,10 @@ from tillspan.operators.common import (
     add_place,
     category_names,
     count_when,
+    most_frequent,
     not_void,
     status_ids,
     sum_when,
-    top_per_key,
     with_place,
 )
 from tillspan.plans.joins import broadcast_limited
@@ -68,27 +68,30 @@ def sales_detail(t: Retail, start: DateLike, end: DateLike, ordered: bool = True
 def best_sellers(t: Retail, limit: int = 100) -> DataFrame:
     """Active products by units sold, with revenue, delivered orders and approved ratings.
 
-    The ranking needs item quantities only. Delivered orders and ratings are then looked up for the products
-    that made the list, so the join of items with orders moves their rows alone.
+    The ranking needs quantities only, which combine before the shuffle. Everything else is then looked up for
+    the products that made the list, so the join of items with orders moves their rows alone. The list is used
+    more than once; Spark computes its quantities once, as all uses shuffle the same columns.
     """
-    sales = t.order_items.groupBy("product_id").agg(
-        F.sum("qty").alias("units"), F.sum("subtotal").alias("sales")
-    )
-    listed = (
+    ranked = (
         t.products.filter("active")
         .select("product_id", "category_id", F.col("name").alias("product"), "sku", "price", "stock")
         .join(category_names(t), "category_id")
-        .join(sales, "product_id", "left")
-        .orderBy(F.col("units").desc_nulls_last(), "product_id")
-        .limit(limit)
+        .join(t.order_items.groupBy("product_id").agg(F.sum("qty").alias("units")), "product_id", "left")
     )
+    best_first = [F.col("units").desc_nulls_last(), F.col("product_id")]
+    listed = ranked.orderBy(*best_first).limit(limit)
     ids = broadcast_limited(listed.select("product_id"), limit)
-    delivered = (
-        t.order_items.select("order_id", "product_id")
+    delivered = t.orders.join(status_ids(t, DELIVERED), "status_id", "left_semi").select(
+        "order_id", F.lit(1).alias("delivered")
+    )
+    sales = (
+        t.order_items.select("order_id", "product_id", "subtotal")
         .join(ids, "product_id", "left_semi")
-        .join(t.orders.join(status_ids(t, DELIVERED), "status_id", "left_semi").select("order_id"), "order_id")
+        .groupBy("product_id", "order_id")
+        .agg(F.sum("subtotal").alias("sales"))
+        .join(delivered, "order_id", "left")
         .groupBy("product_id")
-        .agg(F.countDistinct("order_id").alias("delivered"))
+        .agg(F.sum("sales").cast(DecimalType(28, 2)).alias("sales"), F.count("delivered").alias("delivered"))
     )
     ratings = (
         t.reviews.filter("approved")
@@ -97,9 +100,9 @@ def best_sellers(t: Retail, limit: int = 100) -> DataFrame:
         .agg(F.sum("rating").alias("rated"), F.count(F.lit(1)).alias("n"))
     )
     return (
-        listed.join(delivered, "product_id", "left")
+        listed.join(sales, "product_id", "left")
         .join(ratings, "product_id", "left")
-        .orderBy(F.col("units").desc_nulls_last(), "product_id")
+        .orderBy(*best_first)
         .select(
             "product_id", "category", "product", "sku", "price",
             zero_if_null(F.col("units")).alias("units_sold"),
@@ -113,27 +116,27 @@ def best_sellers(t: Retail, limit: int = 100) -> DataFrame:
 
 
 def vip_customers(t: Retail, as_of: DateLike, limit: int = 50) -> DataFrame:
-    """Active customers by total spent. Items are only read for the orders of those who made the list."""
-    spent = t.orders.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("total").alias("spent"),
-        F.min("order_ts").alias("first_order"),
-        F.max("order_ts").alias("last_order"),
-    )
-    listed = (
+    """Active customers by total spent. Orders are summed for the ranking; all else is read for those listed."""
+    ranked = (
         t.customers.filter("active")
         .select("customer_id", "name", "email", "birth_date", "created_at")
-        .join(spent, "customer_id", "left")
-        .orderBy(F.col("spent").desc_nulls_last(), "customer_id")
-        .limit(limit)
+        .join(t.orders.groupBy("customer_id").agg(F.sum("total").alias("spent")), "customer_id", "left")
     )
+    most_first = [F.col("spent").desc_nulls_last(), F.col("customer_id")]
+    listed = ranked.orderBy(*most_first).limit(limit)
     ids = broadcast_limited(listed.select("customer_id"), limit)
-    bought = (
-        t.orders.select("order_id", "customer_id")
-        .join(ids, "customer_id", "left_semi")
-        .join(t.order_items.select("order_id", "product_id"), "order_id")
+    # Only the listed customers' orders and items get here, so two distinct counts side by side are cheap.
+    habits = (
+        t.orders.join(ids, "customer_id", "left_semi")
+        .select("order_id", "customer_id", "order_ts")
+        .join(t.order_items.select("order_id", "product_id"), "order_id", "left")
         .groupBy("customer_id")
-        .agg(F.countDistinct("product_id").alias("kinds"))
+        .agg(
+            F.countDistinct("order_id").alias("n"),
+            F.countDistinct("product_id").alias("kinds"),
+            F.min("order_ts").alias("first_order"),
+            F.max("order_ts").alias("last_order"),
+        )
     )
     homes = (
         t.addresses.filter("principal")
@@ -143,9 +146,9 @@ def vip_customers(t: Retail, as_of: DateLike, limit: int = 50) -> DataFrame:
     )
     homes = add_place(homes, t).select("customer_id", F.concat("city", F.lit("/"), "state").alias("main_city"))
     return (
-        listed.join(homes, "customer_id", "left")
-        .join(bought, "customer_id", "left")
-        .orderBy(F.col("spent").desc_nulls_last(), "customer_id")
+        listed.join(habits, "customer_id", "left")
+        .join(homes, "customer_id", "left")
+        .orderBy(*most_first)
         .select(
             "customer_id", "name", "email", "birth_date", age_on(F.col("birth_date"), as_of).alias("age"),
             "main_city",
@@ -161,9 +164,7 @@ def vip_customers(t: Retail, as_of: DateLike, limit: int = 50) -> DataFrame:
 
 def _order_category_lines(t: Retail) -> DataFrame:
     """Sales per order and category: one row of ids and sums, still partitioned by order after the join."""
-    goods = t.products.select("product_id", "category_id").join(
-        t.categories.select("category_id"), "category_id", "left_semi"
-    )
+    goods = t.products.select("product_id", "category_id")
     heads = t.orders.select("order_id", "address_id").join(
         t.addresses.select("address_id", "city_id"), "address_id"
     )
@@ -220,7 +221,8 @@ def region_category_rollup(t: Retail) -> DataFrame:
     marked, so that every level but the lowest counts marks; no distinct count has to run over the facts.
     """
     order = Window.partitionBy("order_id")
-    marked = _order_category_lines(t).withColumn(
+    known = _order_category_lines(t).join(t.categories.select("category_id"), "category_id", "left_semi")
+    marked = known.withColumn(
         "first_of_order", (F.col("category_id") == F.min("category_id").over(order)).cast("int")
     )
     by_city = marked.groupBy("city_id", "category_id").agg(
@@ -253,25 +255,26 @@ def region_category_rollup(t: Retail) -> DataFrame:
 def cart_conversion(t: Retail, limit: int = 50) -> DataFrame:
     """Active products by the number of cart lines they are in, against what was sold of them.
 
-    The list depends on carts alone; items are only moved for the products on it.
+    The list depends on the number of cart lines alone; everything else is read for the products on it.
     """
-    wanted = t.carts.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("cart_lines"),
-        F.sum("qty").alias("cart_units"),
-        F.countDistinct("customer_id").alias("interested_customers"),
-    )
-    listed = (
+    ranked = (
         t.products.filter("active")
         .select("product_id", F.col("name").alias("product"), "sku", "category_id", "price", "stock")
         .join(category_names(t), "category_id")
-        .join(wanted, "product_id")
-        .orderBy(F.col("cart_lines").desc(), "product_id")
-        .limit(limit)
+        .join(t.carts.groupBy("product_id").agg(F.count(F.lit(1)).alias("cart_lines")), "product_id")
+    )
+    most_first = [F.col("cart_lines").desc(), F.col("product_id")]
+    listed = ranked.orderBy(*most_first).limit(limit)
+    ids = broadcast_limited(listed.select("product_id"), limit)
+    wanted = (
+        t.carts.join(ids, "product_id", "left_semi")
+        .groupBy("product_id")
+        .agg(F.sum("qty").alias("cart_units"), F.countDistinct("customer_id").alias("interested_customers"))
     )
     good = not_void(t.orders, t, VOID).select("order_id", F.lit(1).alias("good"))
     sold = (
         t.order_items.select("order_id", "product_id", "qty")
-        .join(broadcast_limited(listed.select("product_id"), limit), "product_id", "left_semi")
+        .join(ids, "product_id", "left_semi")
         .groupBy("product_id", "order_id")
         .agg(F.sum("qty").alias("units"))
         .join(good, "order_id", "left")
@@ -280,8 +283,9 @@ def cart_conversion(t: Retail, limit: int = 50) -> DataFrame:
     )
     units = zero_if_null(F.col("units"))
     return (
-        listed.join(sold, "product_id", "left")
-        .orderBy(F.col("cart_lines").desc(), "product_id")
+        listed.join(wanted, "product_id")
+        .join(sold, "product_id", "left")
+        .orderBy(*most_first)
         .select(
             "product_id", "product", "sku", "category", "price", "stock", "cart_lines", "cart_units",
             "interested_customers",
@@ -357,7 +361,7 @@ def monthly_trend_order_grain(t: Retail, since: DateLike) -> DataFrame:
     per_order = valid.select("order_id", "customer_id", month_of(F.col("order_ts")).alias("month"), "total").join(
         _items_per_order(t), "order_id"
     )
-    months = (
+    sold = (
         per_order.groupBy("month", "customer_id")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("total").alias("revenue"), F.sum("units").alias("units"))
         .groupBy("month")
@@ -368,17 +372,29 @@ def monthly_trend_order_grain(t: Retail, since: DateLike) -> DataFrame:
             F.sum("units").alias("units"),
         )
     )
-    spine = months.agg(F.max("month").alias("last")).select(
-        F.explode(
-            F.expr(f"sequence(date'{shift_months(first, -12)}', greatest(last, date'{first}'), interval 1 month)")
-        ).alias("month")
+    # The first month asked for is listed even if nothing was sold; each month then fills the gap behind it.
+    anchor = sold.sparkSession.range(1).select(
+        date_lit(first).alias("month"),
+        *[F.lit(None).cast(sold.schema[c].dataType).alias(c) for c in ("orders", "customers", "revenue", "units")],
+    )
+    months = sold.unionByName(anchor).groupBy("month").agg(
+        *[F.max(c).alias(c) for c in ("orders", "customers", "revenue", "units")]
+    )
+    following = F.add_months(F.lead("month").over(Window.orderBy("month")), -1)
+    gapless = months.withColumn("following", F.coalesce(following, F.col("month"))).select(
+        F.explode(F.expr("sequence(month, following, interval 1 month)")).alias("listed"), "*"
+    )
+    real = F.col("listed") == F.col("month")
+    spine = gapless.select(
+        F.col("listed").alias("month"),
+        *[F.when(real, F.col(c)).alias(c) for c in ("orders", "customers", "revenue", "units")],
     )
     in_order = Window.orderBy("month")
     last_three = in_order.rowsBetween(-2, Window.currentRow)
     revenue = F.col("revenue")
     shown = zero_if_null(revenue)
     previous, year_ago = F.lag("revenue", 1).over(in_order), F.lag("revenue", 12).over(in_order)
-    looked_up = spine.join(months, "month", "left").select(
+    looked_up = spine.select(
         "month",
         zero_if_null(F.col("orders")).alias("orders"),
         zero_if_null(F.col("customers")).alias("customers"),
@@ -416,14 +432,13 @@ def payment_performance(t: Retail) -> DataFrame:
         )
     )
     totals = by_region.groupBy("method_id").agg(
-        *[F.sum(c).alias(c) for c in ("orders", "value", "confirmed", "awaiting", "cancelled", "paid", "wait")]
+        *[F.sum(c).alias(c) for c in ("orders", "value", "confirmed", "awaiting", "cancelled", "paid", "wait")],
+        most_frequent("orders", "region").alias("main_region"),
     )
-    main = top_per_key(by_region.filter("region is not null"), ["method_id"], "orders", "region", "main_region")
     return (
         t.payment_methods.filter("active")
         .select("method_id", F.col("name").alias("payment_method"), "max_instalments", "fee_pct")
         .join(totals, "method_id", "left")
-        .join(main, "method_id", "left")
         .orderBy(F.col("value").desc_nulls_last(), "method_id")
         .select(
             "payment_method", "max_instalments", "fee_pct",

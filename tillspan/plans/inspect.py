@@ -14,10 +14,16 @@ def plan_text(df: DataFrame) -> str:
     )
 
 
+def final_plan(df: DataFrame) -> str:
+    """The plan as it ran: after adaptive changes, with repeated exchanges replaced by references to the first."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
 def scans(df: DataFrame) -> Counter:
-    """How often each Parquet input is read, by folder or file name."""
-    found = re.findall(r"Location: \w+ \[[^\]]*?/([\w.]+?)(?:\.parquet)?\]", plan_text(df))
-    return Counter(found)
+    """Runs the query and tells how often each Parquet input was read, by file name."""
+    return Counter(re.findall(r"FileScan parquet .*?Location: \w+\(.*?/(\w+)\.parquet\]", final_plan(df)))
 
 
 def operators(df: DataFrame) -> Counter:

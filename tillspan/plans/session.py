@@ -21,16 +21,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", app: str = "tillspan", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str = "8", app: str = "tillspan", shuffle_partitions: int = 8, conf: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and local runs. A cluster brings its own session; see `tune`."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
