@@ -4,15 +4,25 @@ import glob
 
 from tests.helpers import make, rows
 from tests.test_reports import order, product
+from tillspan.operators import reports
 from tillspan.plans.inspect import plan_text
 from tillspan.sources.schemas import RETAIL_DDL, schema_of
-from tillspan.sources.tables import analyze_table, in_period, load_tables, write_table
+from tillspan.plans.session import size_shuffles
+from tillspan.sources.tables import (
+    Retail,
+    analyze_table,
+    catalog_tables,
+    in_period,
+    load_tables,
+    save_bucketed,
+    write_table,
+)
 
 
 def test_round_trip_and_month_folders(spark, tmp_path):
     orders = make(spark, "orders", [order(n, ts=f"2024-{m:02d}-15T00:00:00") for n, m in enumerate((1, 1, 2, 3))])
     goods = make(spark, "products", [product(1), product(2, promo_price="3.50")])
-    write_table(orders, str(tmp_path), "orders", files_per_month=2)
+    write_table(orders, str(tmp_path), "orders")
     write_table(goods, str(tmp_path), "products")
     t = load_tables(spark, str(tmp_path))
     assert t.names() == list(RETAIL_DDL)
@@ -32,13 +42,41 @@ def test_a_period_prunes_month_folders_and_reaches_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<order_id:bigint,order_ts:timestamp_ntz>" in plan
 
 
-def test_a_month_is_spread_over_files(spark, tmp_path):
-    orders = make(spark, "orders", [order(n) for n in range(200)])
-    # Without adaptive coalescing, which folds so few rows into one file.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    write_table(orders, str(tmp_path), "orders", files_per_month=4)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def test_a_month_above_the_advisory_size_is_cut_into_files(spark, tmp_path):
+    orders = make(spark, "orders", [order(n) for n in range(2000)]).repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    write_table(orders, str(tmp_path), "orders")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(glob.glob(f"{tmp_path}/orders/month=2024-03/*.parquet")) > 1
+    assert load_tables(spark, str(tmp_path)).orders.count() == 2000
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, tmp_path, star):
+    names = {}
+    for name in ("orders", "order_items"):
+        names[name] = f"tillspan_{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {names[name]}")
+        save_bucketed(getattr(star, name), names[name], "order_id", 4, f"{tmp_path}/{name}")
+    saved = catalog_tables(spark, names)
+    t = Retail.of(orders=saved.orders, order_items=saved.order_items, order_status=star.order_status)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
+    try:
+        plan = plan_text(reports.monthly_trend(t, "1998-01-01"))
+        assert "hashpartitioning(order_id" not in plan and "SortMergeJoin" in plan
+        assert rows(reports.monthly_trend(t, "1998-01-01")) == rows(reports.monthly_trend(star, "1998-01-01"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for table in names.values():
+            spark.sql(f"DROP TABLE {table}")
+
+
+def test_shuffles_are_sized_by_data_and_cores(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(spark, 10 * 1024**4, 4000)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "52429"
+    size_shuffles(spark, 1000, 4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_analyze_gives_column_statistics(spark, tmp_path):

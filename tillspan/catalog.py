@@ -72,7 +72,8 @@ COUNTED = (
 
 ITEM_SEQUENCE = ("item_id", "qty", "unit_price", "unit_discount", "subtotal")
 
-_BUILD: dict[str, Callable[[Retail], DataFrame]] = {
+# Queries over one set of tables.
+ON_TABLES: dict[str, Callable[[Retail], DataFrame]] = {
     "r01_sales_detail": lambda t: reports.sales_detail(t, "1997-01-01", "1998-01-01"),
     "r02_best_sellers": lambda t: reports.best_sellers(t),
     "r03_vip_customers": lambda t: reports.vip_customers(t, AS_OF),
@@ -179,7 +180,7 @@ def _stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.drop("batch")
 
 
-_STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s01_stream_daily_revenue": _stream_daily_revenue,
     "s02_stream_low_stock": _stream_low_stock,
     "s03_stream_change_log": _stream_change_log,
@@ -195,6 +196,6 @@ def _on_streams(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    **{name: _on_tables(build) for name, build in _BUILD.items()},
-    **{name: _on_streams(build) for name, build in _STREAMS.items()},
+    **{name: _on_tables(build) for name, build in ON_TABLES.items()},
+    **{name: _on_streams(build) for name, build in STREAMS.items()},
 }

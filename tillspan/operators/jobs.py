@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspan.functions.numbers import money, zero_if_null
-from tillspan.plans.joins import left_lookup
 from tillspan.plans.running import before_each_row, latest_before
 from tillspan.sources.statuses import CANCELLED, CLOSING_FLOW, STAMP_DELIVERY, STAMP_PAYMENT, STAMP_SHIPPING
+from tillspan.sources.tables import MONTH
 
 
 def _json(row: Column) -> Column:
@@ -112,6 +112,7 @@ def upsert_cart(adds: DataFrame, carts: DataFrame, products: DataFrame, cart_id_
     A customer's line for a product grows (the one with the lowest id, should there be several); otherwise a
     new line is made whose id is `cart_id_base` plus the first request that asked for it.
     """
+    carts = carts.drop(MONTH)
     goods = products.filter("active").select("product_id", "stock")
     checked = adds.join(goods, "product_id", "left").withColumn(
         "reason",

@@ -21,6 +21,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Bytes one shuffle task should handle.
+BYTES_PER_TASK = 200 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, cores: int) -> None:
+    """Set the number of shuffle partitions for the amount of data a job moves.
+
+    Adaptive execution only ever merges partitions, so the number to begin with has to be large enough: at least
+    two tasks per core, and no task above BYTES_PER_TASK.
+    """
+    by_size = -(-shuffled_bytes // BYTES_PER_TASK)
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(by_size, 2 * cores)))
+
+
 def local_session(
     cores: str = "8", app: str = "tillspan", shuffle_partitions: int = 8, conf: dict[str, str] | None = None
 ) -> SparkSession:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillspan.sources.schemas import star_schema_of
 from tillspan.sources.statuses import ORDER_STATUS
-from tillspan.sources.tables import Retail
+from tillspan.sources.tables import Retail, literal_rows, literal_table
 
 AS_OF = "2001-07-31"
 CITIES_PER_STATE = 10
@@ -45,9 +45,9 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
         {
             "states": lambda: _states(raw),
             "cities": lambda: _cities(raw),
-            "categories": lambda: _categories(raw),
-            "payment_methods": lambda: _payment_methods(raw),
-            "order_status": lambda: spark.createDataFrame(ORDER_STATUS, "status_id bigint, name string, flow int"),
+            "categories": lambda: _categories(spark),
+            "payment_methods": lambda: _payment_methods(spark),
+            "order_status": lambda: literal_table(spark, "order_status", ORDER_STATUS),
             "products": lambda: _products(raw),
             "customers": lambda: _customers(raw),
             "addresses": lambda: _addresses(raw),
@@ -72,6 +72,10 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
 
 CATEGORY_ID = "ascii(p_type) * 100000 + ascii(substring(p_type, 2, 1)) * 100 + length(p_type)"
 
+# The part types and order priorities that occur in the given tables.
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
 
 def _states(raw) -> DataFrame:
     joined = raw("nation").join(raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -93,34 +97,25 @@ def _cities(raw) -> DataFrame:
     )
 
 
-def _categories(raw) -> DataFrame:
-    return (
-        raw("part")
-        .select("p_type")
-        .distinct()
-        .selectExpr(
-            f"cast({CATEGORY_ID} as bigint) as category_id",
-            "p_type as name",
-            "cast(null as string) as description",
-            "cast(null as bigint) as parent_id",
-            "true as active",
-        )
+def _categories(spark: SparkSession) -> DataFrame:
+    names = literal_rows(spark, [(name,) for name in PART_TYPES], ["p_type"])
+    return names.selectExpr(
+        f"cast({CATEGORY_ID} as bigint) as category_id",
+        "p_type as name",
+        "cast(null as string) as description",
+        "cast(null as bigint) as parent_id",
+        "true as active",
     )
 
 
-def _payment_methods(raw) -> DataFrame:
-    return (
-        raw("orders")
-        .select("o_orderpriority")
-        .distinct()
-        .selectExpr("cast(substring(o_orderpriority, 1, 1) as bigint) as method_id", "o_orderpriority as name")
-        .selectExpr(
-            "method_id",
-            "name",
-            "cast(method_id as decimal(5,2)) as fee_pct",
-            "cast(method_id * 2 as int) as max_instalments",
-            "method_id <> 3 as active",
-        )
+def _payment_methods(spark: SparkSession) -> DataFrame:
+    names = literal_rows(spark, [(int(name[0]), name) for name in PRIORITIES], ["method_id", "name"])
+    return names.selectExpr(
+        "cast(method_id as bigint) as method_id",
+        "name",
+        "cast(method_id as decimal(5,2)) as fee_pct",
+        "cast(method_id * 2 as int) as max_instalments",
+        "method_id <> 3 as active",
     )
 
 

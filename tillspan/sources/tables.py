@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,29 @@ class Retail:
         return list(self._builders)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """A few constant rows as part of the plan.
+
+    Spark knows the size of such a table exactly and broadcasts it; rows handed over through
+    `createDataFrame` have no known size, and a join with them would shuffle the other side.
+    """
+
+    def text(value: object) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return "null" if value is None else str(value)
+
+    values = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS rows({', '.join(columns)})")
+
+
+def literal_table(spark: SparkSession, name: str, rows: Sequence[tuple]) -> DataFrame:
+    """Constant rows with the declared types of a table."""
+    fields = schema_of(name).fields
+    raw = literal_rows(spark, rows, [field.name for field in fields])
+    return raw.select(*[F.col(field.name).cast(field.dataType) for field in fields])
+
+
 def load_tables(spark: SparkSession, directory: str, names: Iterable[str] | None = None) -> Retail:
     """Parquet tables under `directory/<name>`, read with their declared schema (no inference job)."""
 
@@ -48,19 +71,13 @@ def load_tables(spark: SparkSession, directory: str, names: Iterable[str] | None
     return Retail({name: reader(name) for name in (names or RETAIL_DDL)})
 
 
-def write_table(
-    df: DataFrame,
-    directory: str,
-    name: str,
-    files_per_month: int = 8,
-    mode: str = "overwrite",
-) -> None:
+def write_table(df: DataFrame, directory: str, name: str, mode: str = "overwrite") -> None:
     """Write one table as Parquet.
 
     Facts with a time column are split by month, so that a date filter skips whole folders, and sorted
-    inside each file on their hot key, so that row-group statistics stay selective. Rows of one month are
-    spread over `files_per_month` tasks: a month holding most of the data never lands in one task.
-    Order items carry no time; they are sorted on the order they belong to.
+    inside each file on their hot key, so that row-group statistics stay selective. The rows are rebalanced:
+    Spark cuts a month that holds most of the data into files of the advisory partition size and puts small
+    months together in one task. Order items carry no time; they are sorted on the order they belong to.
     """
     layout = FACT_LAYOUT.get(name)
     if layout is None:
@@ -69,11 +86,9 @@ def write_table(
         df.write.mode(mode).parquet(f"{directory}/{name}")
         return
     ts, hot_key = layout
-    month = F.date_format(F.col(ts), "yyyy-MM")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
     (
-        df.withColumn(MONTH, month)
-        .repartition(MONTH, spread)
+        df.withColumn(MONTH, F.date_format(ts, "yyyy-MM"))
+        .hint("rebalance", F.col(MONTH))
         .sortWithinPartitions(MONTH, hot_key)
         .write.mode(mode)
         .partitionBy(MONTH)
@@ -81,6 +96,23 @@ def write_table(
     )
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save a catalogue table in buckets of a join key.
+
+    Two tables saved in the same number of buckets of the same key join, and group by it, without a shuffle.
+    Orders and order items by order id are the pair most reports join.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def catalog_tables(spark: SparkSession, names: Mapping[str, str]) -> Retail:
+    """Retail tables that live in the catalogue: `{"orders": "shop.orders", ...}`."""
+    return Retail({name: (lambda table=table: spark.table(table)) for name, table in names.items()})
+
+
 def analyze_table(spark: SparkSession, table: str, columns: Iterable[str] | None = None) -> None:
     """Column statistics for a catalogue table, used by Spark's size checks and join choices."""
     target = f"COLUMNS {', '.join(columns)}" if columns else "ALL COLUMNS"
