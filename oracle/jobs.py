@@ -1,6 +1,6 @@
 """The batch jobs for DuckDB: folds as recursive queries, everything else as plain SQL."""
 
-from oracle.model import day, stamp
+from oracle.model import stamp
 from oracle.rules import CUT, FREIGHT
 
 # One-by-one checkout. Step n takes the n-th competing request; `used` holds the units taken per product.

@@ -1,6 +1,6 @@
 """Row rules, quality checks, extra reports and name matching for DuckDB."""
 
-from oracle.model import day, pct, ratio, stamp
+from oracle.model import pct, ratio, stamp
 
 C01 = f"""
 SELECT customer_id, name, strip_accents(name) AS plain_name, lower(trim(email)) AS email,
