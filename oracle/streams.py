@@ -1,4 +1,4 @@
-"""What the streaming jobs must have emitted once all input is read."""
+"""What the streaming jobs must have emitted once all input is read, and what a round trip through files keeps."""
 
 from oracle.jobs import J05
 from oracle.model import day, stamp
@@ -22,7 +22,14 @@ FROM levels WHERE stock <= stock_min AND stock - delta > stock_min
 AND period_end <= (SELECT max(ts) FROM m_stock_deltas) - INTERVAL 10 MINUTE
 """
 
+L02 = f"""
+SELECT order_id, order_no, customer_id, status_id, total::DOUBLE AS total, coupon_code, {stamp('order_ts')} AS order_ts,
+  {stamp('payment_ts')} AS payment_ts, strftime(order_ts, '%Y-%m') AS month
+FROM m_orders WHERE order_ts >= TIMESTAMP '1996-01-15' AND order_ts < TIMESTAMP '2001-01-15'
+"""
+
 SQL = {
+    "l02_write_and_load": L02,
     "s01_stream_daily_revenue": S01,
     "s02_stream_low_stock": S02,
     "s03_stream_change_log": J05,

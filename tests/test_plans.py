@@ -13,7 +13,6 @@ from tillspan.sources.star import star_retail
 from tillspan.sources.tables import Retail, load_tables, write_table
 
 QUERIES = entry.queries()
-STREAMING = {"s01_stream_daily_revenue", "s02_stream_low_stock", "s03_stream_change_log"}
 
 # How often a report reads a fact table. Top lists read the ranking columns of a table, then what belongs to the listed
 # keys.
@@ -45,7 +44,7 @@ def test_scans(name, spark):
     assert {table: found[table] for table in SCANS[name]} == SCANS[name]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))
+@pytest.mark.parametrize("name", sorted(ON_TABLES))
 def test_no_cartesian_product_and_no_python(name, spark):
     found = operators(QUERIES[name](spark, SF_DIR))
     assert not {op for op in found if "Python" in op or "Pandas" in op or op == "CartesianProduct"}

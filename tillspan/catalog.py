@@ -13,10 +13,10 @@ from tillspan.operators.checkout import Checkout, checkout
 from tillspan.functions.dates import instant
 from tillspan.plans.lineage import run_dir
 from tillspan.sources.star import AS_OF, star_retail, star_streams
-from tillspan.sources.tables import Retail
+from tillspan.sources.tables import MONTH, Retail, in_period, load_tables, write_table
 from tillspan.streaming.changes import ChangeLog, stream_change_log
 from tillspan.streaming.revenue import stream_daily_revenue
-from tillspan.streaming.run import drained
+from tillspan.streaming.run import drained, state_partitions
 from tillspan.streaming.stock import stream_low_stock, use_state_store
 
 SINCE = "1998-01-01"
@@ -157,18 +157,20 @@ ON_TABLES: dict[str, Callable[[Retail], DataFrame]] = {
 }
 
 
-# Streaming queries need the session and the folder, not only the tables.
+# Streaming queries, and the round trip through files, need the session and the folder, not only the tables.
 def _stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark, "daily-revenue")
     stream = stream_daily_revenue(star_streams(spark, sf_dir).orders, star_retail(spark, sf_dir).order_status)
-    return drained(stream, f"{out}/result", f"{out}/checkpoint")
+    with state_partitions(spark):
+        return drained(stream, f"{out}/result", f"{out}/checkpoint")
 
 
 def _stream_low_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_state_store(spark)
     out = run_dir(spark, "low-stock")
     stream = stream_low_stock(star_streams(spark, sf_dir).stock_deltas, star_retail(spark, sf_dir).products)
-    return drained(stream, f"{out}/result", f"{out}/checkpoint")
+    with state_partitions(spark):
+        return drained(stream, f"{out}/result", f"{out}/checkpoint")
 
 
 def _stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +182,17 @@ def _stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.drop("batch")
 
 
-STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _write_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = run_dir(spark, "shop")
+    write_table(star_retail(spark, sf_dir).orders, out, "orders")
+    stored = load_tables(spark, out, ["orders"]).orders
+    return in_period(stored, "order_ts", "1996-01-15", "2001-01-15").select(
+        "order_id", "order_no", "customer_id", "status_id", "total", "coupon_code", "order_ts", "payment_ts", MONTH
+    )
+
+
+ON_FOLDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "l02_write_and_load": _write_and_load,
     "s01_stream_daily_revenue": _stream_daily_revenue,
     "s02_stream_low_stock": _stream_low_stock,
     "s03_stream_change_log": _stream_change_log,
@@ -197,5 +209,5 @@ def _on_streams(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _on_tables(build) for name, build in ON_TABLES.items()},
-    **{name: _on_streams(build) for name, build in STREAMS.items()},
+    **{name: _on_streams(build) for name, build in ON_FOLDERS.items()},
 }

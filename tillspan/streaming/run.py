@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_TIME = "_event_time"
@@ -30,3 +33,19 @@ def drained(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataFrame:
     """As `drain`, and read all results so far."""
     drain(stream, out_dir, checkpoint_dir)
     return stream.sparkSession.read.schema(stream.schema).parquet(out_dir)
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, per_core: int = 1) -> Iterator[None]:
+    """Start stateful queries with a number of state partitions that fits the cores of the cluster.
+
+    Adaptive execution does not merge the partitions of a stateful query, and the number a query starts with stays
+    with its checkpoint.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(per_core * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
