@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillspan.llm import oracle, pii, secret_scan, url_filter
+from tillspan.llm import bpe, language_id, oracle, pii, secret_scan, url_filter
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -16,6 +18,22 @@ URL_RULES = [
 ]
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.learn(documents.where(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.predict(documents, model)
+    return found.select(
+        "doc_id",
+        F.coalesce(language_id.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -30,5 +48,25 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op4_secret_scans, op5_pii, op7_url_filters)}
+def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(VOCABULARY)
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op4_secret_scans,
+        op5_pii,
+        op7_url_filters,
+        op8_byte_level_bpe,
+    )
+}
 ORACLE_SQL = oracle.SQL
