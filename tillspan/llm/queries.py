@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspan.llm import bpe, language_id, oracle, pii, secret_scan, url_filter
+from tillspan.llm import bpe, language_id, ngram_join, oracle, pii, secret_scan, url_filter
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -34,6 +34,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_ngram_jaccard_join,
         op4_secret_scans,
         op5_pii,
         op7_url_filters,
