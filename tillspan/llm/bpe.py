@@ -16,6 +16,7 @@ texts get equal tokens; bytes that are no UTF-8 decode to U+FFFD.
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -24,13 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 
 Ranks = dict[bytes, int]
-# A guess: tokens not emitted yet, the last token, bytes of the token that has begun.
-Guess = tuple[tuple[int, ...], int, bytes]
+# A guess: tokens not emitted yet, the last token, the node of the token that has begun in the tree of all tokens.
+Guess = tuple[tuple[int, ...], int, int]
 
-MAX_STEPS = 300_000
-MAX_PIECES = 300_000
-MAX_PAIRS = 400_000
+MAX_STEPS = 200_000
+MAX_PIECES = 100_000
+MAX_PAIRS = 200_000
 LONG_PIECE = 64
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 # Texts longer than this are cut into pieces one by one instead of into one list.
 LONG_TEXT = 4_000_000
 
@@ -68,14 +70,20 @@ class Transducer:
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.beginnings = {token[:k] for token in ranks for k in range(1, len(token))}
+        # The tree of all tokens: node and byte lead to (node or 0 if nothing is longer, token or -1).
+        nodes = {b"": 0}
+        for token in ranks:
+            for k in range(1, len(token)):
+                nodes.setdefault(token[:k], len(nodes))
+        spelled = set(nodes) | set(ranks)
+        self.tree = {nodes[t[:-1]] << 8 | t[-1]: (nodes.get(t, 0), ranks.get(t, -1)) for t in spelled if t}
         # How tokens come about; one that BPE itself never makes has no edges and can't be part of a result.
         self.grown: dict[int, tuple[Edge, Edge] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        start = frozenset({((), -1, b"")})
+        start = frozenset({((), -1, 0)})
         self.states: dict[frozenset[Guess], int] = {start: 0}
         self.guesses = [start]
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
@@ -88,11 +96,13 @@ class Transducer:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether BPE leaves these two tokens as they are when they meet."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._apart(self._edges(left)[1], self._edges(right)[0])
+            edges = self._edges(right)
+            known = edges is not None and (left < 0 or self._apart(self._edges(left)[1], edges[0]))
+            self.pairs[left << 32 | right] = known
         return known
 
     def _apart(self, ending: Edge, beginning: Edge) -> bool:
@@ -114,23 +124,35 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         after: list[Guess] = []
-        for pending, last, begun in self.guesses[state]:
-            grown = begun + bytes((byte,))
-            if grown in self.beginnings:
-                after.append((pending, last, grown))
-            token = self.ranks.get(grown)
-            if token is not None and self._edges(token) and (last < 0 or self.neighbours(last, token)):
-                after.append(((*pending, token), token, b""))
+        pairs = self.pairs
+        for pending, last, node in self.guesses[state]:
+            found = self.tree.get(node << 8 | byte)
+            if found is None:
+                continue
+            longer, token = found
+            if longer:
+                after.append((pending, last, longer))
+            if token >= 0:
+                apart = pairs.get(last << 32 | token)
+                if apart or (apart is None and self.neighbours(last, token)):
+                    after.append(((*pending, token), token, 0))
+        if len(after) == 1:
+            pending, last, node = after[0]
+            return self._goes(state << 8 | byte, frozenset({((), last, node)}), pending)
         shortest = min((g[0] for g in after), key=len)
         common = 0
         while common < len(shortest) and all(g[0][common] == shortest[common] for g in after):
             common += 1
-        left = frozenset((pending[common:], last, begun) for pending, last, begun in after)
-        number = self.states.setdefault(left, len(self.guesses))
-        if number == len(self.guesses):
-            self.guesses.append(left)
-        self.steps[state << 8 | byte] = number, shortest[:common]
-        return self.steps[state << 8 | byte]
+        left = frozenset([(pending[common:], last, node) for pending, last, node in after]) if common else frozenset(after)
+        return self._goes(state << 8 | byte, left, shortest[:common])
+
+    def _goes(self, step: int, guesses: frozenset[Guess], out: tuple[int, ...]) -> tuple[int, tuple[int, ...]]:
+        number = self.states.get(guesses)
+        if number is None:
+            number = self.states[guesses] = len(self.guesses)
+            self.guesses.append(guesses)
+        self.steps[step] = found = number, out
+        return found
 
     def encode(self, piece: bytes) -> list[int]:
         if len(self.steps) >= MAX_STEPS:
@@ -142,24 +164,35 @@ class Transducer:
             if step[1]:
                 out += step[1]
         # Only one guess has no token under way: it is the result.
-        return out + [t for pending, _, begun in self.guesses[state] if not begun for t in pending]
+        return out + [t for pending, _, node in self.guesses[state] if not node for t in pending]
 
 
 class Encoder(dict):
-    """Pieces and their tokens as little-endian 32-bit numbers; what is not known yet is computed."""
+    """Pieces and their tokens as little-endian 32-bit numbers; what is not known yet is computed.
+
+    Two generations of pieces are kept: when the young one is full it becomes the old one, so frequent pieces stay.
+    """
 
     def __init__(self, ranks: Ranks, pattern: str):
         super().__init__()
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        packed = self.old.get(piece)
+        return self._keep(piece, self._packed(piece) if packed is None else packed)
+
+    def _packed(self, piece: str) -> bytes:
         data = piece.encode()
         token = self.transducer.ranks.get(data)
         ids = [token] if token is not None else self.transducer.encode(data)
-        packed = little_endian(ids)
-        if len(data) <= LONG_PIECE:
+        return array("I", ids).tobytes() if LITTLE else little_endian(ids)
+
+    def _keep(self, piece: str, packed: bytes) -> bytes:
+        if len(piece) <= LONG_PIECE:
             if len(self) >= MAX_PIECES:
+                self.old = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -219,21 +252,29 @@ def decoded(tokens: list[bytes], packed: bytes, at_once: int = 1 << 16) -> str:
     return "".join([*parts, stream.end()])
 
 
-def encode(df: DataFrame, ranks: Ranks, pattern: str, text: str = "text") -> DataFrame:
-    """All columns of `df` without `text`, and `ids` (binary: little-endian 32-bit numbers). One row per row."""
+def encode(df: DataFrame, ranks: Ranks, pattern: str, text: str = "text", back: str | None = None) -> DataFrame:
+    """All columns of `df` without `text`, and `ids` (binary: little-endian 32-bit numbers). One row per row.
+
+    `back` names a column for the text that the ids decode to; one worker then does both.
+    """
     known = df.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: its size doesn't depend on the data
     place = df.columns.index(text)
-    names = [*[c for c in df.columns if c != text], "ids"]
+    names = [*[c for c in df.columns if c != text], "ids", *([back] if back else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(known, pattern)
+        tokens = sorted(known.value, key=known.value.get)
         for batch in batches:
-            ids = pa.array([encoder.encode(t.as_py() or "") for t in batch.column(place)], pa.binary())
+            ids = [encoder.encode(t.as_py() or "") for t in batch.column(place)]
             kept = [batch.column(k) for k in range(batch.num_columns) if k != place]
-            yield pa.RecordBatch.from_arrays([*kept, ids], names)
+            made = [pa.array(ids, pa.binary())]
+            if back:
+                made.append(pa.array([decoded(tokens, i) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays([*kept, *made], names)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text)
-    return df.mapInArrow(work, f"{kept}, ids binary" if kept else "ids binary")
+    made = "ids binary" + (f", `{back}` string" if back else "")
+    return df.mapInArrow(work, f"{kept}, {made}" if kept else made)
 
 
 def decode(df: DataFrame, ranks: Ranks, ids: str = "ids", to: str = "decoded") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillspan.plans.lineage import run_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -27,3 +29,22 @@ def row_key(*columns: Column) -> Column:
 def ended(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Exactly these columns; whatever else the input carries is gone before names can clash."""
     return df.select(*[c.alias(name) for name, c in columns.items()])
+
+
+class Scratch:
+    """Tables of one run in the folder all executors share; each is written once and read back.
+
+    Unlike a checkpoint a written table is compressed and tells the planner its true size, and estimates don't
+    multiply from round to round. The result of a run reads some of them, so they stay until the folder is removed.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = run_dir(spark, name)
+        self.count = 0
+
+    def save(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -5,27 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillspan.plans.lineage import cut
+from tillspan.llm.common import Scratch
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) of every node of `links` (a, b): nodes have the same root if links join them.
 
-    Every round hangs each node on its smallest neighbour and goes on with the links between what is left, so only
-    minima are gathered and a node with very many links is combined before the shuffle. Nodes should be hashes: then
-    the order is random and few rounds are needed, for long chains too. Each round is cut by a checkpoint.
+    Every round hangs each node on its first neighbour and goes on with the links between what is left, so only
+    minima are gathered and a node with very many links is combined before the shuffle. The order is drawn anew by a
+    hash in every round; then few rounds are needed, for long chains too. Each round is cut by a written table.
     """
-    links = cut(links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = scratch.save(links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     steps: list[DataFrame] = []
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
-        step = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
-        step = cut(step.select("node", F.least("node", "to").alias("to")))
+        turn = F.lit(len(steps))
+        place = lambda c: F.struct(F.xxhash64(c, turn).alias("turn"), F.col(c).alias("node"))
+        step = both.groupBy("a").agg(F.min(place("b")).alias("first"))
+        step = scratch.save(step.select(F.col("a").alias("node"), F.least(place("a"), "first")["node"].alias("to")))
         steps.append(step)
         left = step.withColumnsRenamed({"node": "a", "to": "a_to"})
         right = step.withColumnsRenamed({"node": "b", "to": "b_to"})
         links = links.join(left, "a").join(right, "b").where(F.col("a_to") != F.col("b_to"))
-        links = cut(links.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct())
+        links = scratch.save(links.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct())
     if not steps:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     # A node may hang on one that hangs on another in the same round: follow until nothing moves.
@@ -34,11 +36,11 @@ def components(links: DataFrame) -> DataFrame:
         # Later steps speak of nodes that had been their own root; theirs is the better word.
         later = step.withColumnsRenamed({"to": "later"})
         parents = parents.join(later, "node", "left").select("node", F.coalesce("later", "to").alias("to"))
-    parents = cut(parents)
+    parents = scratch.save(parents)
     while True:
         up = parents.select(F.col("node").alias("to"), F.col("to").alias("up"))
         moved = parents.join(up, "to", "left").select("node", F.coalesce("up", "to").alias("to"), (F.col("up") != F.col("to")).alias("moved"))
-        moved = cut(moved)
+        moved = scratch.save(moved)
         parents = moved.select("node", "to")
         if moved.where("moved").isEmpty():
             return parents.withColumnRenamed("to", "root")

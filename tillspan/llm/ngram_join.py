@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillspan.llm.common import Scratch
 from tillspan.llm.components import components
-from tillspan.plans.lineage import cut
 
 N = 4
 # The threshold in hundredths.
@@ -213,7 +213,7 @@ def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def similar_classes(documents: DataFrame, entries: DataFrame, n: int = N) -> DataFrame:
+def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N) -> DataFrame:
     """Links (a, b) between classes, enough of them to tell every component.
 
     `entries`: cls, n, doc_id and prefix of every class.
@@ -226,14 +226,14 @@ def similar_classes(documents: DataFrame, entries: DataFrame, n: int = N) -> Dat
         entry.alias("y"), F.first(entry).over(by_size).alias("first"), F.lag(entry).over(by_size).alias("before")
     ).where(F.col("before").isNotNull())
     near = lists.select("y", F.explode(F.array("first", "before")).alias("x")).where(_possible("x", "y"))
-    pairs = cut(_pairs(near))
+    pairs = scratch.save(_pairs(near))
     names = entries.select("cls", "doc_id")
     members = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
-    sets = cut(class_sets(documents, names.join(members(pairs), "cls", "left_semi"), n))
-    compared = cut(_with_differences(pairs, sets))
+    sets = scratch.save(class_sets(documents, names.join(members(pairs), "cls", "left_semi"), n))
+    compared = scratch.save(_with_differences(pairs, sets))
     common = F.col("a_n") - F.size("only_a")
     links = compared.where(_reaches(F.col("a_n"), F.col("b_n"), common)).select("a", "b")
-    roots = components(links)
+    roots = components(links, scratch)
 
     # Lists that still hold several components, in blocks of similar sizes; blocks out of reach are skipped.
     labelled = postings.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
@@ -248,7 +248,7 @@ def similar_classes(documents: DataFrame, entries: DataFrame, n: int = N) -> Dat
     y = open_lists.select("token", entry.alias("y"), band(F.col("n")).alias("block"))
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
     rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
-    rest = cut(_pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = scratch.save(_pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
 
     # Answers that follow from the differences to a set both have been compared with.
     seen = compared.select(F.col("a").alias("lead"), F.col("a_n").alias("lead_n"), F.col("b").alias("cls"), F.col("only_a").alias("lost"), F.col("only_b").alias("gained"))
@@ -259,9 +259,9 @@ def similar_classes(documents: DataFrame, entries: DataFrame, n: int = N) -> Dat
     ys = seen.withColumnsRenamed({"cls": "b", "lost": "b_lost", "gained": "b_gained"}).drop("lead_n")
     shared = F.col("lead_n") - F.size(F.array_union("a_lost", "b_lost")) + F.size(F.array_intersect("a_gained", "b_gained"))
     derived = rest.join(xs, "a").join(ys, ["b", "lead"]).select("a", "a_n", "b", "b_n", shared.alias("common"))
-    derived = cut(derived.groupBy("a", "a_n", "b", "b_n").agg(F.max("common").alias("common")))
+    derived = scratch.save(derived.groupBy("a", "a_n", "b", "b_n").agg(F.max("common").alias("common")))
     open_pairs = rest.join(derived.select("a", "b"), ["a", "b"], "left_anti")
-    more = cut(class_sets(documents, names.join(members(open_pairs), "cls", "left_semi"), n))
+    more = scratch.save(class_sets(documents, names.join(members(open_pairs), "cls", "left_semi"), n))
     direct = _with_differences(open_pairs, more)
     return (
         links.union(derived.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("common"))).select("a", "b"))
@@ -272,12 +272,13 @@ def similar_classes(documents: DataFrame, entries: DataFrame, n: int = N) -> Dat
 def near_duplicates(documents: DataFrame, n: int = N) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `documents` (doc_id, text)."""
     documents = documents.select("doc_id", "text")
-    found = cut(indexed(documents, sketch_levels(documents, n), n))
+    scratch = Scratch(documents.sparkSession, "ngram-join")
+    found = scratch.save(indexed(documents, sketch_levels(documents, n), n))
     classes = found.where(F.col("cls").isNotNull()).groupBy("cls").agg(
         F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix")
     )
-    classes = cut(classes)
-    roots = components(similar_classes(documents, classes, n))
+    classes = scratch.save(classes)
+    roots = components(similar_classes(documents, classes, scratch, n), scratch)
     labelled = classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     labelled = labelled.select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))

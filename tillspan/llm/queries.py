@@ -54,8 +54,8 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(VOCABULARY)
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(documents, ranks, public_tokenizers.PATTERN, back="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
