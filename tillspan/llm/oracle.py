@@ -91,4 +91,30 @@ SELECT page_id, host, path,
 FROM parsed
 """
 
-SQL = {"op4_secret_scans": SECRETS, "op7_url_filters": URLS}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEAKS = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark),
+windows AS (
+    SELECT item, words[k:k + 9] AS phrase, len(words[k:k + 9]) AS size
+    FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS k FROM items WHERE len(words) > 0)
+),
+docs AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS words FROM documents),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT row_id, k, size, words[k:k + size - 1] AS phrase
+    FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS k FROM docs, sizes WHERE len(words) >= size)
+),
+hits AS (SELECT row_id, k, p.size, item FROM places p JOIN windows w ON p.phrase = w.phrase),
+hit_words AS (
+    SELECT row_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT row_id, unnest(range(k, k + size)) AS place FROM (SELECT DISTINCT row_id, k, size FROM hits)) GROUP BY row_id
+),
+hit_items AS (SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT row_id, item FROM hits) GROUP BY row_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)
+"""
+
+SQL = {"op6_benchmark_decontamination": LEAKS, "op4_secret_scans": SECRETS, "op7_url_filters": URLS}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspan.llm import bpe, language_id, ngram_join, oracle, pii, secret_scan, url_filter
+from tillspan.llm import bpe, decontaminate, language_id, ngram_join, oracle, pii, secret_scan, url_filter
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -46,6 +46,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(str(rule) for rule in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
@@ -70,6 +74,7 @@ QUERIES = {
         op2_ngram_jaccard_join,
         op4_secret_scans,
         op5_pii,
+        op6_benchmark_decontamination,
         op7_url_filters,
         op8_byte_level_bpe,
     )
