@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspan.llm import bpe, decontaminate, language_id, ngram_join, oracle, pii, secret_scan, url_filter
+from tillspan.llm import bpe, decontaminate, fingerprints, language_id, ngram_join, oracle, pii, secret_scan, url_filter
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -38,6 +38,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     for f in (
         op1_language_id,
         op2_ngram_jaccard_join,
+        op3_document_fingerprints,
         op4_secret_scans,
         op5_pii,
         op6_benchmark_decontamination,
