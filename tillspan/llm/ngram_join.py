@@ -139,7 +139,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def indexed(documents: DataFrame, levels: np.ndarray, n: int = N) -> DataFrame:
-    """doc_id, number of shingles, class and the rarest shingles that have to be in the index."""
+    """doc_id, number of shingles, key of the set and its rarest shingles, those that have to be in the index."""
     known = documents.sparkSession.sparkContext.broadcast(levels)  # one byte per counter of the sketch
     shift = _U(65 - len(levels).bit_length())
 
@@ -155,17 +155,17 @@ def indexed(documents: DataFrame, levels: np.ndarray, n: int = N) -> DataFrame:
                 prefixes.append(found[order[: size - (PERCENT * size + 99) // 100 + 1]] if size else found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes)],
-                ["doc_id", "n_shingles", "cls", "prefix"],
+                ["doc_id", "n_shingles", "key", "prefix"],
             )
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {id_type}, n_shingles long, cls binary, prefix array<long>"
+        work, f"doc_id {id_type}, n_shingles long, key binary, prefix array<long>"
     )
 
 
 def class_sets(documents: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame:
-    """(cls, shingles) of the wanted classes, read from the one document of each that `wanted` (cls, doc_id) names."""
+    """(cls, shingles) of the wanted classes, read from the one document of each that `wanted` (cls, key, doc_id) names."""
     ids = wanted.select(F.col("doc_id")).distinct()
     few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     ids = F.broadcast(ids) if few else ids
@@ -177,11 +177,12 @@ def class_sets(documents: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame
         for batch in batches:
             found = [s for s in (shingle_set(t, n) for t in _texts(batch, 0)) if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_key(s) for s in found], pa.binary()), _lists(found)], ["cls", "shingles"]
+                [pa.array([_class_key(s) for s in found], pa.binary()), _lists(found)], ["key", "shingles"]
             )
 
-    sets = asked.mapInArrow(work, "cls binary, shingles array<long>")
-    return sets.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    sets = asked.mapInArrow(work, "key binary, shingles array<long>")
+    # An id may stand for several documents; whatever is not wanted goes here.
+    return sets.join(wanted.select("key", "cls"), "key").select("cls", "shingles").dropDuplicates(["cls"])
 
 
 def _reaches(size_a: Column, size_b: Column, common: Column) -> Column:
@@ -216,18 +217,25 @@ def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N) -> DataFrame:
     """Links (a, b) between classes, enough of them to tell every component.
 
-    `entries`: cls, n, doc_id and prefix of every class.
+    `entries`: cls, key, n, doc_id and prefix of every class.
     """
     postings = entries.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
     entry = F.struct("cls", "n", "pos")
     by_size = Window.partitionBy("token").orderBy("n", "cls")
-    # First every list against its first entry and each entry against the one before.
+    # A list of one entry has no pairs; all others are kept.
     lists = postings.select(
-        entry.alias("y"), F.first(entry).over(by_size).alias("first"), F.lag(entry).over(by_size).alias("before")
-    ).where(F.col("before").isNotNull())
-    near = lists.select("y", F.explode(F.array("first", "before")).alias("x")).where(_possible("x", "y"))
+        "token",
+        entry.alias("y"),
+        F.first(entry).over(by_size).alias("first"),
+        F.lag(entry).over(by_size).alias("before"),
+        F.lead("cls").over(by_size).alias("after"),
+    )
+    lists = scratch.save(lists.where("before IS NOT NULL OR after IS NOT NULL").drop("after"))
+    # First every list against its first entry and each entry against the one before.
+    near = lists.where("before IS NOT NULL").select("y", F.explode(F.array("first", "before")).alias("x"))
+    near = near.where(_possible("x", "y"))
     pairs = scratch.save(_pairs(near))
-    names = entries.select("cls", "doc_id")
+    names = entries.select("cls", "key", "doc_id")
     members = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
     sets = scratch.save(class_sets(documents, names.join(members(pairs), "cls", "left_semi"), n))
     compared = scratch.save(_with_differences(pairs, sets))
@@ -236,7 +244,7 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     roots = components(links, scratch)
 
     # Lists that still hold several components, in blocks of similar sizes; blocks out of reach are skipped.
-    labelled = postings.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    labelled = lists.select("token", "y.cls", "y.n", "y.pos").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "cls"))
     mixed = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_lists = labelled.join(mixed.select("token"), "token", "left_semi")
@@ -273,16 +281,17 @@ def near_duplicates(documents: DataFrame, n: int = N) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `documents` (doc_id, text)."""
     documents = documents.select("doc_id", "text")
     scratch = Scratch(documents.sparkSession, "ngram-join")
-    found = scratch.save(indexed(documents, sketch_levels(documents, n), n))
-    classes = found.where(F.col("cls").isNotNull()).groupBy("cls").agg(
+    rows = indexed(documents, sketch_levels(documents, n), n)
+    classes = rows.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix")
     )
-    classes = scratch.save(classes)
+    # Short ids for classes; they hold because the table is written.
+    classes = scratch.save(classes.withColumn("cls", F.monotonically_increasing_id()))
     roots = components(similar_classes(documents, classes, scratch, n), scratch)
-    labelled = classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    labelled = labelled.select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+    labelled = classes.select("cls", "key", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    labelled = labelled.select("key", "doc_id", F.coalesce("root", "cls").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.join(smallest, "root").select("cls", "component_id")
-    return found.select("doc_id", "n_shingles", "cls").join(named, "cls", "left").select(
+    named = labelled.join(smallest, "root").select("key", "component_id")
+    return rows.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
