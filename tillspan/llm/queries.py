@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspan.llm import bpe, decontaminate, fingerprints, language_id, ngram_join, oracle, pii, secret_scan, url_filter
+from tillspan.llm import bpe, decontaminate, fingerprints, language_id, licenses, ngram_join, oracle, pii, secret_scan, url_filter
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -71,6 +71,14 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    # Documents are files of the directory of their source.
+    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    found = licenses.license_scan(documents.select(F.col("doc_id").alias("id"), path.alias("path"), "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +90,7 @@ QUERIES = {
         op6_benchmark_decontamination,
         op7_url_filters,
         op8_byte_level_bpe,
+        op10_license_scans,
     )
 }
 ORACLE_SQL = oracle.SQL
