@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspan.llm import bpe, decontaminate, fingerprints, language_id, licenses, ngram_join, oracle, pii, secret_scan, url_filter
+from tillspan.llm import bpe, decontaminate, fingerprints, html_extract, language_id, licenses, ngram_join, oracle, pii, secret_scan, url_filter
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -71,6 +71,11 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages))
+
+
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     # Documents are files of the directory of their source.
@@ -90,6 +95,7 @@ QUERIES = {
         op6_benchmark_decontamination,
         op7_url_filters,
         op8_byte_level_bpe,
+        op9_html_extraction,
         op10_license_scans,
     )
 }
