@@ -25,8 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 
 Ranks = dict[bytes, int]
-# A guess: tokens not emitted yet, the last token, the node of the token that has begun in the tree of all tokens.
-Guess = tuple[tuple[int, ...], int, int]
+# A guess: tokens not emitted yet, and the node of the token that has begun in the tree of all tokens. A state has the
+# last token emitted and its guesses, those whose token began first coming first.
+Guess = tuple[tuple[int, ...], int]
+State = tuple[int, tuple[Guess, ...]]
 
 MAX_STEPS = 200_000
 MAX_PIECES = 100_000
@@ -83,8 +85,8 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        start = frozenset({((), -1, 0)})
-        self.states: dict[frozenset[Guess], int] = {start: 0}
+        start: State = -1, (((), 0),)
+        self.states: dict[State, int] = {start: 0}
         self.guesses = [start]
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
 
@@ -123,36 +125,44 @@ class Transducer:
                 j += 1
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        tree, pairs = self.tree, self.pairs
+        emitted, guesses = self.guesses[state]
         after: list[Guess] = []
-        pairs = self.pairs
-        for pending, last, node in self.guesses[state]:
-            found = self.tree.get(node << 8 | byte)
+        ended = None
+        for pending, node in guesses:
+            found = tree.get(node << 8 | byte)
             if found is None:
                 continue
             longer, token = found
             if longer:
-                after.append((pending, last, longer))
-            if token >= 0:
+                after.append((pending, longer))
+            # The bytes so far have but one tokenization: once it is found no other guess can end here.
+            if token >= 0 and ended is None:
+                last = pending[-1] if pending else emitted
                 apart = pairs.get(last << 32 | token)
                 if apart or (apart is None and self.neighbours(last, token)):
-                    after.append(((*pending, token), token, 0))
-        if len(after) == 1:
-            pending, last, node = after[0]
-            return self._goes(state << 8 | byte, frozenset({((), last, node)}), pending)
-        shortest = min((g[0] for g in after), key=len)
-        common = 0
-        while common < len(shortest) and all(g[0][common] == shortest[common] for g in after):
-            common += 1
-        left = frozenset([(pending[common:], last, node) for pending, last, node in after]) if common else frozenset(after)
-        return self._goes(state << 8 | byte, left, shortest[:common])
-
-    def _goes(self, step: int, guesses: frozenset[Guess], out: tuple[int, ...]) -> tuple[int, tuple[int, ...]]:
-        number = self.states.get(guesses)
+                    ended = (*pending, token), 0
+        if ended is not None:
+            after.append(ended)
+        out = after[0][0]
+        if len(after) > 1:
+            common = 0
+            for tokens in zip(*[pending for pending, _ in after], strict=False):
+                if tokens.count(tokens[0]) < len(tokens):
+                    break
+                common += 1
+            out = out[:common]
+            if common:
+                after = [(pending[common:], node) for pending, node in after]
+        elif out:
+            after = [((), after[0][1])]
+        key = out[-1] if out else emitted, tuple(after)
+        number = self.states.get(key)
         if number is None:
-            number = self.states[guesses] = len(self.guesses)
-            self.guesses.append(guesses)
-        self.steps[step] = found = number, out
-        return found
+            number = self.states[key] = len(self.guesses)
+            self.guesses.append(key)
+        self.steps[state << 8 | byte] = step = number, out
+        return step
 
     def encode(self, piece: bytes) -> list[int]:
         if len(self.steps) >= MAX_STEPS:
@@ -164,7 +174,7 @@ class Transducer:
             if step[1]:
                 out += step[1]
         # Only one guess has no token under way: it is the result.
-        return out + [t for pending, _, node in self.guesses[state] if not node for t in pending]
+        return out + [t for pending, node in self.guesses[state][1] if not node for t in pending]
 
 
 class Encoder(dict):

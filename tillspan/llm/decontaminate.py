@@ -83,6 +83,7 @@ def phrase_hits(documents: DataFrame, windows: DataFrame, few: bool, slack: int
     ranked = spread.join(counts, "word").groupBy("words").agg(F.array_sort(F.collect_list(rarity)).alias("rare"))
     ranked = ranked.where(F.size("rare") == F.size("words")).select(
         "words",
+        F.array_join("words", " ").alias("phrase"),
         F.col("rare")[0]["word"].alias("word"),
         F.col("rare")[0]["offset"].alias("offset"),
         F.element_at("rare", F.least(F.size("rare"), F.lit(2)))["word"].alias("second"),
@@ -96,8 +97,9 @@ def phrase_hits(documents: DataFrame, windows: DataFrame, few: bool, slack: int
         second = ascii_lower(F.get("parts", start + F.col("second_offset")))
         fits = (start >= 0) & (start + length <= F.size("parts"))
         found = found.where(fits & (second == F.col("second")))
-        there = _lowered(F.slice("parts", F.greatest(start, F.lit(0)) + 1, length))
-        return found.where(there == F.col("words")).select(
+        # Joined words compare like the arrays, as words hold no blank; and no row has to carry a whole text for it.
+        there = ascii_lower(F.array_join(F.slice("parts", F.greatest(start, F.lit(0)) + 1, length), " "))
+        return found.where(there == F.col("phrase")).select(
             "doc_id", "text_key", (start - _leads(F.col("parts"))).alias("start"), length.alias("length"), F.col("words").alias("window"), F.lit(True).alias("exact")
         )
     begin = F.greatest(F.col("pos") - (length + slack - 1), F.lit(0))

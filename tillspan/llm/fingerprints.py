@@ -196,7 +196,9 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+            for start in range(0, batch.num_rows, 100):  # few texts at a time as Python objects
+                few = batch.slice(start, 100)
+                yield from zip(*(column.to_pylist() for column in few.columns), strict=True)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, done = None, []
@@ -219,7 +221,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
                     )
                 )
             held = None if extra else (bucket, doc_id, text, version)
-            if len(done) >= 1000:
+            if len(done) >= 200:
                 yield batch_of(done)
                 done = []
         if done:
