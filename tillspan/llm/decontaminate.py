@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillspan.llm.common import ascii_lower
+from tillspan.llm.common import Scratch, ascii_lower
 
 WINDOW = 10
 # What ends a word, in texts whose A-Z are still in upper case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # So many windows, at about 300 bytes, may be broadcast; more are joined by shuffling the postings.
 BROADCAST_WINDOWS = 200_000
+# So many keys of documents, of 16 bytes, may be broadcast.
+BROADCAST_KEYS = 500_000
 
 
 def _split(text: Column) -> Column:
@@ -165,5 +167,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     """`documents` without those that hold a window; all columns."""
     hits, _ = _spot(documents, benchmark, window)
     bad = hits.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_text")).distinct()
+    bad = Scratch(documents.sparkSession, "contaminated").save(bad)
+    bad = _small(bad, bad.count() <= BROADCAST_KEYS)
     same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_text"))
     return documents.join(bad, same, "left_anti")

@@ -125,6 +125,19 @@ def predict(documents: DataFrame, model: Model, columns: list[str] | None = None
     return asked.mapInArrow(work, f"{kept}, lang_pred string, score double, rejected boolean".removeprefix(", "))
 
 
+def keep_known(documents: DataFrame, model: Model) -> DataFrame:
+    """`documents` without the rows whose language is not told with a lead; all columns as they are."""
+    known = documents.sparkSession.sparkContext.broadcast(model)
+    place = documents.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classifier = Classifier(known.value)
+        for batch in batches:
+            yield batch.filter(pa.array([not classifier.predict(t.as_py())[2] for t in batch.column(place)], pa.bool_()))
+
+    return documents.mapInArrow(work, documents.schema)
+
+
 def held_out(doc_id):
     """Every third document, by the checksum of its id."""
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(3)) == 1

@@ -4,9 +4,11 @@ Equal sets are one class from the start. A class puts the rarest part of its set
 share something in it, into an inverted index with the positions. How rare a shingle is comes from a sketch of the
 counts of all shingles of all documents; the result is exact whatever the sketch says, it only orders the sets.
 
-Set relations spare work twice:
+Set relations spare work:
 * Index lists are cut into blocks by set size. An entry of size n at position i can only have partners of at most
   (n - i) * (1 + t) / t - n shingles, so blocks behind that are skipped, as are pairs whose positions leave too little.
+* Parity sketches of the sets, 1024 bits each, bound from below what two sets differ in; pairs that differ in too much
+  are settled by them, without their sets.
 * Every list is first compared with its first entry and with neighbours only. These answers, kept as the differences to
   the first entry, say whether two members of a list are similar without their sets: the common part of x and y is
   |L| - |Lx union Ly| + |xL intersect yL|, with Lx what L has and x has not, and xL the opposite. Then only lists
@@ -38,6 +40,8 @@ PERCENT = 85
 # Counters of the sketch, as a power of two, and the parts it is merged in.
 SKETCH_BITS = 20
 SLICES = 64
+# Bits of a class's parity sketch.
+PARITY_BITS = 1024
 # So many ids may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -132,6 +136,15 @@ def _class_key(found: np.ndarray) -> bytes:
     return np.array([halves[0] + _U(len(found)), halves[1]], ">u8").tobytes()
 
 
+def _parities(found: np.ndarray) -> np.ndarray:
+    """For each of PARITY_BITS buckets whether an odd number of shingles falls into it, packed.
+
+    Every bit in which two sets differ stands for at least one shingle that only one of them has.
+    """
+    places = (_mixed(found ^ _U(0x2545F4914F6CDD1D)) % _U(PARITY_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=PARITY_BITS).astype(np.uint8) & 1).view(np.uint64)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, parts)])
     values = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
@@ -145,22 +158,23 @@ def indexed(documents: DataFrame, levels: np.ndarray, n: int = N) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, prefixes = [], [], []
+            sizes, keys, prefixes, parities = [], [], [], []
             for text in _texts(batch, 1):
                 found = shingle_set(text, n)
                 size = len(found)
                 order = np.lexsort((found, known.value[(found >> shift).astype(np.int64)]))
                 sizes.append(size)
                 keys.append(_class_key(found) if size else None)
+                parities.append(_parities(found))
                 prefixes.append(found[order[: size - (PERCENT * size + 99) // 100 + 1]] if size else found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes)],
-                ["doc_id", "n_shingles", "key", "prefix"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes), _lists(parities)],
+                ["doc_id", "n_shingles", "key", "prefix", "parity"],
             )
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {id_type}, n_shingles long, key binary, prefix array<long>"
+        work, f"doc_id {id_type}, n_shingles long, key binary, prefix array<long>, parity array<long>"
     )
 
 
@@ -205,6 +219,17 @@ def _pairs(joined: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _not_apart(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """Pairs without those whose parity sketches already differ in more places than similar sets may."""
+    parity = entries.select("cls", "parity")
+    both = pairs.join(parity.withColumnsRenamed({"cls": "a", "parity": "a_parity"}), "a")
+    both = both.join(parity.withColumnsRenamed({"cls": "b", "parity": "b_parity"}), "b")
+    differing = sum(
+        (F.bit_count(F.get("a_parity", F.lit(k)).bitwiseXOR(F.get("b_parity", F.lit(k)))) for k in range(PARITY_BITS // 64)), F.lit(0)
+    )
+    return both.where(differing * (100 + PERCENT) <= (F.col("a_n") + F.col("b_n")) * (100 - PERCENT)).select("a", "a_n", "b", "b_n")
+
+
 def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs with what only a has and what only b has."""
     left = sets.withColumnsRenamed({"cls": "a", "shingles": "a_set"})
@@ -217,7 +242,7 @@ def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N) -> DataFrame:
     """Links (a, b) between classes, enough of them to tell every component.
 
-    `entries`: cls, key, n, doc_id and prefix of every class.
+    `entries`: cls, key, n, doc_id, prefix and parity of every class.
     """
     postings = entries.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
     entry = F.struct("cls", "n", "pos")
@@ -234,7 +259,7 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     # First every list against its first entry and each entry against the one before.
     near = lists.where("before IS NOT NULL").select("y", F.explode(F.array("first", "before")).alias("x"))
     near = near.where(_possible("x", "y"))
-    pairs = scratch.save(_pairs(near))
+    pairs = scratch.save(_not_apart(_pairs(near), entries))
     names = entries.select("cls", "key", "doc_id")
     members = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
     sets = scratch.save(class_sets(documents, names.join(members(pairs), "cls", "left_semi"), n))
@@ -256,7 +281,8 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     y = open_lists.select("token", entry.alias("y"), band(F.col("n")).alias("block"))
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
     rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
-    rest = scratch.save(_pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = _pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    rest = scratch.save(_not_apart(rest, entries))
 
     # Answers that follow from the differences to a set both have been compared with.
     seen = compared.select(F.col("a").alias("lead"), F.col("a_n").alias("lead_n"), F.col("b").alias("cls"), F.col("only_a").alias("lost"), F.col("only_b").alias("gained"))
@@ -283,7 +309,7 @@ def near_duplicates(documents: DataFrame, n: int = N) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "ngram-join")
     rows = indexed(documents, sketch_levels(documents, n), n)
     classes = rows.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix")
+        F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
     )
     # Short ids for classes; they hold because the table is written.
     classes = scratch.save(classes.withColumn("cls", F.monotonically_increasing_id()))
@@ -295,3 +321,19 @@ def near_duplicates(documents: DataFrame, n: int = N) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(documents: DataFrame, n: int = N) -> DataFrame:
+    """`documents` with one of each group of near duplicates, the one with the smallest id; all columns.
+
+    Documents without words are copies of nothing and stay. Rows that repeat an id are one document: one of them stays,
+    and none if one of them belongs to a group with a smaller id. Rows without id stay.
+    """
+    found = near_duplicates(documents, n)
+    scratch = Scratch(documents.sparkSession, "one-of-each")
+    gone = scratch.save(found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct())
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    kept = documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    if documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
