@@ -4,7 +4,7 @@ A text is cut into paragraphs: at line ends, at the ends of sentences, and insid
 characters. The digest of a paragraph and of its how-manieth occurrence goes into HASHES cells of a sketch, each with
 a count, the XOR of digests and the XOR of checksums. The difference of two sketches holds what only one text has:
 cells with a single digest are read and taken out of the others until none is left. If that fails, the two versions
-are sketched again with twice the cells and other places, until it works.
+are sketched again with four times the cells and other places, until it works.
 
 A fingerprint is the number of paragraphs and the sketch of CELLS cells; equal texts have equal fingerprints. The
 likeness of two is 1 - differing digests / all digests of both.
@@ -37,6 +37,8 @@ MAX_BUCKETS = 2_000
 
 _PARAGRAPH = re.compile(rf"(?:[^\n.!?]|[.!?](?=[^\s.!?])){{1,{PIECE}}}[.!?]*")
 _U = np.uint64
+_SHIFTS = np.array([[2], [23], [44]], np.uint64)
+_PARTS = np.arange(HASHES)[:, None]
 
 
 def paragraphs(text: str | None) -> np.ndarray:
@@ -46,17 +48,11 @@ def paragraphs(text: str | None) -> np.ndarray:
     for part in _PARAGRAPH.findall(text or ""):
         part = part.strip()
         if part:
-            out.append(xxhash.xxh3_64_intdigest(part, seed=seen[part]))
             seen[part] += 1
+            out.append(xxhash.xxh64_intdigest(part if seen[part] == 1 else f"{seen[part]}\n{part}"))
     return np.array(out, np.uint64)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 class Sketch:
     def __init__(self, cells: int):
         self.part = max(1, cells // HASHES)
@@ -65,15 +61,15 @@ class Sketch:
         self.checks = np.zeros(self.part * HASHES, np.uint64)
 
     def _places(self, digests: np.ndarray) -> np.ndarray:
-        """One place in each part of the cells; they change with the size."""
-        salts = [((k + 1) * 0x9E3779B97F4A7C15 + self.part) % 2**64 for k in range(HASHES)]
-        parts = [_mixed(digests + _U(salt)) % _U(self.part) for salt in salts]
-        return np.concatenate([p.astype(np.int64) + k * self.part for k, p in enumerate(parts)])
+        """One place in each part of the cells. Digests are random, so one product spreads them anew for every size."""
+        spread = digests * _U((0x9E3779B97F4A7C15 * (2 * self.part + 1)) % 2**64)
+        bits = (spread >> _SHIFTS) & _U(0xFFFFF)
+        return ((bits * _U(self.part)) >> _U(20)).astype(np.int64) + self.part * _PARTS
 
     def add(self, digests: np.ndarray, times: np.ndarray | int = 1) -> Sketch:
         if len(digests):
-            places = self._places(digests)
-            np.add.at(self.count, places, np.tile(np.broadcast_to(times, digests.shape), HASHES))
+            places = self._places(digests).ravel()
+            np.add.at(self.count, places, np.tile(times, HASHES) if isinstance(times, np.ndarray) else times)
             np.bitwise_xor.at(self.keys, places, np.tile(digests, HASHES))
             np.bitwise_xor.at(self.checks, places, np.tile(_check(digests), HASHES))
         return self
@@ -109,7 +105,7 @@ class Sketch:
 
 
 def _check(digests: np.ndarray) -> np.ndarray:
-    return _mixed(digests ^ _U(0xD6E8FEB86659FD93)) & _U(0xFFFFFFFF)
+    return (digests * _U(0xD6E8FEB86659FD93)) >> _U(32)
 
 
 class Version:
@@ -136,7 +132,7 @@ def difference(a: Version, b: Version) -> tuple[np.ndarray, np.ndarray, int]:
         if read is not None:
             return *read, cells
         # No use in sizes that can't hold the difference of the numbers of paragraphs.
-        cells = max(2 * cells, abs(len(a.digests) - len(b.digests)))
+        cells = max(4 * cells, abs(len(a.digests) - len(b.digests)))
 
 
 def likeness(a: Version, b: Version) -> float:
