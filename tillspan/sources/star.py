@@ -45,8 +45,8 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
         {
             "states": lambda: _states(raw),
             "cities": lambda: _cities(raw),
-            "categories": lambda: _categories(spark),
-            "payment_methods": lambda: _payment_methods(spark),
+            "categories": lambda: _categories(spark, raw),
+            "payment_methods": lambda: _payment_methods(spark, raw),
             "order_status": lambda: literal_table(spark, "order_status", ORDER_STATUS),
             "products": lambda: _products(raw),
             "customers": lambda: _customers(raw),
@@ -72,9 +72,6 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
 
 CATEGORY_ID = "ascii(p_type) * 100000 + ascii(substring(p_type, 2, 1)) * 100 + length(p_type)"
 
-# The part types and order priorities that occur in the given tables.
-PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 def _states(raw) -> DataFrame:
@@ -97,19 +94,30 @@ def _cities(raw) -> DataFrame:
     )
 
 
-def _categories(spark: SparkSession) -> DataFrame:
-    names = literal_rows(spark, [(name,) for name in PART_TYPES], ["p_type"])
+def _categories(spark: SparkSession, raw) -> DataFrame:
+    names = _values(spark, raw("part"), CATEGORY_ID, "p_type", "category_id")
     return names.selectExpr(
-        f"cast({CATEGORY_ID} as bigint) as category_id",
-        "p_type as name",
+        "cast(category_id as bigint) as category_id",
+        "name",
         "cast(null as string) as description",
         "cast(null as bigint) as parent_id",
         "true as active",
     )
 
 
-def _payment_methods(spark: SparkSession) -> DataFrame:
-    names = literal_rows(spark, [(int(name[0]), name) for name in PRIORITIES], ["method_id", "name"])
+def _values(spark: SparkSession, df: DataFrame, key: str, column: str, key_name: str) -> DataFrame:
+    """The distinct values of a column that names the rows of a small table, with their keys.
+
+    They are looked up when the table is asked for and become literals, so reports don't scan a fact for them. Of
+    several values with one key the first counts, so that no fact is multiplied.
+    """
+    found = df.where(f"{column} is not null").groupBy(F.expr(key).alias("key")).agg(F.min(column).alias("value"))
+    rows = sorted((row["key"], row["value"]) for row in found.collect())
+    return literal_rows(spark, rows or [(None, None)], [key_name, "name"]).where("name is not null")
+
+
+def _payment_methods(spark: SparkSession, raw) -> DataFrame:
+    names = _values(spark, raw("orders"), "cast(substring(o_orderpriority, 1, 1) as int)", "o_orderpriority", "method_id")
     return names.selectExpr(
         "cast(method_id as bigint) as method_id",
         "name",

@@ -29,7 +29,7 @@ class ChangeLog:
     ):
         self.versions, self.log = f"{directory}/versions", f"{directory}/log"
         self.columns = schema.fieldNames()
-        self.stored = StructType(schema.fields).add("deleted", "boolean").add("batch", "long")
+        self.stored = StructType(list(schema.fields)).add("deleted", "boolean").add("batch", "long")
         self.key, self.table_name, self.seq, self.ignore = key, table_name, seq, tuple(ignore)
 
     def start(self, snapshot: DataFrame) -> None:
