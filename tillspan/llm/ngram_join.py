@@ -27,6 +27,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,8 +38,9 @@ from tillspan.llm.components import components
 N = 4
 # The threshold in hundredths.
 PERCENT = 85
-# Counters of the sketch, as a power of two, and the parts it is merged in.
-SKETCH_BITS = 20
+# Counters of the sketch, as a power of two, and the parts it is merged in. A shingle of many documents is told apart
+# where they are more than all shingles share a counter.
+SKETCH_BITS = 24
 SLICES = 64
 # Bits of a class's parity sketch.
 PARITY_BITS = 1024
@@ -97,37 +99,52 @@ def _texts(batch: pa.RecordBatch, place: int) -> Iterator[str | None]:
 def sketch_levels(documents: DataFrame, n: int = N, bits: int = SKETCH_BITS) -> np.ndarray:
     """For every bucket of shingle hashes how often its shingles occur in all documents, as a power of two.
 
-    Fixed in size. Tasks count for themselves; slices of their counters are added up, in two steps so that no group
-    grows with the number of tasks alone.
+    Fixed in size. Tasks count for themselves, up to 255 a counter, and send compressed slices of their counters;
+    these are added up in two steps so that no group grows with the number of tasks alone. The driver gets levels.
     """
     width = (1 << bits) // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
+        counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for text in _texts(batch, 0):
-                np.add.at(counts, (shingle_set(text, n) >> _U(64 - bits)).astype(np.int64), 1)
+                np.add.at(counts, (shingle_set(text, n) >> _U(64 - bits)).astype(np.int64), np.uint32(1))
         if counts.any():
-            salt = int(counts.sum()) % 64
-            parts = [counts[k * width : (k + 1) * width].tobytes() for k in range(SLICES)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int32()), pa.array([salt] * SLICES, pa.int32()), pa.array(parts, pa.binary())],
-                ["slice", "salt", "counts"],
-            )
+            salt = int(counts.sum(dtype=np.int64)) % 64
+            few = np.minimum(counts, 255)
+            for k in range(SLICES):
+                part = few[k * width : (k + 1) * width]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([salt], pa.int32()), pa.array([_packed(part, np.uint8)], pa.binary())],
+                    ["slice", "salt", "counts"],
+                )
+
+    def total(table: pa.Table, kind: type) -> np.ndarray:
+        return sum((_unpacked(part.as_py(), kind) for part in table.column("counts")), np.zeros(width, np.uint32))
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(width, np.int64)
-        for part in table.column("counts"):
-            total += np.frombuffer(part.as_py(), np.int64)
-        return pa.table({"slice": table["slice"][:1], "salt": table["salt"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        made = [_packed(total(table, np.uint8), np.uint32)]
+        return pa.table({"slice": table["slice"][:1], "salt": table["salt"][:1], "counts": pa.array(made, pa.binary())})
+
+    def level(table: pa.Table) -> pa.Table:
+        made = [_packed(np.log2(total(table, np.uint32) + 1.0), np.uint8)]
+        return pa.table({"slice": table["slice"][:1], "salt": table["salt"][:1], "counts": pa.array(made, pa.binary())})
 
     schema = "slice int, salt int, counts binary"
     parts = documents.select("text").mapInArrow(count, schema)
-    parts = parts.groupBy("slice", "salt").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
-    counts = np.zeros(1 << bits, np.int64)
+    parts = parts.groupBy("slice", "salt").applyInArrow(add, schema).groupBy("slice").applyInArrow(level, schema)
+    levels = np.zeros(1 << bits, np.uint8)
     for row in parts.select("slice", "counts").toLocalIterator():  # SLICES rows
-        counts[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    return np.log2(counts + 1).astype(np.uint8)
+        levels[row["slice"] * width : (row["slice"] + 1) * width] = _unpacked(row["counts"], np.uint8)
+    return levels
+
+
+def _packed(counts: np.ndarray, kind: type) -> bytes:
+    return zstandard.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
 
 
 def _class_key(found: np.ndarray) -> bytes:
