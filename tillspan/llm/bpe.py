@@ -30,7 +30,7 @@ Ranks = dict[bytes, int]
 Guess = tuple[tuple[int, ...], int]
 State = tuple[int, tuple[Guess, ...]]
 
-MAX_STEPS = 200_000
+MAX_STEPS = 1_000_000
 MAX_PIECES = 100_000
 MAX_PAIRS = 200_000
 LONG_PIECE = 64
@@ -145,7 +145,7 @@ class Transducer:
         if ended is not None:
             after.append(ended)
         out = after[0][0]
-        if len(after) > 1:
+        if out and len(after) > 1:
             common = 0
             for tokens in zip(*[pending for pending, _ in after], strict=False):
                 if tokens.count(tokens[0]) < len(tokens):
