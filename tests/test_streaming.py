@@ -91,3 +91,14 @@ def test_change_log_over_batches_restart_and_replay(spark, tmp_path):
     assert rows(log.current(spark, before=1), "product_id", "price") == [(1, 11.0), (2, 20.0), (3, 30.0), (4, 40.0)]
     whole = jobs.change_log(first, log.current(spark), "product_id", "products")
     assert rows(whole, "row_id", "op") == [(1, "UPDATE"), (3, "DELETE"), (4, "INSERT")]
+
+
+def test_change_log_leaves_out_versions_that_come_late(spark, tmp_path):
+    log = ChangeLog(f"{tmp_path}/table", schema_of("products"), "product_id", "products")
+    log.start(versions(spark, [(1, "10", False, 0), (2, "20", False, 0)]).drop("deleted", "seq"))
+    log.apply(versions(spark, [(1, "30", False, 7), (2, "20", True, 8)]), 0)
+    log.apply(versions(spark, [(1, "20", False, 3), (2, "25", False, 5)]), 1)
+    assert rows(log.current(spark), "product_id", "price") == [(1, 30.0)]
+    assert rows(log.entries(spark), "batch", "row_id", "op") == [(0, 1, "UPDATE"), (0, 2, "DELETE")]
+    log.apply(versions(spark, [(1, "40", False, 7)]), 2)
+    assert rows(log.current(spark), "product_id", "price") == [(1, 40.0)]

@@ -161,7 +161,7 @@ ON_TABLES: dict[str, Callable[[Retail], DataFrame]] = {
 def _stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark, "daily-revenue")
     stream = stream_daily_revenue(star_streams(spark, sf_dir).orders, star_retail(spark, sf_dir).order_status)
-    with state_partitions(spark):
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
         return drained(stream, f"{out}/result", f"{out}/checkpoint")
 
 
@@ -169,7 +169,7 @@ def _stream_low_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_state_store(spark)
     out = run_dir(spark, "low-stock")
     stream = stream_low_stock(star_streams(spark, sf_dir).stock_deltas, star_retail(spark, sf_dir).products)
-    with state_partitions(spark):
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
         return drained(stream, f"{out}/result", f"{out}/checkpoint")
 
 

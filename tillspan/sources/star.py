@@ -23,8 +23,8 @@ def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream of files: `<name>.parquet`, and further files whose names start with it."""
-    reader = spark.readStream.schema(star_schema_of(name)).option("pathGlobFilter", f"{name}*.parquet")
+    """A table as a stream of files: `<name>.parquet`, and further files `<name>-*.parquet`."""
+    reader = spark.readStream.schema(star_schema_of(name)).option("pathGlobFilter", f"{name}{{,-*}}.parquet")
     return reader.parquet(sf_dir)
 
 

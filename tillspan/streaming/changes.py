@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,6 +12,8 @@ from tillspan.operators.jobs import change_log
 
 # The versions of the initial snapshot, before batch 0.
 INITIAL = -1
+# Column of the stored versions for the feed's order.
+VERSION = "_version"
 
 
 class ChangeLog:
@@ -19,8 +21,9 @@ class ChangeLog:
 
     `versions/batch=N` holds the rows batch N changed, `log/batch=N` what it logged. A batch reads only what
     earlier batches wrote and overwrites its own folders, so a batch that is run again after a failure leaves
-    the same files behind. A row of the feed is a full row plus `deleted`, `seq` tells the later of two
-    versions in one batch, and only the last of them counts.
+    the same files behind. A row of the feed is a full row plus `deleted`; `seq`, a whole number, tells the later
+    of two versions, and only the last of them counts. A version that comes in a later batch than a newer one is
+    left out; at equal numbers the later batch counts. Versions of the snapshot come before all others.
     """
 
     def __init__(
@@ -29,26 +32,28 @@ class ChangeLog:
     ):
         self.versions, self.log = f"{directory}/versions", f"{directory}/log"
         self.columns = schema.fieldNames()
-        self.stored = StructType(list(schema.fields)).add("deleted", "boolean").add("batch", "long")
+        self.stored = StructType(list(schema.fields)).add("deleted", "boolean").add(VERSION, "long").add("batch", "long")
         self.key, self.table_name, self.seq, self.ignore = key, table_name, seq, tuple(ignore)
 
     def start(self, snapshot: DataFrame) -> None:
-        rows = snapshot.select(*self.columns).withColumn("deleted", F.lit(False))
+        rows = snapshot.select(*self.columns).withColumns({"deleted": F.lit(False), VERSION: F.lit(None).cast("long")})
         rows.write.mode("overwrite").parquet(f"{self.versions}/batch={INITIAL}")
 
     def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The table as it stands, or as it stood before a batch."""
-        rows = spark.read.schema(self.stored).parquet(self.versions)
-        if before is not None:
-            rows = rows.filter(F.col("batch") < before)
-        return self._latest(rows, "batch").filter("not deleted").select(*self.columns)
+        return self._latest(self._stored(spark, before), self._age()).filter("not deleted").select(*self.columns)
 
     def apply(self, feed: DataFrame, batch_id: int) -> None:
         """Write the versions and the log of one batch; the argument of `foreachBatch`."""
         spark = feed.sparkSession
-        latest = self._latest(feed, self.seq).select(*self.columns, "deleted")
-        touched = latest.select(self.key)
-        old = self.current(spark, before=batch_id).join(touched, self.key, "left_semi")
+        feed = feed.withColumn(VERSION, F.col(self.seq).cast("long"))
+        latest = self._latest(feed, F.col(VERSION))
+        before = self._stored(spark, batch_id).join(latest.select(self.key), self.key, "left_semi")
+        before = self._latest(before, self._age())
+        known = before.select(self.key, F.col(VERSION).alias("_known"))
+        on_time = F.col("_known").isNull() | (F.col(VERSION) >= F.col("_known"))
+        latest = latest.join(known, self.key, "left").filter(on_time).drop("_known")
+        old = before.filter("not deleted").select(*self.columns).join(latest.select(self.key), self.key, "left_semi")
         new = latest.filter("not deleted").select(*self.columns)
         logged = change_log(old, new, self.key, self.table_name, self.ignore)
         logged.write.mode("overwrite").parquet(f"{self.log}/batch={batch_id}")
@@ -66,9 +71,17 @@ class ChangeLog:
         )
         query.awaitTermination()
 
-    def _latest(self, rows: DataFrame, order: str) -> DataFrame:
-        kept = [c for c in (*self.columns, "deleted") if c != self.key]
-        last = F.max_by(F.struct(*kept), F.col(order)).alias("last")
+    def _stored(self, spark: SparkSession, before: int | None) -> DataFrame:
+        rows = spark.read.schema(self.stored).parquet(self.versions)
+        return rows if before is None else rows.filter(F.col("batch") < before)
+
+    @staticmethod
+    def _age() -> Column:
+        return F.struct(VERSION, "batch")
+
+    def _latest(self, rows: DataFrame, order: Column) -> DataFrame:
+        kept = [c for c in (*self.columns, "deleted", VERSION) if c != self.key]
+        last = F.max_by(F.struct(*kept), order).alias("last")
         return rows.groupBy(self.key).agg(last).select(self.key, "last.*")
 
 

@@ -36,15 +36,18 @@ def drained(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataFrame:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, per_core: int = 1) -> Iterator[None]:
-    """Start stateful queries with a number of state partitions that fits the cores of the cluster.
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Start stateful queries with this many state partitions; without a number the session's setting stays.
 
     Adaptive execution does not merge the partitions of a stateful query, and the number a query starts with stays
-    with its checkpoint.
+    with its checkpoint: choose it for the data the query will see in its life.
     """
+    if partitions is None:
+        yield
+        return
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(per_core * spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(partitions))
     try:
         yield
     finally:
