@@ -16,6 +16,10 @@ from tillspan.llm import bpe, decontaminate, language_id, ngram_join, pii
 from tillspan.llm.common import Scratch, table
 from tillspan.llm.queries import VOCABULARY
 
+# Near copies share so many hundredths of their shingles of so many words; op2's own values bind op2 alone.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language that leads clearly go."""
@@ -25,7 +29,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

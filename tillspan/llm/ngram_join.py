@@ -35,8 +35,8 @@ from pyspark.sql.window import Window
 from tillspan.llm.common import Scratch
 from tillspan.llm.components import components
 
+# Defaults of the arguments `n` and `percent`: words of a shingle, and the threshold in hundredths.
 N = 4
-# The threshold in hundredths.
 PERCENT = 85
 # Counters of the sketch, as a power of two, and the parts it is merged in. A shingle of many documents is told apart
 # where they are more than all shingles share a counter.
@@ -168,7 +168,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
 
 
-def indexed(documents: DataFrame, levels: np.ndarray, n: int = N) -> DataFrame:
+def indexed(documents: DataFrame, levels: np.ndarray, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, number of shingles, key of the set and its rarest shingles, those that have to be in the index."""
     known = documents.sparkSession.sparkContext.broadcast(levels)  # one byte per counter of the sketch
     shift = _U(65 - len(levels).bit_length())
@@ -183,7 +183,7 @@ def indexed(documents: DataFrame, levels: np.ndarray, n: int = N) -> DataFrame:
                 sizes.append(size)
                 keys.append(_class_key(found) if size else None)
                 parities.append(_parities(found))
-                prefixes.append(found[order[: size - (PERCENT * size + 99) // 100 + 1]] if size else found)
+                prefixes.append(found[order[: size - (percent * size + 99) // 100 + 1]] if size else found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes), _lists(parities)],
                 ["doc_id", "n_shingles", "key", "prefix", "parity"],
@@ -216,15 +216,15 @@ def class_sets(documents: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame
     return sets.join(wanted.select("key", "cls"), "key").select("cls", "shingles").dropDuplicates(["cls"])
 
 
-def _reaches(size_a: Column, size_b: Column, common: Column) -> Column:
-    """100 * intersection >= PERCENT * union."""
-    return common * (100 + PERCENT) >= F.lit(PERCENT) * (size_a + size_b)
+def _reaches(size_a: Column, size_b: Column, common: Column, percent: int) -> Column:
+    """100 * intersection >= percent * union."""
+    return common * (100 + percent) >= F.lit(percent) * (size_a + size_b)
 
 
-def _possible(a: str, b: str) -> Column:
+def _possible(a: str, b: str, percent: int) -> Column:
     """Whether two index entries of one list can belong to similar sets, from their sizes and positions."""
     most = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
-    return _reaches(F.col(f"{a}.n"), F.col(f"{b}.n"), most)
+    return _reaches(F.col(f"{a}.n"), F.col(f"{b}.n"), most, percent)
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def _pairs(joined: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _not_apart(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+def _not_apart(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """Pairs without those whose parity sketches already differ in more places than similar sets may."""
     parity = entries.select("cls", "parity")
     both = pairs.join(parity.withColumnsRenamed({"cls": "a", "parity": "a_parity"}), "a")
@@ -244,7 +244,7 @@ def _not_apart(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     differing = sum(
         (F.bit_count(F.get("a_parity", F.lit(k)).bitwiseXOR(F.get("b_parity", F.lit(k)))) for k in range(PARITY_BITS // 64)), F.lit(0)
     )
-    return both.where(differing * (100 + PERCENT) <= (F.col("a_n") + F.col("b_n")) * (100 - PERCENT)).select("a", "a_n", "b", "b_n")
+    return both.where(differing * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)).select("a", "a_n", "b", "b_n")
 
 
 def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N) -> DataFrame:
+def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes, enough of them to tell every component.
 
     `entries`: cls, key, n, doc_id, prefix and parity of every class.
@@ -275,14 +275,14 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     lists = scratch.save(lists.where("before IS NOT NULL OR after IS NOT NULL").drop("after"))
     # First every list against its first entry and each entry against the one before.
     near = lists.where("before IS NOT NULL").select("y", F.explode(F.array("first", "before")).alias("x"))
-    near = near.where(_possible("x", "y"))
-    pairs = scratch.save(_not_apart(_pairs(near), entries))
+    near = near.where(_possible("x", "y", percent))
+    pairs = scratch.save(_not_apart(_pairs(near), entries, percent))
     names = entries.select("cls", "key", "doc_id")
     members = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
     sets = scratch.save(class_sets(documents, names.join(members(pairs), "cls", "left_semi"), n))
     compared = scratch.save(_with_differences(pairs, sets))
     common = F.col("a_n") - F.size("only_a")
-    links = compared.where(_reaches(F.col("a_n"), F.col("b_n"), common)).select("a", "b")
+    links = compared.where(_reaches(F.col("a_n"), F.col("b_n"), common, percent)).select("a", "b")
     roots = components(links, scratch)
 
     # Lists that still hold several components, in blocks of similar sizes; blocks out of reach are skipped.
@@ -290,16 +290,16 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     labelled = labelled.withColumn("root", F.coalesce("root", "cls"))
     mixed = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_lists = labelled.join(mixed.select("token"), "token", "left_semi")
-    band = lambda size: F.floor(F.log(size) / F.lit(log(100 / PERCENT)) + 1e-9)
-    reach = (F.col("n") - F.col("pos")) * (100 + PERCENT) / PERCENT - F.col("n")
+    band = lambda size: F.floor(F.log(size) / F.lit(log(100 / percent)) + 1e-9)
+    reach = (F.col("n") - F.col("pos")) * (100 + percent) / percent - F.col("n")
     blocks = F.sequence(band(F.col("n")), F.greatest(band(F.greatest(reach, F.lit(1))), band(F.col("n"))))
     entry = F.struct("cls", "n", "pos", "root")
     x = open_lists.where(reach >= F.col("n")).select("token", entry.alias("x"), F.explode(blocks).alias("block"))
     y = open_lists.select("token", entry.alias("y"), band(F.col("n")).alias("block"))
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
-    rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
+    rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", percent))
     rest = _pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    rest = scratch.save(_not_apart(rest, entries))
+    rest = scratch.save(_not_apart(rest, entries, percent))
 
     # Answers that follow from the differences to a set both have been compared with.
     seen = compared.select(F.col("a").alias("lead"), F.col("a_n").alias("lead_n"), F.col("b").alias("cls"), F.col("only_a").alias("lost"), F.col("only_b").alias("gained"))
@@ -315,22 +315,22 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     more = scratch.save(class_sets(documents, names.join(members(open_pairs), "cls", "left_semi"), n))
     direct = _with_differences(open_pairs, more)
     return (
-        links.union(derived.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("common"))).select("a", "b"))
-        .union(direct.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("a_n") - F.size("only_a"))).select("a", "b"))
+        links.union(derived.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("common"), percent)).select("a", "b"))
+        .union(direct.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("a_n") - F.size("only_a"), percent)).select("a", "b"))
     )
 
 
-def near_duplicates(documents: DataFrame, n: int = N) -> DataFrame:
+def near_duplicates(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `documents` (doc_id, text)."""
     documents = documents.select("doc_id", "text")
     scratch = Scratch(documents.sparkSession, "ngram-join")
-    rows = indexed(documents, sketch_levels(documents, n), n)
+    rows = indexed(documents, sketch_levels(documents, n), n, percent)
     classes = rows.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
     )
     # Short ids for classes; they hold because the table is written.
     classes = scratch.save(classes.withColumn("cls", F.monotonically_increasing_id()))
-    roots = components(similar_classes(documents, classes, scratch, n), scratch)
+    roots = components(similar_classes(documents, classes, scratch, n, percent), scratch)
     labelled = classes.select("cls", "key", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     labelled = labelled.select("key", "doc_id", F.coalesce("root", "cls").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -340,13 +340,13 @@ def near_duplicates(documents: DataFrame, n: int = N) -> DataFrame:
     )
 
 
-def one_of_each(documents: DataFrame, n: int = N) -> DataFrame:
+def one_of_each(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """`documents` with one of each group of near duplicates, the one with the smallest id; all columns.
 
     Documents without words are copies of nothing and stay. Rows that repeat an id are one document: one of them stays,
     and none if one of them belongs to a group with a smaller id. Rows without id stay.
     """
-    found = near_duplicates(documents, n)
+    found = near_duplicates(documents, n, percent)
     scratch = Scratch(documents.sparkSession, "one-of-each")
     gone = scratch.save(found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct())
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
