@@ -6,7 +6,7 @@ import re
 import corpus_pipeline
 from tests.conftest import SF_DIR
 from tests.llm.test_corpus import lowered
-from tillspan.llm import ngram_join
+from tillspan.llm import licenses, ngram_join
 
 
 def likeness_of_shingles(one, two, n):
@@ -54,3 +54,29 @@ def test_pipeline_drops_near_copies_from_four_fifths(spark):
     kept = {r["doc_id"] for r in corpus_pipeline.distinct_texts(spark, docs, SF_DIR).collect()}
     assert kept == smallest_ids(rows, 5, 80) and len(kept) == 40
     assert {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()} == smallest_ids(rows, 4, 85) == {i for i, _ in rows}
+
+
+def test_full_licence_texts_and_wrapped_headers(spark):
+    names = ["AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "MIT"]
+    texts = licenses.full_texts()
+    rows, wanted = [], []
+    for k, name in enumerate(names):
+        # Another holder, other lines.
+        words = f"Copyright (c) 2019 Some Body and others {texts[name]}".split()
+        rows.append((k, f"{name}/LICENSE", "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))))
+        rows.append((100 + k, f"{name}/src/x.py", "print(1)"))
+        wanted += [(k, name, "file"), (100 + k, name, "inherited")]
+    code = "\nx = compute(y)\nwhile x: y(x)" * 60
+    bsd = "\n".join(f" * {line}" for line in texts["BSD-3-Clause"].splitlines())
+    for k, text, name in [
+        (200, "/* This file is part of it.\n * It is licensed under the GNU Lesser General\n * Public License, version 3. */" + code, "LGPL-3.0"),
+        (201, "Some words about the weather of today. " * 20 + "Licensed under the Apache License, Version 2.0. And more of these words here. " * 2 + code, "Apache-2.0"),
+        (202, "# Permission is hereby granted, free of charge, to any person obtaining\n# a copy of this software and associated"
+              " documentation files (the\n# Software), to deal in the Software without restriction" + code, "MIT"),
+        (203, f"/*\n{bsd}\n*/" + code, "BSD-3-Clause"),
+        (204, "A long story of the copyright of the work and the terms of this program." + code, None),
+    ]:
+        rows.append((k, f"src/{k}.c", text))
+        wanted.append((k, name, "header" if name else "none"))
+    files = spark.createDataFrame(rows, "id long, path string, text string")
+    assert sorted((r["id"], r["license"], r["how"]) for r in licenses.license_scan(files).collect()) == sorted(wanted)
