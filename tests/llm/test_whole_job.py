@@ -6,7 +6,7 @@ import re
 import corpus_pipeline
 from tests.conftest import SF_DIR
 from tests.llm.test_corpus import lowered
-from tillspan.llm import licenses, ngram_join
+from tillspan.llm import licenses, ngram_join, pii
 
 
 def likeness_of_shingles(one, two, n):
@@ -80,3 +80,15 @@ def test_full_licence_texts_and_wrapped_headers(spark):
         wanted.append((k, name, "header" if name else "none"))
     files = spark.createDataFrame(rows, "id long, path string, text string")
     assert sorted((r["id"], r["license"], r["how"]) for r in licenses.license_scan(files).collect()) == sorted(wanted)
+
+
+def test_ibans_before_words_and_numbers():
+    for text, accounts in [
+        ("account DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+        ("pay DE89370400440532013000 EUR 500", ["DE89370400440532013000"]),
+        ("GB82 WEST 1234 5698 7654 32 DE89370400440532013000 NOW", ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]),
+        ("REF AB12 DE89 3704 0044 0532 0130 00 AND", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE88 3704 0044 0532 0130 00 EUR", []),
+    ]:
+        assert [text[s:e] for s, e, kind, _ in pii.spans_of(text) if kind == "iban"] == accounts
+        assert not any(a in pii.mask(text, pii.spans_of(text)) for a in accounts)

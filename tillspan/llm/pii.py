@@ -30,6 +30,15 @@ _PART = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# Characters of the account numbers of countries.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22,
+    "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27,
+    "TN": 24, "TR": 26, "UA": 29, "VG": 24, "XK": 20,
+}
 _ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -113,9 +122,17 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for run in _IBAN.finditer(text):
-        if mod97(run[0].replace(" ", "")):
-            yield run.span()
+    run = _IBAN.search(text)
+    while run:
+        # What follows may belong to it by its shape: every reading that ends with a word, the country's length first, then longest first.
+        words = run[0].split(" ")
+        readings = [" ".join(words[:k]) for k in range(len(words), 0, -1)]
+        readings.sort(key=lambda r: len(r.replace(" ", "")) != IBAN_LENGTH.get(r[:2]))
+        compact = ((r, r.replace(" ", "")) for r in readings)
+        end = next((run.start() + len(r) for r, c in compact if len(c) >= 15 and mod97(c)), None)
+        if end is not None:
+            yield run.start(), end
+        run = _IBAN.search(text, end or run.start() + 2)
 
 
 def _ids(text: str) -> Iterator[tuple[int, int]]:
