@@ -6,7 +6,7 @@ import re
 import corpus_pipeline
 from tests.conftest import SF_DIR
 from tests.llm.test_corpus import lowered
-from tillspan.llm import licenses, ngram_join, pii
+from tillspan.llm import fingerprints, licenses, ngram_join, pii
 
 
 def likeness_of_shingles(one, two, n):
@@ -92,3 +92,9 @@ def test_ibans_before_words_and_numbers():
     ]:
         assert [text[s:e] for s, e, kind, _ in pii.spans_of(text) if kind == "iban"] == accounts
         assert not any(a in pii.mask(text, pii.spans_of(text)) for a in accounts)
+
+
+def test_differences_of_millions_of_paragraphs():
+    one, two = (fingerprints.Version(f"{line}\n" * 1_550_000) for line in ("ab", "cd"))
+    only_one, only_two, _ = fingerprints.difference(one, two)
+    assert (sorted(only_one.tolist()), sorted(only_two.tolist())) == (sorted(one.digests.tolist()), sorted(two.digests.tolist()))

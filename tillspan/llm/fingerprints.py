@@ -37,7 +37,7 @@ MAX_BUCKETS = 2_000
 
 _PARAGRAPH = re.compile(rf"(?:[^\n.!?]|[.!?](?=[^\s.!?])){{1,{PIECE}}}[.!?]*")
 _U = np.uint64
-_SHIFTS = np.array([[2], [23], [44]], np.uint64)
+_MIXES = np.array([[0xBF58476D1CE4E5B9], [0x94D049BB133111EB], [0xD6E8FEB86659FD95]], np.uint64)
 _PARTS = np.arange(HASHES)[:, None]
 
 
@@ -61,10 +61,10 @@ class Sketch:
         self.checks = np.zeros(self.part * HASHES, np.uint64)
 
     def _places(self, digests: np.ndarray) -> np.ndarray:
-        """One place in each part of the cells. Digests are random, so one product spreads them anew for every size."""
+        """One place in each part of the cells, from 32 bits of its own. One product spreads digests anew for every size."""
         spread = digests * _U((0x9E3779B97F4A7C15 * (2 * self.part + 1)) % 2**64)
-        bits = (spread >> _SHIFTS) & _U(0xFFFFF)
-        return ((bits * _U(self.part)) >> _U(20)).astype(np.int64) + self.part * _PARTS
+        bits = ((spread ^ (spread >> _U(29))) * _MIXES) >> _U(32)
+        return ((bits * _U(self.part)) >> _U(32)).astype(np.int64) + self.part * _PARTS
 
     def add(self, digests: np.ndarray, times: np.ndarray | int = 1) -> Sketch:
         if len(digests):
