@@ -6,7 +6,7 @@ import re
 import corpus_pipeline
 from tests.conftest import SF_DIR
 from tests.llm.test_corpus import lowered
-from tillspan.llm import fingerprints, licenses, ngram_join, pii
+from tillspan.llm import decontaminate, fingerprints, licenses, ngram_join, pii
 
 
 def likeness_of_shingles(one, two, n):
@@ -98,3 +98,15 @@ def test_differences_of_millions_of_paragraphs():
     one, two = (fingerprints.Version(f"{line}\n" * 1_550_000) for line in ("ab", "cd"))
     only_one, only_two, _ = fingerprints.difference(one, two)
     assert (sorted(only_one.tolist()), sorted(only_two.tolist())) == (sorted(one.digests.tolist()), sorted(two.digests.tolist()))
+
+
+def test_passages_with_words_put_in(spark):
+    item = [f"word{k}" for k in range(40)]
+    spread = [w for k, w in enumerate(item) for w in ([w, "new"] if k % 9 == 8 else [w])]
+    docs = [(1, "before " + " ".join(spread)), (2, " ".join(item)), (3, " ".join(item[:9])), (4, " ".join(w + " a b c" for w in item)), (None, None)]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_near"] > 0, r["near_items"]) for r in decontaminate.near_passages(documents, benchmark).collect()}
+    assert got == {1: (True, ["7"]), 2: (False, []), 3: (False, []), 4: (False, []), None: (False, [])}
+    assert {r["doc_id"] for r in decontaminate.clean(documents, benchmark).collect()} == {1, 3, 4, None}
+    assert {r["doc_id"] for r in decontaminate.clean(documents, benchmark, slack=2).collect()} == {3, 4, None}

@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 from tillspan.llm.common import Scratch, ascii_lower
 
 WINDOW = 10
+# Words that may stand between those of a near passage.
+SLACK = 2
 # What ends a word, in texts whose A-Z are still in upper case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # So many windows, at about 300 bytes, may be broadcast; more are joined by shuffling the postings.
@@ -108,6 +110,7 @@ def phrase_hits(documents: DataFrame, windows: DataFrame, few: bool, slack: int
     around = _lowered(F.slice("parts", begin + 1, 2 * (length + slack) - 1))
     places = F.sequence(F.lit(1), F.greatest(F.size(around) - (length + slack) + 1, F.lit(1)))
     holds = lambda k: F.size(F.array_except("words", F.slice(around, k, length + slack))) == 0
+    found = found.where(F.array_contains(around, F.col("second")))
     first = F.get(F.filter(places, holds), F.lit(0))
     there = _lowered(F.slice("parts", F.greatest(start, F.lit(0)) + 1, length))
     exact = (start >= 0) & (there == F.col("words"))
@@ -119,11 +122,11 @@ def phrase_hits(documents: DataFrame, windows: DataFrame, few: bool, slack: int
     )
 
 
-def _spot(documents: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+def _spot(documents: DataFrame, benchmark: DataFrame, window: int, slack: int | None = None) -> tuple[DataFrame, DataFrame]:
     items = test_windows(benchmark, window)
     distinct = items.select("words").distinct()
     few = distinct.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    return phrase_hits(documents, distinct, few), items
+    return phrase_hits(documents, distinct, few, slack), items
 
 
 def _attach(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -163,9 +166,25 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     )
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """`documents` without those that hold a window; all columns."""
-    hits, _ = _spot(documents, benchmark, window)
+def near_passages(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = SLACK) -> DataFrame:
+    """Per row of `documents` (doc_id, text): places of windows that are only near, and the items they come from."""
+    documents = documents.select("doc_id", "text")
+    hits, items = _spot(documents, benchmark, window, slack)
+    key = ["doc_id", "text_key"]
+    near = Scratch(documents.sparkSession, "near").save(hits.where(~F.col("exact")).select(*key, "start", F.col("window").alias("words")).distinct())
+    n_near = near.groupBy(*key).agg(F.count_distinct("start").alias("n_near"))
+    listed = near.select(*key, "words").distinct().join(items.distinct(), "words")
+    listed = listed.groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
+    base = documents.select("doc_id", F.xxhash64("text").alias("text_key"))
+    named = _attach(_attach(base, n_near), listed)
+    return named.select(
+        "doc_id", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.coalesce("items", F.array().cast("array<string>")).alias("near_items")
+    )
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int | None = None) -> DataFrame:
+    """`documents` without those that hold a window, or with `slack` one that is only near; all columns."""
+    hits, _ = _spot(documents, benchmark, window, slack)
     bad = hits.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_text")).distinct()
     bad = Scratch(documents.sparkSession, "contaminated").save(bad)
     bad = _small(bad, bad.count() <= BROADCAST_KEYS)

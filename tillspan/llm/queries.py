@@ -54,6 +54,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.near_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(str(rule) for rule in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
@@ -93,6 +97,7 @@ QUERIES = {
         op4_secret_scans,
         op5_pii,
         op6_benchmark_decontamination,
+        op6_near_passages,
         op7_url_filters,
         op8_byte_level_bpe,
         op9_html_extraction,
