@@ -117,4 +117,43 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM docs LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)
 """
 
-SQL = {"op6_benchmark_decontamination": LEAKS, "op4_secret_scans": SECRETS, "op7_url_filters": URLS}
+# CRC-32 is folded over the bytes of each distinct word, with the table of its 256 remainders.
+RESAMPLED = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS words FROM documents),
+doc_words AS (SELECT row_id, word, count(*) AS n FROM (SELECT row_id, unnest(words) AS word FROM docs) GROUP BY ALL),
+item_words AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM benchmark) GROUP BY ALL),
+remainders AS (
+    SELECT list(r ORDER BY k) AS rs FROM (
+        SELECT k, list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS r
+        FROM range(256) t(k)
+    )
+),
+spelled AS (
+    SELECT word, list_transform(range(1, octet_length(encode(word)) + 1), lambda k:
+        CAST('0x' || substring(hex(encode(word)), 2 * k - 1, 2) AS BIGINT)) AS bytes
+    FROM (SELECT word FROM doc_words UNION SELECT word FROM item_words)
+),
+buckets AS (
+    SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(rs[(xor(c, b) & 255) + 1], c >> 8))) % 10000 AS bucket
+    FROM spelled, remainders
+),
+s AS (SELECT bucket, sum(n) AS s FROM doc_words JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM item_words JOIN buckets USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(
+        ((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE)
+        / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM s FULL JOIN t USING (bucket)
+),
+weights AS (SELECT row_id, CAST(sum(n * gain) AS BIGINT) AS weight FROM doc_words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY row_id),
+scored AS (
+    SELECT row_id, doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+        (CAST('0x' || substring(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM docs LEFT JOIN weights USING (row_id)
+),
+ranked AS (SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (10 * n) // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (row_id)
+"""
+
+SQL = {"op11_importance_resampling": RESAMPLED, "op6_benchmark_decontamination": LEAKS, "op4_secret_scans": SECRETS, "op7_url_filters": URLS}

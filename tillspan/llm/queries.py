@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspan.llm import bpe, decontaminate, fingerprints, html_extract, language_id, licenses, ngram_join, oracle, pii, secret_scan, url_filter
+from tillspan.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    html_extract,
+    language_id,
+    licenses,
+    ngram_join,
+    oracle,
+    pii,
+    resampling,
+    secret_scan,
+    sentencepiece_bpe,
+    url_filter,
+    whitening,
+)
 from tillspan.llm.common import table
 
 # The rules of the contract.
@@ -19,6 +34,7 @@ URL_RULES = [
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +104,25 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = sentencepiece_bpe.read_model(PIECES)
+    return sentencepiece_bpe.encode(documents, vocabulary, spelled="spelled", back="decoded").select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("spelled", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,6 +137,9 @@ QUERIES = {
         op8_byte_level_bpe,
         op9_html_extraction,
         op10_license_scans,
+        op11_importance_resampling,
+        op12_sentencepiece,
+        op13_embedding_whitening,
     )
 }
 ORACLE_SQL = oracle.SQL
