@@ -316,10 +316,14 @@ class Decoder:
         parts = [self.bytes[i] for i in ids]
         if self.strip and lead < len(ids) and self.kinds[ids[lead]] == "n" and self.first_blank[ids[lead]]:
             parts[lead] = parts[lead][1:]
-        try:
-            return b"".join(parts).decode()
-        except UnicodeDecodeError:
-            return self._piecewise(ids, parts)
+        # Without control pieces in between, bytes that are UTF-8 together are so run by run.
+        last = next((k for k in range(len(ids), 0, -1) if self.kinds[ids[k - 1]] != "c"), 0)
+        if not any(self.kinds[i] == "c" for i in ids[lead:last]):
+            try:
+                return b"".join(parts).decode()
+            except UnicodeDecodeError:
+                pass
+        return self._piecewise(ids, parts)
 
     def _piecewise(self, ids: list[int], parts: list[bytes]) -> str:
         """Runs of byte pieces that are no UTF-8: each byte that begins no character is U+FFFD."""
