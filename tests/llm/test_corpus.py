@@ -1,5 +1,6 @@
 """Operators on whole corpora against brute force: the join, decontamination, licences and the pipeline."""
 
+import random
 import re
 from array import array
 
@@ -20,14 +21,14 @@ def lowered(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 
 
-def shingles(text):
+def shingles(text, n=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
-    return {tuple(words[k : k + 4]) for k in range(max(1, len(words) - 3))} if words else set()
+    return {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
 
 
-def all_pairs(rows):
+def all_pairs(rows, n=4, percent=85):
     """(id, size, component) by comparing every document with every other."""
-    sets = [(i, shingles(t)) for i, t in rows]
+    sets = [(i, shingles(t, n)) for i, t in rows]
     root = list(range(len(sets)))
 
     def find(k):
@@ -38,7 +39,7 @@ def all_pairs(rows):
     for x in range(len(sets)):
         for y in range(x):
             a, b = sets[x][1], sets[y][1]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 root[find(x)] = find(y)
     groups = {}
     for k in range(len(sets)):
@@ -52,8 +53,6 @@ def test_join_against_all_pairs(spark):
 
 
 def test_join_of_edited_copies_and_hostile_rows(spark):
-    import random
-
     rng = random.Random(3)
     rows = [(900, None), (901, ""), (902, " \t"), (903, "one two"), (904, "ONE two"), (905, "x " * 30_000), (906, "É é")]
     for family in range(6):
@@ -103,12 +102,53 @@ def test_decontamination_of_hostile_rows(spark):
     assert decontaminate.contamination(documents, benchmark.limit(0)).where("contaminated").isEmpty()
 
 
-def test_near_passages(spark):
-    docs = spark.createDataFrame([(1, "the red fox and a blue dog ran"), (2, "red fox blue dog"), (3, "red fox only")], "doc_id long, text string")
-    windows = spark.createDataFrame([(["red", "fox", "blue", "dog"],)], "words array<string>")
-    hits = decontaminate.phrase_hits(docs, windows, True, slack=3).select("doc_id", "start", "length", "exact").collect()
-    assert sorted(map(tuple, hits)) == [(1, 0, 7, False), (2, 0, 4, True)] or sorted(map(tuple, hits))[1] == (2, 0, 4, True)
-    assert [h["doc_id"] for h in decontaminate.phrase_hits(docs, windows, True).collect()] == [2]
+def in_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))
+
+
+def near_places(text, items, window, slack):
+    """(places, items) of the near passages of a text, by looking at every place."""
+    words, places, found = in_words(text), set(), set()
+    for item, content in items:
+        test = in_words(content)
+        for k in range(len(test) - window + 1):
+            phrase = test[k : k + window]
+            for b in range(len(words)):
+                around = words[b : b + window + slack]
+                enough = all(around.count(w) >= phrase.count(w) for w in phrase)
+                if words[b] in phrase and enough and not any(around[j : j + window] == phrase for j in range(slack + 1)):
+                    places.add(b)
+                    found.add(item)
+    return len(places), sorted(str(i) for i in found if i is not None)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_near_passages(spark, monkeypatch, few):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 10**6 if few else 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", 10**6 if few else 0)
+    rng = random.Random(12)
+    some = lambda n, of: " ".join(rng.choice(of) for _ in range(n))
+    items = [(1, some(9, "abcdefgh")), (2, "x x y z z"), (2, some(12, "abcdefghijkl")), (3, "a b"), (None, some(6, "efghij")), (4, None)]
+    docs = [(k, some(rng.randrange(80), rng.choice(["abcdefgh", "xyz", "abcdefghijklxyz"]))) for k in range(60)]
+    docs += [(None, "A,b;C d e"), (None, "x y x z z"), (7, None), (8, ""), (9, "x " * 400 + "y z z"), (9, "x " * 400 + "y z z")]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.near_passages(documents, benchmark, window=5, slack=3).collect()
+    want = [(i, *near_places(t or "", [(i, c) for i, c in items if c], 5, 3)) for i, t in docs]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sum(n > 0 for _, n, _ in want) > 20
+
+
+def test_one_long_document_stays_small(spark):
+    # With a row of all words per word this took gigabytes.
+    item = " ".join(f"w{k}" for k in range(10))
+    text = " ".join(f"w{k % 10}" if k % 13 else "other" for k in range(60_000))
+    documents = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    n_near, _ = near_places(text[:3000], [(1, item)], 10, 2)
+    got = decontaminate.near_passages(documents, benchmark).collect()[0]
+    assert n_near > 0 and got["n_near"] > 1000
+    assert decontaminate.clean(documents.withColumnRenamed("x", "_bad"), benchmark, slack=2).isEmpty()
 
 
 def test_licences(spark):
@@ -150,15 +190,24 @@ def test_pipeline_against_brute_force(spark, piped):
     model = language_id.learn(source.where(~language_id.held_out(source["doc_id"])))
     classifier = language_id.Classifier(model)
     docs = [(r["doc_id"], r["text"]) for r in source.collect() if not classifier.predict(r["text"])[2]]
-    first = {i for i, _, c in all_pairs(docs) if i == c}
+    first = {i for i, _, c in all_pairs(docs, corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT) if i == c}
     docs = [(i, t) for i, t in docs if i in first]
-    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
     windows = set()
     for row in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect():
-        item = words(row["text"])
+        item = in_words(row["text"])
         windows |= {tuple(item[k : k + 10]) for k in range(max(1, len(item) - 9)) if item}
-    sizes = {len(w) for w in windows}
-    docs = [(i, t) for i, t in docs if not any(tuple(words(t)[k : k + n]) in windows for n in sizes for k in range(len(words(t)) - n + 1))]
+
+    def leaks(words, slack=decontaminate.SLACK):
+        for b in range(len(words)):
+            around = words[b : b + 10 + slack]
+            for window in windows:
+                if tuple(words[b : b + len(window)]) == window:
+                    return True
+                if len(window) == 10 and words[b] in window and all(around.count(w) >= window.count(w) for w in window):
+                    return True
+        return False
+
+    docs = [(i, t) for i, t in docs if not leaks(in_words(t))]
     ranks = bpe.read_ranks(queries.VOCABULARY)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     wanted = {i: library.encode_ordinary(pii.mask(t, pii.spans_of(t))) for i, t in docs}

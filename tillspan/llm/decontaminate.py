@@ -1,18 +1,25 @@
 """Operator 6: passages of a benchmark in training documents, through a positional index. Only DataFrame functions.
 
 A test window is `WINDOW` consecutive words of an item, or a shorter item as a whole. How often each test word occurs
-in all documents is counted first. Of every window the rarest word is looked up: the postings of these words, with
-document and position, are the only ones the index keeps. A posting and the offset of its word in the window give the
-place where the window would begin; the second rarest word must stand at its own offset from there, then all others
-must. `slack` also finds windows whose words all occur within that many words more, in any order.
+in all documents is counted first. Then postings (document, position, word) are stored of those words alone that are
+the rarest or second rarest of some window: two short lists per window, and no row ever carries a text. The lists are
+intersected at their offsets, rarest first; what is left names the documents that may hold a window. Of these few the
+postings of all test words are stored, too, and the lists of the other words must meet at their own offsets.
+
+`slack` also finds near passages: all words of a full window, each as often as in the window, in any order among
+`WINDOW + slack` consecutive words that begin with one of them and don't hold the window itself. Postings that have the
+window's second rarest word nearby are candidates; the other lists are joined in blocks of positions, so that nothing
+grows with the square of a word's occurrences.
 
 Defined results: NULL and texts without words have no words and no hits; NULL and empty items have no windows; an item
 without id hits, but isn't listed; documents that repeat an id keep their own results, equal rows get equal results;
-a place covered by several windows counts once.
+a place covered by several windows counts once; extra columns of any name are kept by `clean` and ignored elsewhere.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,9 +31,9 @@ WINDOW = 10
 SLACK = 2
 # What ends a word, in texts whose A-Z are still in upper case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# So many windows, at about 300 bytes, may be broadcast; more are joined by shuffling the postings.
+# So many windows, at about 300 bytes, may be broadcast; more are joined by shuffling postings.
 BROADCAST_WINDOWS = 200_000
-# So many keys of documents, of 16 bytes, may be broadcast.
+# So many keys of documents, of about 40 bytes, may be broadcast.
 BROADCAST_KEYS = 500_000
 
 
@@ -44,14 +51,13 @@ def word_count(parts: Column) -> Column:
     return F.size(parts) - _leads(parts) - trails
 
 
-def _lowered(words: Column) -> Column:
-    return F.transform(words, ascii_lower)
-
-
+def document_key(id: Column, text: Column) -> Column:
+    """One key for rows of the same id and text; the id may be NULL."""
+    return F.concat(F.coalesce(F.concat(F.lit("="), id.cast("string")), F.lit("-")), F.lit(":"), F.xxhash64(text).cast("string"))
 
 
 def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows: words, and the ids of the items they come from."""
+    """(item, words) of every window of every item."""
     parts = F.filter(_split(ascii_lower(F.col("text"))), lambda w: w != "")
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), parts.alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
@@ -59,101 +65,141 @@ def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.select("item", F.slice("words", F.col("start"), F.lit(window)).alias("words"))
 
 
-def _explode_words(documents: DataFrame) -> DataFrame:
-    """(key columns, parts, pos, word): every word with its place, in lower case."""
-    parts = documents.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), _split(F.col("text")).alias("parts"))
-    spread = parts.select("doc_id", "text_key", "parts", F.posexplode("parts").alias("pos", "word")).where(F.col("word") != "")
-    return spread.withColumn("word", ascii_lower(F.col("word")))
-
-
-def _small(df: DataFrame, few: bool) -> DataFrame:
-    return F.broadcast(df) if few else df
-
-
-def phrase_hits(documents: DataFrame, windows: DataFrame, few: bool, slack: int | None = None) -> DataFrame:
-    """Where windows occur: doc_id, text_key, start, length, window (its words), exact (false: only near).
-
-    `windows` has one row per distinct `words`; `few` says that it may be broadcast.
-    """
-    spread = windows.select("words", F.posexplode("words").alias("offset", "word"))
-    counts = (
-        _explode_words(documents.select("doc_id", "text"))
-        .join(_small(spread.select("word").distinct(), few), "word")
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    # A window with a word that no document has can't occur as a phrase.
-    rarity = F.struct("times", "offset", "word")
-    ranked = spread.join(counts, "word").groupBy("words").agg(F.array_sort(F.collect_list(rarity)).alias("rare"))
-    ranked = ranked.where(F.size("rare") == F.size("words")).select(
-        "words",
-        F.array_join("words", " ").alias("phrase"),
-        F.col("rare")[0]["word"].alias("word"),
-        F.col("rare")[0]["offset"].alias("offset"),
-        F.element_at("rare", F.least(F.size("rare"), F.lit(2)))["word"].alias("second"),
-        F.element_at("rare", F.least(F.size("rare"), F.lit(2)))["offset"].alias("second_offset"),
-    )
-    postings = _explode_words(documents.select("doc_id", "text"))
-    found = postings.join(_small(ranked, few), "word")
-    start = F.col("pos") - F.col("offset")  # counts from 0 in `parts`
-    length = F.size("words")
-    if slack is None:
-        second = ascii_lower(F.get("parts", start + F.col("second_offset")))
-        fits = (start >= 0) & (start + length <= F.size("parts"))
-        found = found.where(fits & (second == F.col("second")))
-        # Joined words compare like the arrays, as words hold no blank; and no row has to carry a whole text for it.
-        there = ascii_lower(F.array_join(F.slice("parts", F.greatest(start, F.lit(0)) + 1, length), " "))
-        return found.where(there == F.col("phrase")).select(
-            "doc_id", "text_key", (start - _leads(F.col("parts"))).alias("start"), length.alias("length"), F.col("words").alias("window"), F.lit(True).alias("exact")
-        )
-    begin = F.greatest(F.col("pos") - (length + slack - 1), F.lit(0))
-    around = _lowered(F.slice("parts", begin + 1, 2 * (length + slack) - 1))
-    places = F.sequence(F.lit(1), F.greatest(F.size(around) - (length + slack) + 1, F.lit(1)))
-    holds = lambda k: F.size(F.array_except("words", F.slice(around, k, length + slack))) == 0
-    found = found.where(F.array_contains(around, F.col("second")))
-    first = F.get(F.filter(places, holds), F.lit(0))
-    there = _lowered(F.slice("parts", F.greatest(start, F.lit(0)) + 1, length))
-    exact = (start >= 0) & (there == F.col("words"))
-    found = found.withColumns({"exact": exact, "first": first}).where("exact OR first IS NOT NULL")
-    at = F.when(F.col("exact"), start).otherwise(begin + F.col("first") - 1)
-    size = F.when(F.col("exact"), length).otherwise(length + slack)
-    return found.select(
-        "doc_id", "text_key", (at - _leads(F.col("parts"))).alias("start"), size.alias("length"), F.col("words").alias("window"), "exact"
-    )
-
-
-def _spot(documents: DataFrame, benchmark: DataFrame, window: int, slack: int | None = None) -> tuple[DataFrame, DataFrame]:
-    items = test_windows(benchmark, window)
-    distinct = items.select("words").distinct()
-    few = distinct.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    return phrase_hits(documents, distinct, few, slack), items
-
-
-def _attach(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join by document; ids may be NULL."""
-    right = right.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    return left.join(right, same, "left").drop("_id", "_key")
+def _keyed(documents: DataFrame) -> DataFrame:
+    return documents.where(F.col("text").isNotNull()).select(document_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+
+
+def postings(keyed: DataFrame, words: DataFrame, small: bool) -> DataFrame:
+    """(key, pos, word) of the given words in documents (key, text); positions count words from 0."""
+    parts = keyed.select("key", _split(F.col("text")).alias("parts"))
+    spread = parts.select("key", _leads(F.col("parts")).alias("lead"), F.posexplode("parts").alias("at", "word"))
+    spread = spread.select("key", (F.col("at") - F.col("lead")).alias("pos"), ascii_lower(F.col("word")).alias("word"))
+    return spread.join(_small(words, small), "word", "left_semi").select("key", "pos", "word")
+
+
+def _small(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+@dataclass(frozen=True)
+class Spotted:
+    """Windows that occur: `exact` and `near` (None without slack) as (key, wid, start); `windows` by wid; `items`."""
+
+    exact: DataFrame
+    near: DataFrame | None
+    windows: DataFrame
+    items: DataFrame
+    few: bool
+
+
+def spot(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int | None = None) -> Spotted:
+    """Where windows of the items occur in `documents` (doc_id, text)."""
+    scratch = Scratch(documents.sparkSession, "postings")
+    cut = scratch.save(test_windows(benchmark, window))
+    numbered = cut.select("words").distinct().select(F.monotonically_increasing_id().alias("wid"), "words", F.size("words").alias("length"))
+    windows = scratch.save(numbered)  # numbers hold once they are written
+    few = windows.count() <= BROADCAST_WINDOWS
+    items = cut.join(_small(windows, few), "words").select("wid", "item").distinct()
+    keyed = _keyed(documents)
+    spread = windows.select("wid", "length", F.posexplode("words").alias("offset", "word"))
+    vocabulary = spread.select("word").distinct()
+    counts = scratch.save(postings(keyed, vocabulary, few).groupBy("word").agg(F.count(F.lit(1)).alias("times")))
+    # The lists of a window from its rarest word on; a window with a word that no document has can't occur.
+    ranked = spread.join(_small(counts, few), "word").groupBy("wid", "length").agg(F.array_sort(F.collect_list(F.struct("times", "offset", "word"))).alias("lists"))
+    ranked = ranked.where(F.size("lists") == F.col("length")).select("wid", "length", F.posexplode("lists").alias("rank", "list"))
+    lists = scratch.save(ranked.select("wid", "length", "rank", "list.offset", "list.word"))
+    index = scratch.save(postings(keyed, lists.where("rank < 2").select("word").distinct(), few))
+    found = scratch.save(_both_rarest(index, lists, few))
+    nearby = None
+    if slack is not None:
+        nearby = scratch.save(_second_nearby(index, lists.where(F.col("length") == window), window + slack, few))
+    candidates = (found if nearby is None else found.select("key").unionByName(nearby.select("key"))).select("key").distinct()
+    candidates = scratch.save(candidates)
+    whole = scratch.save(postings(keyed.join(_small(candidates, candidates.count() <= BROADCAST_KEYS), "key", "left_semi"), vocabulary, few))
+    exact = scratch.save(_others_in_place(found, whole, lists, few))
+    near = None if nearby is None else scratch.save(_others_around(nearby, exact, whole, lists, window, slack, few))
+    return Spotted(exact, near, windows, items, few)
+
+
+def _both_rarest(index: DataFrame, lists: DataFrame, few: bool) -> DataFrame:
+    """(key, wid, length, start) where the rarest and the second rarest word of a window stand at their offsets."""
+
+    def starts(rank: int) -> DataFrame:
+        of_rank = lists.where(F.col("rank") == rank).select("word", "wid", "length", "offset")
+        return index.join(_small(of_rank, few), "word").select("key", "wid", "length", (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0")
+
+    first = starts(0)
+    return first.where("length > 1").join(starts(1).drop("length"), ["key", "wid", "start"], "left_semi").unionByName(first.where("length = 1"))
+
+
+def _others_in_place(found: DataFrame, whole: DataFrame, lists: DataFrame, few: bool) -> DataFrame:
+    """(key, wid, start) of those places where all other words stand at their offsets, too."""
+    rest = found.join(_small(lists.where("rank > 1").select("wid", "offset", "word"), few), "wid")
+    wanted = rest.select("key", "wid", "length", "start", (F.col("start") + F.col("offset")).alias("pos"), "word")
+    met = wanted.join(whole, ["key", "pos", "word"], "left_semi").groupBy("key", "wid", "length", "start").agg(F.count(F.lit(1)).alias("met"))
+    return met.where("met = length - 2").select("key", "wid", "start").unionByName(found.where("length <= 2").select("key", "wid", "start"))
+
+
+def _second_nearby(index: DataFrame, lists: DataFrame, span: int, few: bool) -> DataFrame:
+    """(key, wid, pos) of rarest words that have the second rarest word of their window less than `span` words away."""
+    of_rank = lambda rank: _small(lists.where(F.col("rank") == rank).select("word", "wid"), few)
+    block = F.floor(F.col("pos") / span)
+    first = index.join(of_rank(0), "word").select("key", "wid", "pos", block.alias("block"))
+    around = F.explode(F.array(block - 1, block, block + 1)).alias("block")
+    second = index.join(of_rank(1), "word").select("key", "wid", F.col("pos").alias("other"), around)
+    close = F.abs(F.col("first.pos") - F.col("second.other")) < span
+    same = [F.col(f"first.{c}") == F.col(f"second.{c}") for c in ("key", "wid", "block")]
+    return first.alias("first").join(second.alias("second"), [*same, close], "left_semi").select("key", "wid", "pos")
+
+
+def _others_around(nearby: DataFrame, exact: DataFrame, whole: DataFrame, lists: DataFrame, window: int, slack: int, few: bool) -> DataFrame:
+    """(key, wid, start) of the near passages around the given postings."""
+    span = window + slack
+    needs = lists.groupBy("wid", "word").agg(F.count(F.lit(1)).alias("times"))
+    block = F.floor(F.col("pos") / span)
+    around = F.explode(F.array(block - 1, block, block + 1)).alias("block")
+    wanted = nearby.select("key", "wid", "pos", around).join(_small(needs.select("wid", "word"), few), "wid")
+    there = whole.select("key", "word", F.col("pos").alias("at"), F.floor(F.col("pos") / span).alias("block"))
+    met = wanted.join(there, ["key", "word", "block"]).where(F.abs(F.col("at") - F.col("pos")) < span)
+    # At most 2 * span - 1 positions each.
+    met = met.groupBy("key", "wid", "pos").agg(F.collect_set(F.struct("at", "word")).alias("met"))
+    needed = needs.groupBy("wid").agg(F.collect_list(F.struct("word", "times")).alias("needed"))
+    met = met.join(_small(needed, few), "wid")
+
+    def enough(start: Column) -> Column:
+        inside = F.filter("met", lambda m: (m["at"] >= start) & (m["at"] < start + span))
+        return F.forall("needed", lambda n: F.size(F.filter(inside, lambda m: m["word"] == n["word"])) >= n["times"])
+
+    begins = F.transform(F.filter("met", lambda m: (m["at"] <= F.col("pos")) & (m["at"] > F.col("pos") - span)), lambda m: m["at"])
+    starts = met.select("key", "wid", F.explode(F.filter(begins, enough)).alias("start")).distinct()
+    holding = exact.select("key", "wid", F.explode(F.sequence(F.col("start") - slack, F.col("start"))).alias("start"))
+    return starts.join(holding, ["key", "wid", "start"], "left_anti")
+
+
+def _listed(hits: DataFrame, items: DataFrame, few: bool) -> DataFrame:
+    """(key, items) with the ids of all items that hit a document."""
+    pairs = hits.select("key", "wid").distinct().join(_small(items, few), "wid")
+    return pairs.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of `documents` (doc_id, text): words, words inside windows, items found, their digest."""
     documents = documents.select("doc_id", "text")
-    hits, items = _spot(documents, benchmark, window)
-    key = ["doc_id", "text_key"]
-    places = hits.groupBy(*key, "start").agg(F.max("length").alias("length"))
-    earlier = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    found = spot(documents, benchmark, window)
+    places = found.exact.join(_small(found.windows.select("wid", "length"), found.few), "wid")
+    places = places.groupBy("key", "start").agg(F.max("length").alias("length"))
+    earlier = Window.partitionBy("key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("length")
-    covered = places.select(*key, "start", end.alias("end"), F.max(end).over(earlier).alias("before"))
+    covered = places.select("key", "start", end.alias("end"), F.max(end).over(earlier).alias("before"))
     new = F.greatest(F.col("end") - F.greatest("start", F.coalesce("before", "start")), F.lit(0))
-    n_hit = covered.groupBy(*key).agg(F.sum(new).alias("n_hit"))
-    listed = hits.select(*key, F.col("window").alias("words")).distinct().join(items.distinct(), "words")
-    listed = listed.groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
+    n_hit = covered.groupBy("key").agg(F.sum(new).alias("n_hit"))
     parts = _split(F.col("text"))
     base = documents.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), F.when(F.col("text").isNull(), 0).otherwise(word_count(parts)).cast("long").alias("n_words")
+        "doc_id",
+        document_key(F.col("doc_id"), F.col("text")).alias("key"),
+        F.when(F.col("text").isNull(), 0).otherwise(word_count(parts)).cast("long").alias("n_words"),
     )
-    named = _attach(_attach(base, n_hit), listed)
+    named = base.join(n_hit, "key", "left").join(_listed(found.exact, found.items, found.few), "key", "left")
     ids = F.coalesce("items", F.array().cast("array<string>"))
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return named.select(
@@ -167,16 +213,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def near_passages(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = SLACK) -> DataFrame:
-    """Per row of `documents` (doc_id, text): places of windows that are only near, and the items they come from."""
+    """Per row of `documents` (doc_id, text): places where windows are only near, and the items they come from."""
     documents = documents.select("doc_id", "text")
-    hits, items = _spot(documents, benchmark, window, slack)
-    key = ["doc_id", "text_key"]
-    near = Scratch(documents.sparkSession, "near").save(hits.where(~F.col("exact")).select(*key, "start", F.col("window").alias("words")).distinct())
-    n_near = near.groupBy(*key).agg(F.count_distinct("start").alias("n_near"))
-    listed = near.select(*key, "words").distinct().join(items.distinct(), "words")
-    listed = listed.groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
-    base = documents.select("doc_id", F.xxhash64("text").alias("text_key"))
-    named = _attach(_attach(base, n_near), listed)
+    found = spot(documents, benchmark, window, slack)
+    n_near = found.near.groupBy("key").agg(F.count_distinct("start").alias("n_near"))
+    base = documents.select("doc_id", document_key(F.col("doc_id"), F.col("text")).alias("key"))
+    named = base.join(n_near, "key", "left").join(_listed(found.near, found.items, found.few), "key", "left")
     return named.select(
         "doc_id", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.coalesce("items", F.array().cast("array<string>")).alias("near_items")
     )
@@ -184,9 +226,11 @@ def near_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int | None = None) -> DataFrame:
     """`documents` without those that hold a window, or with `slack` one that is only near; all columns."""
-    hits, _ = _spot(documents, benchmark, window, slack)
-    bad = hits.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_text")).distinct()
-    bad = Scratch(documents.sparkSession, "contaminated").save(bad)
+    found = spot(documents.select("doc_id", "text"), benchmark, window, slack)
+    bad = found.exact.select("key") if found.near is None else found.exact.select("key").unionByName(found.near.select("key"))
+    own = "_bad"
+    while own in documents.columns:
+        own += "_"
+    bad = Scratch(documents.sparkSession, "contaminated").save(bad.select(F.col("key").alias(own)).distinct())
     bad = _small(bad, bad.count() <= BROADCAST_KEYS)
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_text"))
-    return documents.join(bad, same, "left_anti")
+    return documents.join(bad, document_key(documents["doc_id"], documents["text"]) == bad[own], "left_anti")

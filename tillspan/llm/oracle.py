@@ -117,6 +117,40 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM docs LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)
 """
 
+# All words of a full window, each as often as there, among 12 words from one of them on that don't hold the window.
+NEAR = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark),
+windows AS (
+    SELECT row_number() OVER () AS wid, phrase FROM (
+        SELECT DISTINCT words[k:k + 9] AS phrase FROM (SELECT words, unnest(range(1, len(words) - 8)) AS k FROM items WHERE len(words) >= 10)
+    )
+),
+window_items AS (
+    SELECT DISTINCT wid, item FROM windows JOIN (
+        SELECT item, words[k:k + 9] AS phrase FROM (SELECT item, words, unnest(range(1, len(words) - 8)) AS k FROM items WHERE len(words) >= 10)
+    ) USING (phrase)
+),
+docs AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS words FROM documents),
+doc_words AS (SELECT row_id, k, words[k] AS word FROM (SELECT row_id, words, unnest(range(1, len(words) + 1)) AS k FROM docs)),
+counts AS (SELECT word, count(*) AS n FROM doc_words GROUP BY word),
+rarest AS (SELECT wid, arg_min(word, n) AS word FROM (SELECT wid, unnest(phrase) AS word FROM windows) JOIN counts USING (word) GROUP BY wid),
+begins AS (
+    SELECT DISTINCT row_id, wid, begin FROM (
+        SELECT row_id, wid, unnest(range(greatest(k - 11, 1), k + 1)) AS begin FROM doc_words JOIN rarest USING (word)
+    )
+),
+places AS (SELECT row_id, wid, begin AS k, phrase, words[begin:begin + 11] AS around FROM begins JOIN docs USING (row_id) JOIN windows USING (wid)),
+near AS (
+    SELECT row_id, k, wid FROM places
+    WHERE list_contains(phrase, around[1]) AND list_has_all(around, phrase)
+        AND len(list_filter(phrase, lambda w: len(list_filter(around, lambda a: a = w)) < len(list_filter(phrase, lambda p: p = w)))) = 0
+        AND around[1:10] <> phrase AND around[2:11] <> phrase AND around[3:12] <> phrase
+)
+SELECT doc_id, coalesce(n_near, 0) AS n_near, coalesce(near_items, []) AS near_items
+FROM docs LEFT JOIN (SELECT row_id, count(DISTINCT k) AS n_near FROM near GROUP BY row_id) USING (row_id)
+LEFT JOIN (SELECT row_id, list(DISTINCT item ORDER BY item) AS near_items FROM near JOIN window_items USING (wid) GROUP BY row_id) USING (row_id)
+"""
+
 # CRC-32 is folded over the bytes of each distinct word, with the table of its 256 remainders.
 RESAMPLED = f"""
 WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS words FROM documents),
@@ -156,4 +190,4 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= (10 * n) // 100 THE
 FROM scored LEFT JOIN ranked USING (row_id)
 """
 
-SQL = {"op11_importance_resampling": RESAMPLED, "op6_benchmark_decontamination": LEAKS, "op4_secret_scans": SECRETS, "op7_url_filters": URLS}
+SQL = {"op6_near_passages": NEAR, "op11_importance_resampling": RESAMPLED, "op6_benchmark_decontamination": LEAKS, "op4_secret_scans": SECRETS, "op7_url_filters": URLS}
