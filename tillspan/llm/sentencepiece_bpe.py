@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 BLANK = "▁"
 NEVER = np.iinfo(np.int64).max
 # Characters of words that a worker remembers, twice at most: a young and an old generation.
-REMEMBERED = 8_000_000
+REMEMBERED = 4_000_000
 # Longer words are never remembered.
 LONG_WORD = 64
 # Characters merged in one flat array, unless a single word is longer.
@@ -360,7 +360,7 @@ def _tools(known) -> tuple[Encoder, Decoder]:
 
 
 # Texts of a batch are encoded together up to so many characters.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 
 
 def _groups(texts: list[str]) -> Iterator[list[str]]:
