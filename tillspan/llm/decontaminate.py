@@ -109,10 +109,10 @@ def spot(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack
     ranked = ranked.where(F.size("lists") == F.col("length")).select("wid", "length", F.posexplode("lists").alias("rank", "list"))
     lists = scratch.save(ranked.select("wid", "length", "rank", "list.offset", "list.word"))
     index = scratch.save(postings(keyed, lists.where("rank < 2").select("word").distinct(), few))
-    found = scratch.save(_both_rarest(index, lists, few))
+    found = scratch.save(_both_rarest(index, lists, few).distinct())  # rows that repeat id and text share a key
     nearby = None
     if slack is not None:
-        nearby = scratch.save(_second_nearby(index, lists.where(F.col("length") == window), window + slack, few))
+        nearby = scratch.save(_second_nearby(index, lists.where(F.col("length") == window), window + slack, few).distinct())
     candidates = (found if nearby is None else found.select("key").unionByName(nearby.select("key"))).select("key").distinct()
     candidates = scratch.save(candidates)
     whole = scratch.save(postings(keyed.join(_small(candidates, candidates.count() <= BROADCAST_KEYS), "key", "left_semi"), vocabulary, few))
