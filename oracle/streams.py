@@ -28,8 +28,30 @@ SELECT order_id, order_no, customer_id, status_id, total::DOUBLE AS total, coupo
 FROM m_orders WHERE order_ts >= TIMESTAMP '1996-01-15' AND order_ts < TIMESTAMP '2001-01-15'
 """
 
+# One month holds the lines of more than ten units alone.
+L02_ITEMS = f"""
+SELECT item_id, order_id, product_id, qty::BIGINT AS qty, i.subtotal::DOUBLE AS subtotal, strftime(order_ts, '%Y-%m') AS month,
+  {stamp('order_ts')} AS order_ts
+FROM m_order_items i JOIN m_orders o USING (order_id)
+WHERE order_ts >= TIMESTAMP '1997-12-10' AND order_ts < TIMESTAMP '1998-04-20'
+AND (strftime(order_ts, '%Y-%m') <> '1998-02' OR qty > 10)
+"""
+
+L02_BUCKETS = """
+SELECT order_id, customer_id, total::DOUBLE AS total, count(*) AS n_items, sum(qty)::BIGINT AS units, sum(i.subtotal)::DOUBLE AS items_value
+FROM m_order_items i JOIN m_orders o USING (order_id) GROUP BY ALL
+"""
+
+L03 = "\nUNION ALL\n".join(
+    f"SELECT '{column}' AS \"column\", count(*) - count({column}) AS num_nulls, min({column})::VARCHAR AS min, max({column})::VARCHAR AS max FROM m_products"
+    for column in ("product_id", "category_id", "stock", "price", "promo_price")
+)
+
 SQL = {
     "l02_write_and_load": L02,
+    "l02_items_round_trip": L02_ITEMS,
+    "l02_bucketed_join": L02_BUCKETS,
+    "l03_column_statistics": L03,
     "s01_stream_daily_revenue": S01,
     "s02_stream_low_stock": S02,
     "s03_stream_change_log": J05,

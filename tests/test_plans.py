@@ -10,7 +10,7 @@ from tests.helpers import rows
 from tillspan.catalog import ON_TABLES
 from tillspan.plans.inspect import operators, plan_text, scans
 from tillspan.sources.star import star_retail
-from tillspan.sources.tables import Retail, load_tables, write_table
+from tillspan.sources.tables import Retail, load_tables, with_month, write_table
 
 QUERIES = entry.queries()
 
@@ -73,7 +73,7 @@ def stored(spark, tmp_path_factory):
     directory = str(tmp_path_factory.mktemp("shop"))
     star = star_retail(spark, SF_DIR.replace("0.001", "0.01"))
     for name in STORED:
-        write_table(getattr(star, name), directory, name)
+        write_table(with_month(star.order_items, star.orders) if name == "order_items" else getattr(star, name), directory, name)
     loaded = load_tables(spark, directory, STORED)
     return Retail({name: (lambda name=name: getattr(loaded if name in STORED else star, name)) for name in star.names()})
 
@@ -95,5 +95,22 @@ def test_small_tables_are_broadcast_when_everything_else_is_too_large(name, spar
 
 def test_stored_tables_give_the_same_answers(spark, stored):
     star = star_retail(spark, SF_DIR.replace("0.001", "0.01"))
-    for name in ("r02_best_sellers", "r04_region_category_revenue", "r07_payment_performance", "r09_stockout_forecast"):
+    for name in ("r01_sales_detail", "r02_best_sellers", "r04_region_category_revenue", "r06_monthly_trend", "r07_payment_performance", "r09_stockout_forecast", "r10_executive_dashboard"):
         assert rows(ON_TABLES[name](stored)) == rows(ON_TABLES[name](star))
+
+
+@pytest.mark.parametrize(
+    "name", ["r01_sales_detail", "r06_monthly_trend", "r06b_monthly_trend_order_grain", "r09_stockout_forecast", "r10_executive_dashboard", "r10b_dashboard_long"]
+)
+def test_a_period_prunes_the_folders_of_orders_and_items(name, spark, stored):
+    text = plan_text(ON_TABLES[name](stored))
+    for table in ("orders", "order_items"):
+        found = re.findall(rf"Location: \w+ \[\S*/{table}[\]/].*?(?=ReadSchema)", text, flags=re.DOTALL)
+        assert found and all(re.search(r"PartitionFilters: \[.*month#\d+ >= \d{4}-\d\d", scan) or table == "orders" and "month#" in scan for scan in found), text
+    if name == "r06b_monthly_trend_order_grain":
+        assert rows(ON_TABLES[name](stored)) == rows(ON_TABLES[name](star_retail(spark, SF_DIR.replace("0.001", "0.01"))))
+
+
+def test_buckets_spare_every_exchange(spark):
+    text = plan_text(QUERIES["l02_bucketed_join"](spark, SF_DIR))
+    assert "hashpartitioning" not in text and "Bucketed: true" in text

@@ -1,9 +1,13 @@
 """Loading, writing, pruning and analysing tables."""
 
 import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import make, rows
-from tests.test_reports import order, product
+from tests.test_reports import item, order, product
 from tillspan.operators import reports
 from tillspan.plans.inspect import plan_text
 from tillspan.sources.schemas import RETAIL_DDL, schema_of
@@ -14,7 +18,9 @@ from tillspan.sources.tables import (
     catalog_tables,
     in_period,
     load_tables,
+    replace_months,
     save_bucketed,
+    with_month,
     write_table,
 )
 
@@ -31,6 +37,32 @@ def test_round_trip_and_month_folders(spark, tmp_path):
     assert len(glob.glob(f"{tmp_path}/orders/month=2024-*")) == 3
 
 
+def test_items_lie_in_the_month_of_their_order_and_months_are_replaced_alone(spark, tmp_path):
+    orders = make(spark, "orders", [order(n, ts=f"2024-{n:02d}-15T00:00:00") for n in (1, 2, 3)])
+    items = make(spark, "order_items", [item(n, p) for n in (1, 2, 3) for p in (1, 2)] + [item(99, 1)])
+    with pytest.raises(ValueError):
+        write_table(items, str(tmp_path), "order_items")
+    write_table(with_month(items, orders), str(tmp_path), "order_items")
+    stored = load_tables(spark, str(tmp_path)).order_items
+    assert sorted((r["order_id"], r["month"]) for r in stored.collect()) == [
+        (1, "2024-01"), (1, "2024-01"), (2, "2024-02"), (2, "2024-02"), (3, "2024-03"), (3, "2024-03"), (99, None)
+    ]
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/order_items/month=*/*.parquet")}
+    before = files()
+    replace_months(stored.filter("month = '2024-02' and product_id = 2").withColumn("qty", F.lit(77)), str(tmp_path), "order_items")
+    after = files()
+    assert {f for f in before if "2024-02" not in f} == {f for f in after if "2024-02" not in f}
+    assert all(before[f] == after[f] for f in after if "2024-02" not in f)
+    assert not {f for f in before if "2024-02" in f} & set(after)
+    changed = load_tables(spark, str(tmp_path)).order_items
+    assert sorted((r["order_id"], r["product_id"], r["qty"] == 77) for r in changed.collect()) == [
+        (1, 1, False), (1, 2, False), (2, 2, True), (3, 1, False), (3, 2, False), (99, 1, False)
+    ]
+    # Nothing to replace changes nothing.
+    replace_months(changed.limit(0), str(tmp_path), "order_items")
+    assert files() == after
+
+
 def test_a_period_prunes_month_folders_and_reaches_the_scan(spark, tmp_path):
     orders = make(spark, "orders", [order(n, ts=f"2024-{m:02d}-15T00:00:00") for n, m in enumerate((1, 2, 3, 4))])
     write_table(orders, str(tmp_path), "orders")

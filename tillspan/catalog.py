@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,22 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, Tim
 
 from tillspan.operators import extras, jobs, lookups, matching, quality, reports, rules, views
 from tillspan.operators.checkout import Checkout, checkout
+from tillspan.operators.common import order_keys
 from tillspan.functions.dates import instant
 from tillspan.plans.lineage import run_dir
 from tillspan.sources.star import AS_OF, star_retail, star_streams
-from tillspan.sources.tables import MONTH, Retail, in_period, load_tables, write_table
+from tillspan.sources.tables import (
+    MONTH,
+    Retail,
+    analyze_table,
+    bucketed_tables,
+    column_statistics,
+    in_period,
+    load_tables,
+    replace_months,
+    with_month,
+    write_table,
+)
 from tillspan.streaming.changes import ChangeLog, stream_change_log
 from tillspan.streaming.revenue import stream_daily_revenue
 from tillspan.streaming.run import drained, state_partitions
@@ -21,6 +34,8 @@ from tillspan.streaming.stock import stream_low_stock, use_state_store
 
 SINCE = "1998-01-01"
 COHORTS_SINCE = "1996-01-01"
+CORRECTED_MONTH = "1998-02"
+BUCKETS = 8
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -191,8 +206,42 @@ def _write_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _items_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items by month: written, one month corrected in place, and read for a period of their orders."""
+    out, star = run_dir(spark, "shop"), star_retail(spark, sf_dir)
+    write_table(star.orders, out, "orders")
+    write_table(with_month(star.order_items, star.orders), out, "order_items")
+    written = load_tables(spark, out, ["order_items"]).order_items
+    replace_months(written.filter((F.col(MONTH) == CORRECTED_MONTH) & (F.col("qty") > 10)), out, "order_items")
+    t = load_tables(spark, out, ["orders", "order_items"])
+    sold = in_period(t.orders, "order_ts", "1997-12-10", "1998-04-20").select(*order_keys(t), "order_ts")
+    return t.order_items.join(sold, order_keys(t)).select("item_id", "order_id", "product_id", "qty", "subtotal", MONTH, "order_ts")
+
+
+def _bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value of the items of every order beside its total, from tables in buckets of the order."""
+    star = star_retail(spark, sf_dir)
+    t = bucketed_tables(spark, {"orders": star.orders, "order_items": star.order_items}, "order_id", BUCKETS)
+    items = t.order_items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("qty").alias("units"), F.sum("subtotal").alias("items_value")
+    )
+    return t.orders.select("order_id", "customer_id", "total").join(items, "order_id")
+
+
+def _column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the planner knows of some columns once the stored table is analysed; without its estimate of distinct values."""
+    columns = ["product_id", "category_id", "stock", "price", "promo_price"]
+    table = f"products_{uuid.uuid4().hex}"
+    star_retail(spark, sf_dir).products.select(*columns).write.option("path", run_dir(spark, "analysed")).saveAsTable(table)
+    analyze_table(spark, table, columns)
+    return column_statistics(spark, table, columns).drop("distinct_count")
+
+
 ON_FOLDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "l02_write_and_load": _write_and_load,
+    "l02_items_round_trip": _items_round_trip,
+    "l02_bucketed_join": _bucketed_join,
+    "l03_column_statistics": _column_statistics,
     "s01_stream_daily_revenue": _stream_daily_revenue,
     "s02_stream_low_stock": _stream_low_stock,
     "s03_stream_change_log": _stream_change_log,

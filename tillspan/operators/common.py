@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillspan.sources.tables import Retail
+from tillspan.sources.tables import MONTH, Retail
 
 
 def add_place(df: DataFrame, t: Retail, how: str = "inner") -> DataFrame:
@@ -21,6 +21,16 @@ def with_place(df: DataFrame, t: Retail, how: str = "inner") -> DataFrame:
     return add_place(df.join(addresses, "address_id", how), t, how)
 
 
+def order_keys(t: Retail) -> list[str]:
+    """The columns that join items with their orders.
+
+    Where both are stored by month the month is one of them. It is the same on both sides, and a period asked of the
+    orders then limits the folders of the items that are read, too.
+    """
+    by_month = MONTH in t.orders.columns and MONTH in t.order_items.columns
+    return ["order_id", MONTH] if by_month else ["order_id"]
+
+
 def category_names(t: Retail) -> DataFrame:
     return t.categories.select("category_id", F.col("name").alias("category"))
 

@@ -27,6 +27,7 @@ from tillspan.operators.common import (
     count_when,
     most_frequent,
     not_void,
+    order_keys,
     status_ids,
     sum_when,
     with_place,
@@ -41,8 +42,9 @@ def sales_detail(t: Retail, start: DateLike, end: DateLike, ordered: bool = True
 
     `ordered=False` leaves out the sort of the whole detail, for callers that write it to a table.
     """
+    keys = order_keys(t)
     sold = in_period(t.orders, "order_ts", start, end).select(
-        "order_id", "order_no", "order_ts", "customer_id", "address_id", "method_id", "instalments",
+        *keys, "order_no", "order_ts", "customer_id", "address_id", "method_id", "instalments",
         "discount", "freight", "total",
     )
     buyers = t.customers.select("customer_id", F.col("name").alias("customer"), "nickname", "level", "email")
@@ -51,9 +53,9 @@ def sales_detail(t: Retail, start: DateLike, end: DateLike, ordered: bool = True
     goods = t.products.select("product_id", F.col("name").alias("product"), "franchise", "category_id").join(
         category_names(t), "category_id"
     )
-    lines = t.order_items.select("order_id", "product_id", "qty", "unit_price", "subtotal")
+    lines = t.order_items.select(*keys, "product_id", "qty", "unit_price", "subtotal")
     detail = (
-        lines.join(heads, "order_id")
+        lines.join(heads, keys)
         .join(goods, "product_id")
         .select(
             "order_no", "order_ts", "customer", "nickname", "level", "email", "city", "state", "product",
@@ -297,10 +299,12 @@ def cart_conversion(t: Retail, limit: int = 50) -> DataFrame:
     )
 
 
-def _items_per_order(t: Retail) -> DataFrame:
-    return t.order_items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_items"), F.sum("qty").alias("units")
-    )
+def _with_items(orders: DataFrame, t: Retail) -> DataFrame:
+    """Orders that have items, with month sold, number of items and units."""
+    keys = order_keys(t)
+    items = t.order_items.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"), F.sum("qty").alias("units"))
+    both = orders.select(*keys, "order_ts", "customer_id", "total").join(items, keys)
+    return both.select("customer_id", month_of(F.col("order_ts")).alias("month"), "total", "n_items", "units")
 
 
 def monthly_trend(t: Retail, since: DateLike) -> DataFrame:
@@ -310,9 +314,7 @@ def monthly_trend(t: Retail, since: DateLike) -> DataFrame:
     after joining the items. `monthly_trend_order_grain` counts every order once.
     """
     valid = not_void(in_period(t.orders, "order_ts", since), t, VOID)
-    per_order = valid.select("order_id", "customer_id", month_of(F.col("order_ts")).alias("month"), "total").join(
-        _items_per_order(t), "order_id"
-    )
+    per_order = _with_items(valid, t)
     weighted = (F.col("total") * F.col("n_items").cast(DecimalType(10, 0))).cast(DecimalType(22, 2))
     months = (
         per_order.groupBy("month", "customer_id")
@@ -358,9 +360,7 @@ def monthly_trend_order_grain(t: Retail, since: DateLike) -> DataFrame:
     """
     first = month_start(since)
     valid = not_void(in_period(t.orders, "order_ts", shift_months(first, -12)), t, VOID)
-    per_order = valid.select("order_id", "customer_id", month_of(F.col("order_ts")).alias("month"), "total").join(
-        _items_per_order(t), "order_id"
-    )
+    per_order = _with_items(valid, t)
     sold = (
         per_order.groupBy("month", "customer_id")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("total").alias("revenue"), F.sum("units").alias("units"))
@@ -532,11 +532,12 @@ def cohort_matrix(t: Retail, since: DateLike, n_months: int = 6) -> DataFrame:
 def stockout_forecast(t: Retail, as_of: DateLike) -> DataFrame:
     """Active products at or below twice their minimum stock, most urgent first."""
     end = day_after(as_of)
-    recent = in_period(t.orders, "order_ts", days_before(as_of, 90), end).select("order_id", "order_ts")
+    keys = order_keys(t)
+    recent = in_period(t.orders, "order_ts", days_before(as_of, 90), end).select(*keys, "order_ts")
     in_30, in_7 = F.col("day") >= date_lit(days_before(as_of, 30)), F.col("day") >= date_lit(days_before(as_of, 7))
     sales = (
-        t.order_items.select("order_id", "product_id", "qty")
-        .join(recent, "order_id")
+        t.order_items.select(*keys, "product_id", "qty")
+        .join(recent, keys)
         .groupBy("product_id", F.col("order_ts").cast("date").alias("day"))
         .agg(F.sum("qty").alias("qty"))
         .groupBy("product_id")
@@ -633,8 +634,8 @@ def executive_dashboard(t: Retail, as_of: DateLike) -> DataFrame:
     )
     top = (
         in_period(t.orders, "order_ts", this_month, end)
-        .select("order_id")
-        .join(t.order_items.select("order_id", "product_id", "subtotal"), "order_id")
+        .select(*order_keys(t))
+        .join(t.order_items.select(*order_keys(t), "product_id", "subtotal"), order_keys(t))
         .groupBy("product_id")
         .agg(F.sum("subtotal").alias("value"))
         .join(t.products.select("product_id", "category_id"), "product_id")

@@ -100,9 +100,11 @@ STAR_DDL = {
     ),
 }
 
-# Column to partition a fact table by month on, and column to sort it by inside a file.
+# Column to partition a fact table by month on, and column to sort it by inside a file. Order items carry no time; they
+# lie in the month of their order.
 FACT_LAYOUT = {
     "orders": ("order_ts", "customer_id"),
+    "order_items": (None, "order_id"),
     "reviews": ("created_at", "product_id"),
     "carts": ("created_at", "product_id"),
     "status_history": ("created_at", "order_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillspan.functions.dates import DateLike, as_date, instant
+from tillspan.plans.lineage import run_dir
 from tillspan.sources.schemas import FACT_LAYOUT, RETAIL_DDL, schema_of
 
 # Folder column of the fact tables written by `write_table`.
 MONTH = "month"
+MONTH_FORMAT = "yyyy-MM"
 
 
 class Retail:
@@ -71,26 +74,48 @@ def load_tables(spark: SparkSession, directory: str, names: Iterable[str] | None
     return Retail({name: reader(name) for name in (names or RETAIL_DDL)})
 
 
-def write_table(df: DataFrame, directory: str, name: str, mode: str = "overwrite") -> None:
-    """Write one table as Parquet.
+def with_month(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order items with the month folder of their order; NULL where the order is unknown."""
+    months = orders.select("order_id", F.date_format("order_ts", MONTH_FORMAT).alias(MONTH))
+    return items.join(months, "order_id", "left")
+
+
+def _placed(df: DataFrame, name: str) -> DataFrame:
+    """A fact with its month folder, one folder's rows together and sorted.
 
-    Facts with a time column are split by month, so that a date filter skips whole folders, and sorted
-    inside each file on their hot key, so that row-group statistics stay selective. The rows are rebalanced:
-    Spark cuts a month that holds most of the data into files of the advisory partition size and puts small
-    months together in one task. Order items carry no time; they are sorted on the order they belong to.
+    The rows are rebalanced: Spark cuts a month that holds most of the data into files of the advisory partition size
+    and puts small months together in one task. The sort keeps row-group statistics selective.
     """
-    layout = FACT_LAYOUT.get(name)
-    if layout is None:
-        if name == "order_items":
-            df = df.sortWithinPartitions("order_id")
+    ts, hot_key = FACT_LAYOUT[name]
+    if MONTH not in df.columns:
+        if ts is None:
+            raise ValueError(f"{name} carry no time: add the month of their order by with_month()")
+        df = df.withColumn(MONTH, F.date_format(ts, MONTH_FORMAT))
+    return df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, hot_key)
+
+
+def write_table(df: DataFrame, directory: str, name: str, mode: str = "overwrite") -> None:
+    """Write one table as Parquet. Facts are split by month, so that a date filter skips whole folders."""
+    if name not in FACT_LAYOUT:
         df.write.mode(mode).parquet(f"{directory}/{name}")
         return
-    ts, hot_key = layout
+    _placed(df, name).write.mode(mode).partitionBy(MONTH).parquet(f"{directory}/{name}")
+
+
+def replace_months(df: DataFrame, directory: str, name: str) -> None:
+    """Replace those months of a stored fact that `df` has rows of; the files of all others stay as they are.
+
+    `df` may read the stored table itself. Its rows are written beside it first, and the new folders take the place of
+    the old ones only when all of them are complete, so a job that dies on the way changes nothing.
+    """
+    spark = df.sparkSession
+    staged = f"{run_dir(spark, 'months')}/{name}"
+    placed = _placed(df, name)
+    placed.write.parquet(staged)
     (
-        df.withColumn(MONTH, F.date_format(ts, "yyyy-MM"))
-        .hint("rebalance", F.col(MONTH))
-        .sortWithinPartitions(MONTH, hot_key)
-        .write.mode(mode)
+        _placed(spark.read.schema(placed.schema).parquet(staged), name)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
         .parquet(f"{directory}/{name}")
     )
@@ -108,6 +133,15 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str |
     writer.saveAsTable(table)
 
 
+def bucketed_tables(spark: SparkSession, frames: Mapping[str, DataFrame], key: str, buckets: int) -> Retail:
+    """The frames saved in buckets of one key, under fresh names and in a fresh folder of shared storage."""
+    run = uuid.uuid4().hex
+    names = {name: f"{name}_{run}" for name in frames}
+    for name, frame in frames.items():
+        save_bucketed(frame, names[name], key, buckets, f"{run_dir(spark, 'buckets')}/{name}")
+    return catalog_tables(spark, names)
+
+
 def catalog_tables(spark: SparkSession, names: Mapping[str, str]) -> Retail:
     """Retail tables that live in the catalogue: `{"orders": "shop.orders", ...}`."""
     return Retail({name: (lambda table=table: spark.table(table)) for name, table in names.items()})
@@ -119,6 +153,23 @@ def analyze_table(spark: SparkSession, table: str, columns: Iterable[str] | None
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR {target}")
 
 
+# What DESCRIBE tells of an analysed column, and the type it is read back as.
+STATISTICS = {"num_nulls": "bigint", "distinct_count": "bigint", "min": "string", "max": "string"}
+
+
+def column_statistics(spark: SparkSession, table: str, columns: Iterable[str]) -> DataFrame:
+    """(column, num_nulls, distinct_count, min, max) as the planner knows them; NULL where a column isn't analysed.
+
+    The distinct count is Spark's estimate. One row per column asked for: metadata, not data.
+    """
+    found = []
+    for column in columns:
+        facts = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()}
+        found.append((column, *[None if facts.get(k) in (None, "NULL") else facts[k] for k in STATISTICS]))
+    rows = literal_rows(spark, found, ["column", *STATISTICS])
+    return rows.select("column", *[F.col(name).cast(kind).alias(name) for name, kind in STATISTICS.items()])
+
+
 def in_period(df: DataFrame, ts: str, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Rows with start <= ts < end.
 
