@@ -7,7 +7,9 @@ import pytest
 from tests.helpers import by_key, make, rows, statuses
 from tests.test_jobs import coupon
 from tests.test_reports import address, product
+from tillspan.operators import checkout as module
 from tillspan.operators.checkout import checkout
+from tillspan.plans.lineage import cut
 
 
 def request(n, customer_id, minute, address_id=None, code=None):
@@ -21,10 +23,10 @@ def cart(n, customer_id, product_id, qty):
     return {"cart_id": n, "customer_id": customer_id, "session_id": "s", "product_id": product_id, "qty": qty}
 
 
-def run(spark, requests, carts, products, addresses, coupons):
+def run(spark, requests, carts, products, addresses, coupons, **options):
     return checkout(
         make(spark, "checkout_requests", requests), make(spark, "carts", carts), make(spark, "products", products),
-        make(spark, "addresses", addresses), make(spark, "coupons", coupons), statuses(spark),
+        make(spark, "addresses", addresses), make(spark, "coupons", coupons), statuses(spark), **options,
     )
 
 
@@ -51,8 +53,9 @@ def test_small_cases(spark):
     assert rows(done.history, "order_id", "new_status_id") == [(2, 1), (6, 1)]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_equals_one_by_one_processing(spark, seed):
+# Everything in one fold, groups of any size, and groups cut after a few lines.
+@pytest.mark.parametrize(("seed", "fold_lines"), [(0, 4000), (1, 25), (2, 3), (0, 1)])
+def test_equals_one_by_one_processing(spark, seed, fold_lines):
     draw = random.Random(seed)
     products = [product(n, stock=draw.randrange(0, 14), price=str(draw.randrange(1, 90)), active=draw.random() > 0.1) for n in range(8)]
     carts = [cart(n, draw.randrange(30), draw.randrange(8), draw.randrange(1, 4)) for n in range(90)]
@@ -91,10 +94,39 @@ def test_equals_one_by_one_processing(spark, seed):
             placed[r["request_id"]] = (value, cut)
             held[r["customer_id"]] = {}
 
-    done = run(spark, requests, carts, products, addresses, coupons)
+    done = run(spark, requests, carts, products, addresses, coupons, fold_lines=fold_lines)
     assert {r["request_id"]: r["reason"] for r in done.rejects.collect()} == refused
     assert {r["order_id"]: (float(r["subtotal"]), float(r["discount"])) for r in done.orders.collect()} == placed
     sold = {r["product_id"]: -r["delta"] for r in done.stock_deltas.collect()}
     begin = {p["product_id"]: p["stock"] for p in products}
     assert all(begin[p] - q == stock[p] >= 0 for p, q in sold.items())
     assert all(r["total"] == r["subtotal"] - r["discount"] + r["freight"] for r in done.orders.collect())
+
+
+def chain(n):
+    """Each request wants the product its predecessor wants, and the next one; a product has one piece."""
+    carts = [cart(2 * k + j, k, k + j, 1) for k in range(n) for j in (0, 1)]
+    made = [{**request(k, k, 0), "ts": f"2024-03-10T{k // 3600:02d}:{k // 60 % 60:02d}:{k % 60:02d}"} for k in range(n)]
+    return made, carts, [product(k, stock=1) for k in range(n + 1)], [address(k, k) for k in range(n)], []
+
+
+def test_a_chain_of_a_thousand_needs_few_checkpoints(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(module, "cut", lambda df: calls.append(1) or cut(df))
+    done = run(spark, *chain(1000))
+    # Every second request finds the piece gone that the one before it took.
+    assert sorted(r["order_id"] for r in done.orders.collect()) == list(range(0, 1000, 2))
+    assert len(calls) <= 5
+
+
+def test_a_chain_cut_into_pieces(spark):
+    done = run(spark, *chain(60), fold_lines=25)
+    assert sorted(r["order_id"] for r in done.orders.collect()) == list(range(0, 60, 2))
+
+
+def test_without_an_initial_state_orders_are_kept(spark):
+    done = checkout(
+        make(spark, "checkout_requests", [request(1, 1, 5)]), make(spark, "carts", [cart(1, 1, 1, 1)]), make(spark, "products", [product(1)]),
+        make(spark, "addresses", [address(1, 1)]), make(spark, "coupons", []), statuses(spark).limit(0),
+    )
+    assert rows(done.orders, "order_id", "status_id") == [(1, None)]

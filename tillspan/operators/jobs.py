@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspan.functions.numbers import money, zero_if_null
-from tillspan.plans.running import before_each_row, latest_before
+from tillspan.plans.running import before_each_row, before_each_row_in_ranges, latest_before
 from tillspan.sources.statuses import CANCELLED, CLOSING_FLOW, STAMP_DELIVERY, STAMP_PAYMENT, STAMP_SHIPPING
 from tillspan.sources.tables import MONTH
 
@@ -164,7 +164,7 @@ def replenish(requests: DataFrame, products: DataFrame) -> Replenishment:
         "reason", F.when(F.col("stock").isNull(), "unknown product")
     )
     sound = checked.filter("reason is null")
-    running = before_each_row(sound, ["product_id"], "ts", "request_id", {"_earlier": ("qty", F.sum)})
+    running = before_each_row_in_ranges(sound, ["product_id"], "ts", "request_id", {"_earlier": ("qty", F.sum)})
     before = F.col("stock") + zero_if_null(F.col("_earlier"))
     audit = running.withColumns({"_before": before, "_after": before + F.col("qty")}).select(
         "request_id", F.lit("products").alias("table_name"), F.lit("UPDATE").alias("op"),

@@ -1,9 +1,13 @@
 """Running totals over groups of any size.
 
-A plain window sends every row of a group to one task. Here a group is first cut into chunks of time:
+A plain window sends every row of a group to one task. `before_each_row` cuts a group into chunks of time:
 chunk totals are aggregated before the shuffle, a window over the few chunk totals of a group gives what
-lies before each chunk, and the window over single rows runs inside one chunk only. The result equals the
-plain window ordered by (ts, tie).
+lies before each chunk, and the window over single rows runs inside one chunk only. It moves the rows once and
+suits keys that are busy for a long time, like orders.
+
+`before_each_row_in_ranges` bounds the work by numbers of rows: the rows are ordered by (key, ts, tie) over the whole
+cluster and cut into ranges of similar size, whatever the keys and times are. It suits keys that may get any number of
+rows at one time, like products and coupons. Both equal the plain window ordered by (ts, tie).
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillspan.plans.ordered import PLACE, RANGE, in_ranges
+
 CHUNK = "MINUTE"
 
 
@@ -54,6 +60,40 @@ def before_each_row(
     return joined.select(*df.columns, *[column.alias(name) for name, column in both.items()])
 
 
+def before_each_row_in_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tie: str,
+    outputs: dict[str, tuple[str, Callable[[Column], Column]]],
+    ranges: int | None = None,
+) -> DataFrame:
+    """As `before_each_row`, by ranges of rows; rows whose key is NULL are a group like any other.
+
+    Only the first key of a range can have begun in an earlier one, so what is carried into the ranges is at most
+    one row for each of them.
+    """
+    keys = list(keys)
+    ordered = in_ranges(df, [*[F.col(k) for k in keys], F.col(ts), F.col(tie)], "running", ranges)
+    totals = ordered.groupBy(*keys, RANGE).agg(*[agg(F.col(column)).alias(f"_t_{name}") for name, (column, agg) in outputs.items()])
+    of_key = Window.partitionBy(*keys).orderBy(RANGE)
+    carried = totals.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col(RANGE).alias("_k_range"),
+        F.lag(F.lit(True)).over(of_key).alias("_begun"),
+        *[
+            agg(F.col(f"_t_{name}")).over(of_key.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_c_{name}")
+            for name, (_, agg) in outputs.items()
+        ],
+    ).filter("_begun")
+    earlier_rows = Window.partitionBy(RANGE, *keys).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ordered.select("*", *[agg(F.col(column)).over(earlier_rows).alias(f"_r_{name}") for name, (column, agg) in outputs.items()])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    joined = inside.join(F.broadcast(carried), [F.col(RANGE) == F.col("_k_range"), *same], "left")
+    both = {name: _combine(agg, F.col(f"_c_{name}"), F.col(f"_r_{name}")) for name, (_, agg) in outputs.items()}
+    return joined.select(*df.columns, *[column.alias(name) for name, column in both.items()])
+
+
 def latest_before(
     df: DataFrame,
     keys: Sequence[str],
