@@ -29,8 +29,9 @@ from tillspan.llm.common import Scratch, ascii_lower
 WINDOW = 10
 # Words that may stand between those of a near passage.
 SLACK = 2
-# What ends a word, in texts whose A-Z are still in upper case.
-SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What ends a word, in texts whose A-Z are still in upper case: any ASCII but letters and digits. Single characters are
+# looked up in a table, which is faster than comparing with ranges.
+SEPARATORS = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 # So many windows, at about 300 bytes, may be broadcast; more are joined by shuffling postings.
 BROADCAST_WINDOWS = 200_000
 # So many keys of documents, of about 40 bytes, may be broadcast.
@@ -43,11 +44,11 @@ def _split(text: Column) -> Column:
 
 
 def _leads(parts: Column) -> Column:
-    return F.when(F.element_at(parts, 1) == "", 1).otherwise(0)
+    return F.when(F.try_element_at(parts, F.lit(1)) == "", 1).otherwise(0)
 
 
 def word_count(parts: Column) -> Column:
-    trails = F.when((F.element_at(parts, -1) == "") & (F.size(parts) > 1), 1).otherwise(0)
+    trails = F.when((F.try_element_at(parts, F.lit(-1)) == "") & (F.size(parts) > 1), 1).otherwise(0)
     return F.size(parts) - _leads(parts) - trails
 
 
@@ -66,33 +67,56 @@ def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col("text").isNotNull()).select(document_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    return documents.select("doc_id", document_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
 
 
 def postings(keyed: DataFrame, words: DataFrame, small: bool) -> DataFrame:
-    """(key, pos, word) of the given words in documents (key, text); positions count words from 0."""
-    parts = keyed.select("key", _split(F.col("text")).alias("parts"))
-    spread = parts.select("key", _leads(F.col("parts")).alias("lead"), F.posexplode("parts").alias("at", "word"))
-    spread = spread.select("key", (F.col("at") - F.col("lead")).alias("pos"), ascii_lower(F.col("word")).alias("word"))
+    """(key, pos, word) of the given words in documents (doc_id, key, text); positions count words from 0."""
+    spread = _spread(keyed.where(F.col("text").isNotNull()), _split(F.col("text")))
     return spread.join(_small(words, small), "word", "left_semi").select("key", "pos", "word")
 
 
+def postings_and_counts(keyed: DataFrame, words: DataFrame, small: bool) -> DataFrame:
+    """As `postings`, and for every document, also a NULL one, a row (doc_id, key) without word: `pos` is its number of words."""
+    parts = F.coalesce(_split(F.col("text")), F.array().cast("array<string>"))
+    # One part more than there are stands for the document.
+    spread = _spread(keyed, F.array_append(parts, F.lit("")), F.coalesce(word_count(parts), F.lit(0)))
+    last = F.col("at") == F.col("n_parts") - 1
+    known = spread.join(_small(words.withColumn("known", F.lit(True)), small), "word", "left").where(last | F.col("known"))
+    return known.select(
+        F.when(last, F.col("doc_id")).alias("doc_id"), "key", F.when(last, F.col("n_words")).otherwise(F.col("pos")).alias("pos"), F.when(~last, F.col("word")).alias("word")
+    )
+
+
+def _spread(keyed: DataFrame, parts: Column, n_words: Column | None = None) -> DataFrame:
+    """Every part with its place; a document's array of parts is not on the rows."""
+    cut = keyed.select("doc_id", "key", parts.alias("parts"), *([] if n_words is None else [n_words.alias("n_words")]))
+    spread = cut.select(
+        *[c for c in cut.columns if c != "parts"],
+        _leads(F.col("parts")).alias("lead"),
+        F.size("parts").alias("n_parts"),
+        F.posexplode("parts").alias("at", "word"),
+    )
+    return spread.withColumn("pos", F.col("at") - F.col("lead")).withColumn("word", ascii_lower(F.col("word")))
+
+
 def _small(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
 @dataclass(frozen=True)
 class Spotted:
-    """Windows that occur: `exact` and `near` (None without slack) as (key, wid, start); `windows` by wid; `items`."""
+    """Windows that occur: `exact` and `near` (None without slack) as (key, wid, start); `windows` and `items` by wid."""
 
     exact: DataFrame
     near: DataFrame | None
     windows: DataFrame
     items: DataFrame
     few: bool
+    counts: DataFrame | None  # (doc_id, key, n_words) of every document, if asked for
 
 
-def spot(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int | None = None) -> Spotted:
+def spot(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int | None = None, counted: bool = False) -> Spotted:
     """Where windows of the items occur in `documents` (doc_id, text)."""
     scratch = Scratch(documents.sparkSession, "postings")
     cut = scratch.save(test_windows(benchmark, window))
@@ -108,7 +132,10 @@ def spot(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack
     ranked = spread.join(_small(counts, few), "word").groupBy("wid", "length").agg(F.array_sort(F.collect_list(F.struct("times", "offset", "word"))).alias("lists"))
     ranked = ranked.where(F.size("lists") == F.col("length")).select("wid", "length", F.posexplode("lists").alias("rank", "list"))
     lists = scratch.save(ranked.select("wid", "length", "rank", "list.offset", "list.word"))
-    index = scratch.save(postings(keyed, lists.where("rank < 2").select("word").distinct(), few))
+    anchors = lists.where("rank < 2").select("word").distinct()
+    index = scratch.save((postings_and_counts if counted else postings)(keyed, anchors, few))
+    n_words = index.where("word IS NULL").select("doc_id", "key", F.col("pos").alias("n_words")) if counted else None
+    index = index.where("word IS NOT NULL")
     found = scratch.save(_both_rarest(index, lists, few).distinct())  # rows that repeat id and text share a key
     nearby = None
     if slack is not None:
@@ -118,7 +145,7 @@ def spot(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack
     whole = scratch.save(postings(keyed.join(_small(candidates, candidates.count() <= BROADCAST_KEYS), "key", "left_semi"), vocabulary, few))
     exact = scratch.save(_others_in_place(found, whole, lists, few))
     near = None if nearby is None else scratch.save(_others_around(nearby, exact, whole, lists, window, slack, few))
-    return Spotted(exact, near, windows, items, few)
+    return Spotted(exact, near, windows, items, few, n_words)
 
 
 def _both_rarest(index: DataFrame, lists: DataFrame, few: bool) -> DataFrame:
@@ -185,7 +212,7 @@ def _listed(hits: DataFrame, items: DataFrame, few: bool) -> DataFrame:
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of `documents` (doc_id, text): words, words inside windows, items found, their digest."""
     documents = documents.select("doc_id", "text")
-    found = spot(documents, benchmark, window)
+    found = spot(documents, benchmark, window, counted=True)
     places = found.exact.join(_small(found.windows.select("wid", "length"), found.few), "wid")
     places = places.groupBy("key", "start").agg(F.max("length").alias("length"))
     earlier = Window.partitionBy("key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -193,18 +220,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     covered = places.select("key", "start", end.alias("end"), F.max(end).over(earlier).alias("before"))
     new = F.greatest(F.col("end") - F.greatest("start", F.coalesce("before", "start")), F.lit(0))
     n_hit = covered.groupBy("key").agg(F.sum(new).alias("n_hit"))
-    parts = _split(F.col("text"))
-    base = documents.select(
-        "doc_id",
-        document_key(F.col("doc_id"), F.col("text")).alias("key"),
-        F.when(F.col("text").isNull(), 0).otherwise(word_count(parts)).cast("long").alias("n_words"),
-    )
-    named = base.join(n_hit, "key", "left").join(_listed(found.exact, found.items, found.few), "key", "left")
+    named = found.counts.join(n_hit, "key", "left").join(_listed(found.exact, found.items, found.few), "key", "left")
     ids = F.coalesce("items", F.array().cast("array<string>"))
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return named.select(
         "doc_id",
-        "n_words",
+        F.col("n_words").cast("long").alias("n_words"),
         hit.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
