@@ -39,9 +39,17 @@ placed AS (SELECT w.*, coalesce(g.cut, 0)::DECIMAL(12,2) AS discount,
 J01_ORDERS = CHECKOUT + f"""
 SELECT request_id AS order_id, 'ORD' || strftime(ts, '%Y%m%d%H%M%S') || '-' || request_id AS order_no, customer_id, address_id,
   1::BIGINT AS status_id, method_id, subtotal::DOUBLE AS subtotal, discount::DOUBLE AS discount, freight::DOUBLE AS freight,
-  (subtotal - discount + freight)::DOUBLE AS total, instalments, coupon_code, {stamp('ts')} AS order_ts
+  (subtotal - discount + freight)::DOUBLE AS total, instalments, coupon_code, {stamp('ts')} AS order_ts,
+  NULL::VARCHAR AS payment_ts, NULL::VARCHAR AS shipping_ts, NULL::VARCHAR AS delivery_ts, NULL::VARCHAR AS notes,
+  NULL::VARCHAR AS client_ip, {stamp('ts')} AS created_at, {stamp('ts')} AS updated_at
 FROM placed
 """
+J01_PRODUCTS = CHECKOUT + """
+SELECT product_id, (stock + coalesce(delta, 0))::BIGINT AS stock,
+  CASE WHEN delta IS NULL THEN '1995-01-01 00:00:00.000000' ELSE '2001-07-31 00:00:00.000000' END AS updated_at
+FROM m_products LEFT JOIN (
+  SELECT product_id, -sum(l.qty)::BIGINT AS delta FROM won w JOIN lines l ON l.customer_id = w.customer_id GROUP BY 1) d USING (product_id)
+"""
 J01_ITEMS = CHECKOUT + """
 SELECT request_id AS order_id, product_id, l.qty, price::DOUBLE AS unit_price, (l.qty * price)::DOUBLE AS subtotal
 FROM won JOIN lines l USING (customer_id)
@@ -53,7 +61,8 @@ SELECT request_id AS order_id, NULL::BIGINT AS old_status_id, 1::BIGINT AS new_s
   'system' AS actor, {stamp('ts')} AS created_at FROM won
 """
 J01_CARTS = CHECKOUT + f"""
-SELECT cart_id, customer_id, session_id, product_id, qty, {stamp('created_at')} AS created_at FROM m_carts c
+SELECT cart_id, customer_id, session_id, product_id, qty, {stamp('created_at')} AS created_at, {stamp('created_at')} AS updated_at
+FROM m_carts c
 WHERE NOT EXISTS (SELECT 1 FROM won w WHERE w.customer_id = c.customer_id)
 """
 J01_REJECTS = CHECKOUT + """
@@ -94,6 +103,20 @@ J02_RESTOCK = STATUS + """
 SELECT i.product_id, sum(i.qty)::BIGINT AS delta FROM done d JOIN m_order_items i USING (order_id)
 WHERE d.new_status_id = 8 GROUP BY i.product_id
 """
+J02_PRODUCTS = STATUS + """
+SELECT product_id, (stock + coalesce(delta, 0))::BIGINT AS stock,
+  CASE WHEN delta IS NULL THEN '1995-01-01 00:00:00.000000' ELSE '2001-07-31 00:00:00.000000' END AS updated_at
+FROM m_products LEFT JOIN (
+  SELECT i.product_id, sum(i.qty)::BIGINT AS delta FROM done d JOIN m_order_items i USING (order_id)
+  WHERE d.new_status_id = 8 GROUP BY 1) r USING (product_id)
+"""
+J09_ORDERS = STATUS + f"""
+SELECT order_id, coalesce((SELECT arg_max(d.new_status_id, d.n) FROM done d WHERE d.order_id = o.order_id), status_id) AS status_id,
+  {stamp("coalesce((SELECT max(ts) FROM done d WHERE d.order_id = o.order_id AND new_status_id = 2), payment_ts)")} AS payment_ts,
+  {stamp('order_ts')} AS created_at,
+  {stamp("coalesce((SELECT max(ts) FROM done d WHERE d.order_id = o.order_id), order_ts)")} AS updated_at
+FROM m_orders o
+"""
 J02_REJECTS = STATUS + """
 SELECT request_id, 'backward step' AS reason FROM fold WHERE NOT ok AND request_id IS NOT NULL
 UNION ALL
@@ -110,10 +133,12 @@ J03_CARTS = ADDS + f"""
 SELECT c.cart_id, c.customer_id, c.session_id, c.product_id,
   (c.qty + CASE WHEN c.cart_id IN (SELECT cart_id FROM target)
      THEN coalesce((SELECT sum(f.qty) FROM fine f WHERE f.customer_id = c.customer_id AND f.product_id = c.product_id), 0)
-     ELSE 0 END)::BIGINT AS qty, {stamp('c.created_at')} AS created_at
+     ELSE 0 END)::BIGINT AS qty, {stamp('c.created_at')} AS created_at,
+  {stamp("""coalesce(CASE WHEN c.cart_id IN (SELECT cart_id FROM target)
+     THEN (SELECT max(f.ts) FROM fine f WHERE f.customer_id = c.customer_id AND f.product_id = c.product_id) END, c.created_at)""")} AS updated_at
 FROM m_carts c
 UNION ALL
-SELECT min(request_id), customer_id, NULL, product_id, sum(qty)::BIGINT, {stamp('min(ts)')}
+SELECT min(request_id), customer_id, NULL, product_id, sum(qty)::BIGINT, {stamp('min(ts)')}, {stamp('max(ts)')}
 FROM fine f WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.customer_id = f.customer_id AND t.product_id = f.product_id)
 GROUP BY customer_id, product_id
 """
@@ -212,6 +237,9 @@ FROM m_orders o
 SQL = {
     "j01_checkout_orders": J01_ORDERS,
     "j01_checkout_items": J01_ITEMS,
+    "j01_checkout_products": J01_PRODUCTS,
+    "j02_status_products": J02_PRODUCTS,
+    "j09_stamp_orders": J09_ORDERS,
     "j01_checkout_stock_deltas": J01_DELTAS,
     "j01_checkout_coupon_use": J01_COUPONS,
     "j01_checkout_history": J01_HISTORY,

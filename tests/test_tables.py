@@ -18,7 +18,7 @@ from tillspan.sources.tables import (
     catalog_tables,
     in_period,
     load_tables,
-    replace_months,
+    replace_folders,
     save_bucketed,
     with_month,
     write_table,
@@ -49,7 +49,7 @@ def test_items_lie_in_the_month_of_their_order_and_months_are_replaced_alone(spa
     ]
     files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/order_items/month=*/*.parquet")}
     before = files()
-    replace_months(stored.filter("month = '2024-02' and product_id = 2").withColumn("qty", F.lit(77)), str(tmp_path), "order_items")
+    replace_folders(stored.filter("month = '2024-02' and product_id = 2").withColumn("qty", F.lit(77)), str(tmp_path), "order_items")
     after = files()
     assert {f for f in before if "2024-02" not in f} == {f for f in after if "2024-02" not in f}
     assert all(before[f] == after[f] for f in after if "2024-02" not in f)
@@ -59,7 +59,7 @@ def test_items_lie_in_the_month_of_their_order_and_months_are_replaced_alone(spa
         (1, 1, False), (1, 2, False), (2, 2, True), (3, 1, False), (3, 2, False), (99, 1, False)
     ]
     # Nothing to replace changes nothing.
-    replace_months(changed.limit(0), str(tmp_path), "order_items")
+    replace_folders(changed.limit(0), str(tmp_path), "order_items")
     assert files() == after
 
 

@@ -23,7 +23,7 @@ from tillspan.sources.tables import (
     column_statistics,
     in_period,
     load_tables,
-    replace_months,
+    replace_folders,
     with_month,
     write_table,
 )
@@ -212,7 +212,7 @@ def _items_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(star.orders, out, "orders")
     write_table(with_month(star.order_items, star.orders), out, "order_items")
     written = load_tables(spark, out, ["order_items"]).order_items
-    replace_months(written.filter((F.col(MONTH) == CORRECTED_MONTH) & (F.col("qty") > 10)), out, "order_items")
+    replace_folders(written.filter((F.col(MONTH) == CORRECTED_MONTH) & (F.col("qty") > 10)), out, "order_items")
     t = load_tables(spark, out, ["orders", "order_items"])
     sold = in_period(t.orders, "order_ts", "1997-12-10", "1998-04-20").select(*order_keys(t), "order_ts")
     return t.order_items.join(sold, order_keys(t)).select("item_id", "order_id", "product_id", "qty", "subtotal", MONTH, "order_ts")
@@ -237,7 +237,34 @@ def _column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_statistics(spark, table, columns).drop("distinct_count")
 
 
+def _checkout_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored products after a batch of checkouts took its units."""
+    out, star = run_dir(spark, "shop"), star_retail(spark, sf_dir)
+    write_table(star.products, out, "products")
+    jobs.update_stock(spark, out, _checkout(star).stock_deltas, "checkout-1", instant(AS_OF))
+    return load_tables(spark, out, ["products"]).products.select("product_id", "stock", "updated_at")
+
+
+def _status_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored products after cancelled orders put their units back."""
+    out, star = run_dir(spark, "shop"), star_retail(spark, sf_dir)
+    write_table(star.products, out, "products")
+    jobs.update_stock(spark, out, _status_changes(star).restock, "status-1", instant(AS_OF))
+    return load_tables(spark, out, ["products"]).products.select("product_id", "stock", "updated_at")
+
+
+def _stamped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored orders after a batch of status changes, with the time of their last change."""
+    out, star = run_dir(spark, "shop"), star_retail(spark, sf_dir)
+    write_table(star.orders, out, "orders")
+    jobs.update_orders(spark, out, _status_changes(star).changes, "status-1")
+    return load_tables(spark, out, ["orders"]).orders.select("order_id", "status_id", "payment_ts", "created_at", "updated_at")
+
+
 ON_FOLDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "j01_checkout_products": _checkout_products,
+    "j02_status_products": _status_products,
+    "j09_stamp_orders": _stamped_orders,
     "l02_write_and_load": _write_and_load,
     "l02_items_round_trip": _items_round_trip,
     "l02_bucketed_join": _bucketed_join,

@@ -79,6 +79,9 @@ def checkout(
             money(F.col("subtotal") - F.col("discount") + F.col("freight")).alias("total"),
             F.coalesce("instalments", F.lit(1)).alias("instalments"),
             "coupon_code", F.col("ts").alias("order_ts"),
+            *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("payment_ts", "shipping_ts", "delivery_ts")],
+            *[F.lit(None).cast("string").alias(c) for c in ("notes", "client_ip")],
+            F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"),
         )
     )
     sold = wanted.join(refused, "request_id", "left_anti")

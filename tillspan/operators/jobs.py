@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspan.functions.numbers import money, zero_if_null
 from tillspan.plans.running import before_each_row, before_each_row_in_ranges, latest_before
+from tillspan.sources.merge import apply_updates
 from tillspan.sources.statuses import CANCELLED, CLOSING_FLOW, STAMP_DELIVERY, STAMP_PAYMENT, STAMP_SHIPPING
 from tillspan.sources.tables import MONTH
 
@@ -36,6 +37,14 @@ class StatusChanges:
     history: DataFrame
     restock: DataFrame
     rejects: DataFrame
+    changes: DataFrame  # what became of the orders that changed, for `update_orders`
+
+
+# Columns of an order a change of status sets, and the column of `changes` they take; NULL there changes nothing.
+CHANGED_BY_STATUS = {
+    "status_id": "_status", "payment_ts": "_payment", "shipping_ts": "_shipping", "delivery_ts": "_delivery",
+    "updated_at": "_touched",
+}
 
 
 def apply_status_changes(
@@ -79,12 +88,10 @@ def apply_status_changes(
         stamped(STAMP_SHIPPING).alias("_shipping"),
         stamped(STAMP_DELIVERY).alias("_delivery"),
         F.count_if(F.col("name") == CANCELLED).alias("_cancels"),
+        F.max("ts").alias("_touched"),
     )
-    replaced = {
-        "status_id": "_status", "payment_ts": "_payment", "shipping_ts": "_shipping", "delivery_ts": "_delivery"
-    }
     updated = orders.join(changes, "order_id", "left").select(
-        *[F.coalesce(replaced[c], c).alias(c) if c in replaced else F.col(c) for c in orders.columns]
+        *[F.coalesce(CHANGED_BY_STATUS[c], c).alias(c) if c in CHANGED_BY_STATUS else F.col(c) for c in orders.columns]
     )
     restock = (
         items.select("order_id", "product_id", "qty")
@@ -94,7 +101,7 @@ def apply_status_changes(
     )
     refused = judged.filter("not accepted").select("request_id", F.lit("backward step").alias("reason"))
     rejects = _rejects(checked.withColumn("reason", missing)).unionByName(refused)
-    return StatusChanges(updated, history, restock, rejects)
+    return StatusChanges(updated, history, restock, rejects, changes.drop("_cancels"))
 
 
 # --- carts --------------------------------------------------------------------------------------------------
@@ -127,6 +134,7 @@ def upsert_cart(adds: DataFrame, carts: DataFrame, products: DataFrame, cart_id_
             F.sum("qty").alias("_added"),
             F.min("request_id").alias("_request"),
             F.min("ts").alias("_ts"),
+            F.max("ts").alias("_last"),
         )
     )
     owned = carts.filter("customer_id is not null")
@@ -135,14 +143,14 @@ def upsert_cart(adds: DataFrame, carts: DataFrame, products: DataFrame, cart_id_
         .agg(F.min("cart_id").alias("_target"))
         .join(accepted, ["customer_id", "product_id"], "right")
     )
-    growing = targets.filter("_target is not null").select(F.col("_target").alias("cart_id"), "_added")
-    grown = carts.join(growing, "cart_id", "left").withColumn(
-        "qty", (F.col("qty") + zero_if_null(F.col("_added"))).cast("int")
+    growing = targets.filter("_target is not null").select(F.col("_target").alias("cart_id"), "_added", "_last")
+    grown = carts.join(growing, "cart_id", "left").withColumns(
+        {"qty": (F.col("qty") + zero_if_null(F.col("_added"))).cast("int"), "updated_at": F.coalesce("_last", "updated_at")}
     )
     opened = targets.filter("_target is null").select(
         (F.col("_request") + cart_id_base).alias("cart_id"), "customer_id",
         F.lit(None).cast("string").alias("session_id"), "product_id",
-        F.col("_added").cast("int").alias("qty"), F.col("_ts").alias("created_at"),
+        F.col("_added").cast("int").alias("qty"), F.col("_ts").alias("created_at"), F.col("_last").alias("updated_at"),
     )
     return CartUpdate(grown.select(*carts.columns).unionByName(opened.select(*carts.columns)), _rejects(checked))
 
@@ -181,6 +189,21 @@ def replenish(requests: DataFrame, products: DataFrame) -> Replenishment:
     return Replenishment(joined.withColumns(changed).select(*products.columns), audit, _rejects(checked))
 
 
+# --- changes applied to stored tables -------------------------------------------------------------------------
+
+
+def update_stock(spark: SparkSession, directory: str, deltas: DataFrame, batch: str, ts: Column) -> None:
+    """Add (product_id, delta) to the stored products. A batch applied again changes nothing."""
+    change = lambda u: {"stock": (F.col("stock") + u["delta"]).cast("int"), "updated_at": ts}
+    apply_updates(spark, directory, "products", deltas.select("product_id", "delta"), ["product_id"], change, batch)
+
+
+def update_orders(spark: SparkSession, directory: str, changes: DataFrame, batch: str) -> None:
+    """Apply the `changes` of `apply_status_changes` to the stored orders, in the months they lie in."""
+    change = lambda u: {c: F.coalesce(u[new], F.col(c)) for c, new in CHANGED_BY_STATUS.items()}
+    apply_updates(spark, directory, "orders", changes, ["order_id"], change, batch)
+
+
 # --- snapshots ----------------------------------------------------------------------------------------------
 
 

@@ -6,7 +6,10 @@ from pyspark.sql.types import StructType
 
 # Retail tables: DDL text per table.
 RETAIL_DDL = {
-    "categories": "category_id bigint, name string, description string, parent_id bigint, active boolean",
+    "categories": (
+        "category_id bigint, name string, description string, parent_id bigint, active boolean, "
+        "created_at timestamp_ntz, updated_at timestamp_ntz"
+    ),
     "states": "state_id bigint, name string, code string, region string",
     "cities": "city_id bigint, name string, state_id bigint, ibge_code string",
     "payment_methods": (
@@ -33,7 +36,8 @@ RETAIL_DDL = {
         "order_id bigint, order_no string, customer_id bigint, address_id bigint, status_id bigint, "
         "method_id bigint, subtotal decimal(12,2), discount decimal(12,2), freight decimal(12,2), "
         "total decimal(12,2), instalments int, coupon_code string, order_ts timestamp_ntz, "
-        "payment_ts timestamp_ntz, shipping_ts timestamp_ntz, delivery_ts timestamp_ntz"
+        "payment_ts timestamp_ntz, shipping_ts timestamp_ntz, delivery_ts timestamp_ntz, notes string, client_ip string, "
+        "created_at timestamp_ntz, updated_at timestamp_ntz"
     ),
     "order_items": (
         "item_id bigint, order_id bigint, product_id bigint, qty int, unit_price decimal(12,2), "
@@ -41,11 +45,11 @@ RETAIL_DDL = {
     ),
     "reviews": (
         "review_id bigint, product_id bigint, customer_id bigint, rating int, title string, comment string, "
-        "recommends boolean, approved boolean, created_at timestamp_ntz"
+        "recommends boolean, approved boolean, created_at timestamp_ntz, pros string, cons string"
     ),
     "carts": (
         "cart_id bigint, customer_id bigint, session_id string, product_id bigint, qty int, "
-        "created_at timestamp_ntz"
+        "created_at timestamp_ntz, updated_at timestamp_ntz"
     ),
     "status_history": (
         "history_id bigint, order_id bigint, old_status_id bigint, new_status_id bigint, note string, "
@@ -111,6 +115,9 @@ FACT_LAYOUT = {
     "audit_log": ("created_at", "row_id"),
 }
 
+# Tables stored in folders by a hash of their key, so that an update rewrites the folders of its keys alone.
+KEYED_LAYOUT = {"products": "product_id", "customers": "customer_id"}
+
 
 def schema_of(name: str) -> StructType:
     ddl = RETAIL_DDL.get(name) or REQUEST_DDL.get(name)

@@ -102,6 +102,8 @@ def _categories(spark: SparkSession, raw) -> DataFrame:
         "cast(null as string) as description",
         "cast(null as bigint) as parent_id",
         "true as active",
+        "timestamp_ntz'1995-01-01 00:00:00' as created_at",
+        "timestamp_ntz'1995-01-01 00:00:00' as updated_at",
     )
 
 
@@ -239,6 +241,10 @@ def _orders(raw) -> DataFrame:
                     then order_ts + cast(1 + o_orderkey % 3 as int) * interval '1' day end as shipping_ts""",
             """case when o_orderkey % 10 = 6
                     then order_ts + cast(3 + o_orderkey % 10 as int) * interval '1' day end as delivery_ts""",
+            "cast(null as string) as notes",
+            "cast(null as string) as client_ip",
+            "order_ts as created_at",
+            "order_ts as updated_at",
         )
     )
 
@@ -283,6 +289,7 @@ def _carts(raw) -> DataFrame:
         "k as product_id",
         "cast(1 + event_id % 3 as int) as qty",
         "ts as created_at",
+        "ts as updated_at",
     )
 
 
@@ -296,6 +303,8 @@ REVIEW_COLUMNS = (
     "review_id % 10 <> 0 as recommends",
     "review_id % 7 <> 0 as approved",
     "created_at",
+    "cast(null as string) as pros",
+    "cast(null as string) as cons",
 )
 
 

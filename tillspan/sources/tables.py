@@ -5,17 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillspan.functions.dates import DateLike, as_date, instant
 from tillspan.plans.lineage import run_dir
-from tillspan.sources.schemas import FACT_LAYOUT, RETAIL_DDL, schema_of
+from tillspan.sources.schemas import FACT_LAYOUT, KEYED_LAYOUT, RETAIL_DDL, schema_of
 
 # Folder column of the fact tables written by `write_table`.
 MONTH = "month"
 MONTH_FORMAT = "yyyy-MM"
+# Folder column of the tables in KEYED_LAYOUT, and the number of their folders: fixed, so that a key keeps its folder.
+PART = "part"
+PARTS = 64
 
 
 class Retail:
@@ -69,7 +72,7 @@ def load_tables(spark: SparkSession, directory: str, names: Iterable[str] | None
     """Parquet tables under `directory/<name>`, read with their declared schema (no inference job)."""
 
     def reader(name: str) -> Callable[[], DataFrame]:
-        return lambda: spark.read.schema(_stored_schema(name)).parquet(f"{directory}/{name}")
+        return lambda: spark.read.schema(stored_schema(name)).parquet(f"{directory}/{name}").drop(PART)
 
     return Retail({name: reader(name) for name in (names or RETAIL_DDL)})
 
@@ -80,45 +83,53 @@ def with_month(items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(months, "order_id", "left")
 
 
-def _placed(df: DataFrame, name: str) -> DataFrame:
-    """A fact with its month folder, one folder's rows together and sorted.
+def part_of(key: Column) -> Column:
+    """The folder of a key in the tables of KEYED_LAYOUT."""
+    return F.pmod(F.hash(key), F.lit(PARTS))
+
+
+def _placed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Rows with their folder, those of one folder together and sorted, and the folder's column.
 
     The rows are rebalanced: Spark cuts a month that holds most of the data into files of the advisory partition size
     and puts small months together in one task. The sort keeps row-group statistics selective.
     """
-    ts, hot_key = FACT_LAYOUT[name]
-    if MONTH not in df.columns:
-        if ts is None:
-            raise ValueError(f"{name} carry no time: add the month of their order by with_month()")
-        df = df.withColumn(MONTH, F.date_format(ts, MONTH_FORMAT))
-    return df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, hot_key)
+    if name in KEYED_LAYOUT:
+        folder, hot_key = PART, KEYED_LAYOUT[name]
+        df = df.withColumn(PART, part_of(F.col(hot_key)))
+    else:
+        folder, (ts, hot_key) = MONTH, FACT_LAYOUT[name]
+        if MONTH not in df.columns:
+            if ts is None:
+                raise ValueError(f"{name} carry no time: add the month of their order by with_month()")
+            df = df.withColumn(MONTH, F.date_format(ts, MONTH_FORMAT))
+    return df.hint("rebalance", F.col(folder)).sortWithinPartitions(folder, hot_key), folder
 
 
 def write_table(df: DataFrame, directory: str, name: str, mode: str = "overwrite") -> None:
-    """Write one table as Parquet. Facts are split by month, so that a date filter skips whole folders."""
-    if name not in FACT_LAYOUT:
+    """Write one table as Parquet.
+
+    Facts are split by month, so that a date filter skips whole folders; large tables that are updated by key are split
+    by a hash of the key, so that an update leaves most folders alone.
+    """
+    if name not in FACT_LAYOUT and name not in KEYED_LAYOUT:
         df.write.mode(mode).parquet(f"{directory}/{name}")
         return
-    _placed(df, name).write.mode(mode).partitionBy(MONTH).parquet(f"{directory}/{name}")
+    placed, folder = _placed(df, name)
+    placed.write.mode(mode).partitionBy(folder).parquet(f"{directory}/{name}")
 
 
-def replace_months(df: DataFrame, directory: str, name: str) -> None:
-    """Replace those months of a stored fact that `df` has rows of; the files of all others stay as they are.
+def replace_folders(df: DataFrame, directory: str, name: str) -> None:
+    """Replace those months, or folders of keys, that `df` has rows of; the files of all others stay as they are.
 
     `df` may read the stored table itself. Its rows are written beside it first, and the new folders take the place of
     the old ones only when all of them are complete, so a job that dies on the way changes nothing.
     """
     spark = df.sparkSession
-    staged = f"{run_dir(spark, 'months')}/{name}"
-    placed = _placed(df, name)
-    placed.write.parquet(staged)
-    (
-        _placed(spark.read.schema(placed.schema).parquet(staged), name)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(f"{directory}/{name}")
-    )
+    staged = f"{run_dir(spark, 'folders')}/{name}"
+    df.write.parquet(staged)
+    placed, folder = _placed(spark.read.schema(df.schema).parquet(staged), name)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder).parquet(f"{directory}/{name}")
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
@@ -187,6 +198,9 @@ def in_period(df: DataFrame, ts: str, start: DateLike | None = None, end: DateLi
     return df
 
 
-def _stored_schema(name: str) -> StructType:
+def stored_schema(name: str) -> StructType:
+    """The declared columns of a table and the one of its folders."""
     schema = schema_of(name)
+    if name in KEYED_LAYOUT:
+        return schema.add(PART, "integer")
     return schema.add(MONTH, "string") if name in FACT_LAYOUT else schema
