@@ -12,7 +12,7 @@ from tillspan.sources.tables import Retail
 from tillspan.streaming.changes import ChangeLog, stream_change_log
 from tillspan.streaming.revenue import stream_daily_revenue
 from tillspan.streaming.run import drain, drained
-from tillspan.streaming.stock import stream_low_stock, use_state_store
+from tillspan.streaming.stock import state_store, stream_low_stock
 
 
 def feed(spark, path, schema):
@@ -42,7 +42,6 @@ def test_daily_revenue_over_split_files_and_a_restart(spark, tmp_path):
 
 
 def test_low_stock_over_split_files_and_a_restart(spark, tmp_path):
-    use_state_store(spark)
     goods = make(spark, "products", [product(1, stock=20, stock_min=5), product(2, stock=100, stock_min=5)])
     # Product 1 falls, is refilled and falls again; product 2 never gets there.
     moves = [-8, -8, 0, 30, -20, -9, -1] + [0] * 5
@@ -53,12 +52,27 @@ def test_low_stock_over_split_files_and_a_restart(spark, tmp_path):
     source, out, check = (f"{tmp_path}/{d}" for d in ("in", "out", "check"))
     for start in range(0, 24, 8):
         put(make(spark, "stock_deltas", events[start:start + 8]), source)
-        found = drained(stream_low_stock(feed(spark, source, schema_of("stock_deltas")), goods), out, check)
+        with state_store(spark):
+            found = drained(stream_low_stock(feed(spark, source, schema_of("stock_deltas")), goods), out, check)
+        # The table is refreshed between the runs: the movements so far are in its stock now.
+        so_far = sum(moves[: (start + 8) // 2])
+        goods = make(spark, "products", [product(1, stock=20 + so_far, stock_min=99), product(2, stock=100 + so_far, stock_min=99), product(3)])
     assert rows(found, "product_id", "period_end", "stock_before", "stock") == [
         (1, dt.datetime(2024, 3, 1, 2), 12, 4), (1, dt.datetime(2024, 3, 1, 6), 14, 5)
     ]
 
 
+def test_products_without_a_start_raise_no_alerts(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    events = [{"event_id": n, "ts": f"2024-03-01T{n:02d}:30:00", "product_id": p, "delta": -9} for n in range(6) for p in (1, 2, 3)]
+    put(make(spark, "stock_deltas", events), f"{tmp_path}/in")
+    goods = make(spark, "products", [product(1, stock=10), {**product(2), "stock": None}, {**product(3), "product_id": None}])
+    with state_store(spark):
+        found = drained(stream_low_stock(feed(spark, f"{tmp_path}/in", schema_of("stock_deltas")), goods), f"{tmp_path}/out", f"{tmp_path}/check")
+    assert rows(found, "product_id", "stock_before", "stock") == [(1, 10, 1)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
 def versions(spark, items):
     base = dict(created_at="2024-01-01T00:00:00", updated_at="2024-01-01T00:00:00")
     full = make(spark, "products", [product(n, price=p, **base) for n, p, *_ in items])
@@ -102,3 +116,39 @@ def test_change_log_leaves_out_versions_that_come_late(spark, tmp_path):
     assert rows(log.entries(spark), "batch", "row_id", "op") == [(0, 1, "UPDATE"), (0, 2, "DELETE")]
     log.apply(versions(spark, [(1, "40", False, 7)]), 2)
     assert rows(log.current(spark), "product_id", "price") == [(1, 40.0)]
+    late = log.late_versions(spark)
+    assert rows(late, "batch", "product_id", "_version", "_known") == [(1, 1, 3, 7), (1, 2, 5, 8)]
+
+
+def test_bases_replace_the_history_before_them(spark, tmp_path):
+    import random
+
+    draw, truth, sent = random.Random(5), {n: (0, "1") for n in range(20)}, []
+    logs = [ChangeLog(f"{tmp_path}/{every}", schema_of("products"), "product_id", "products", merge_every=every) for every in (2, 1000)]
+    first = versions(spark, [(n, "1", False, 0) for n in range(20)]).drop("deleted", "seq")
+    for log in logs:
+        log.start(first)
+    for batch in range(7):
+        # Out of order: numbers fall back behind earlier batches.
+        rows_ = {n: (n, str(draw.randrange(2, 90)), draw.random() < 0.2, draw.randrange(100) + 10 * batch) for n in draw.sample(range(25), 9)}
+        sent.append(versions(spark, list(rows_.values())))
+        for n, price, gone, seq in rows_.values():
+            if seq >= truth.get(n, (-1, None))[0] or truth.get(n) == (0, "1"):
+                truth[n] = (seq, None if gone else price)
+        for log in logs:
+            log.apply(sent[-1], batch)
+    want = sorted(((n, float(p)) for n, (_, p) in truth.items() if p is not None), key=lambda r: str(r[0]))
+    for log in logs:
+        assert rows(log.current(spark), "product_id", "price") == want
+    assert rows(logs[0].entries(spark)) == rows(logs[1].entries(spark))
+    # A batch reads the last base and what came later.
+    read = lambda log, before: {r[0].split("/")[-2] for r in log._stored(spark, before).select(F.input_file_name()).distinct().collect()}
+    assert read(logs[0], 7) == {"base=5", "batch=6"} and read(logs[0], 6) == {"base=3", "batch=4", "batch=5"}
+    # A base that was half written isn't listed: it is passed over, and made anew.
+    sent[0].limit(1).write.mode("overwrite").parquet(f"{logs[0].bases}/base=6")
+    assert rows(logs[0].current(spark), "product_id", "price") == want
+    logs[0].merge(spark, 6)
+    assert read(logs[0], None) == {"base=6"} and rows(logs[0].current(spark), "product_id", "price") == want
+    # A batch sent again after its base was made finds the base before it.
+    logs[0].apply(sent[5], 5)
+    assert rows(logs[0].entries(spark)) == rows(logs[1].entries(spark)) and rows(logs[0].current(spark), "product_id", "price") == want

@@ -30,7 +30,7 @@ from tillspan.sources.tables import (
 from tillspan.streaming.changes import ChangeLog, stream_change_log
 from tillspan.streaming.revenue import stream_daily_revenue
 from tillspan.streaming.run import drained, state_partitions
-from tillspan.streaming.stock import stream_low_stock, use_state_store
+from tillspan.streaming.stock import state_store, stream_low_stock
 
 SINCE = "1998-01-01"
 COHORTS_SINCE = "1996-01-01"
@@ -181,10 +181,9 @@ def _stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_low_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_state_store(spark)
     out = run_dir(spark, "low-stock")
     stream = stream_low_stock(star_streams(spark, sf_dir).stock_deltas, star_retail(spark, sf_dir).products)
-    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+    with state_store(spark), state_partitions(spark, spark.sparkContext.defaultParallelism):
         return drained(stream, f"{out}/result", f"{out}/checkpoint")
 
 

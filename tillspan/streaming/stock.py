@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +16,16 @@ ALERT_SCHEMA = "product_id bigint, period_end timestamp_ntz, stock_before bigint
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_state_store(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Start stateful queries with that store; the session's own setting comes back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def stream_low_stock(
@@ -23,11 +34,15 @@ def stream_low_stock(
     """An alert whenever a product's stock, seen at the ends of periods, falls to or below its minimum.
 
     Movements are summed per product and period first. That step combines before the shuffle, so a product with
-    a third of all movements reaches its state as one row per period. The state of a product is one number, the
-    sum of its movements so far; alerts do not depend on how the input is cut into batches.
+    a third of all movements reaches its state as one row per period; alerts do not depend on how the input is cut
+    into batches.
+
+    The state of a product is its stock and its minimum. They are taken from `products` when the query first starts
+    and never again: a restart goes on with the stock in the state, whatever the table has become in between, so that
+    no movement counts twice. Products that are not in the table then have no stock and raise no alerts.
     """
-    floors = products.select(
-        "product_id", F.col("stock").cast("bigint").alias("start_stock"), F.col("stock_min").cast("bigint")
+    floors = products.filter("product_id is not null").select(
+        "product_id", F.col("stock").cast("bigint"), F.col("stock_min").cast("bigint")
     )
     periods = (
         with_event_time(deltas, "ts", delay)
@@ -35,12 +50,12 @@ def stream_low_stock(
         .agg(F.sum("delta").alias("delta"))
         .select("product_id", F.col("w.end").cast("timestamp_ntz").alias("period_end"), "delta")
     )
-    return (
-        periods.join(floors, "product_id")
-        .groupBy("product_id")
-        .transformWithStateInPandas(
-            _alert_processor(), outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="None"
-        )
+    return periods.groupBy("product_id").transformWithStateInPandas(
+        _alert_processor(),
+        outputStructType=ALERT_SCHEMA,
+        outputMode="Append",
+        timeMode="None",
+        initialState=floors.groupBy("product_id"),
     )
 
 
@@ -51,19 +66,26 @@ def _alert_processor():
 
     class Alerts(StatefulProcessor):
         def init(self, handle):
-            self.moved = handle.getValueState("moved", "moved bigint")
+            self.level = handle.getValueState("level", "stock bigint, stock_min bigint")
+
+        def handleInitialState(self, key, initialState, timerValues):
+            first = initialState.iloc[0]
+            if not pd.isna(first["stock"]) and not pd.isna(first["stock_min"]):
+                self.level.update((int(first["stock"]), int(first["stock_min"])))
 
         def handleInputRows(self, key, rows, timerValues):
-            moved = self.moved.get()[0] if self.moved.exists() else 0
-            found = []
-            for row in pd.concat(list(rows)).sort_values("period_end").itertuples():
-                before = row.start_stock + moved
-                moved += row.delta
-                after = row.start_stock + moved
-                if after <= row.stock_min < before:
-                    found.append((key[0], row.period_end, before, after, row.stock_min))
-            self.moved.update((int(moved),))
-            yield pd.DataFrame(found, columns=["product_id", "period_end", "stock_before", "stock", "stock_min"])
+            moves = pd.concat(list(rows)).sort_values("period_end")
+            if not self.level.exists():
+                moves, (stock, floor) = moves.iloc[:0], (0, 0)
+            else:
+                stock, floor = self.level.get()
+                self.level.update((int(stock + moves["delta"].sum()), int(floor)))
+            after = stock + moves["delta"].cumsum()
+            before = after - moves["delta"]
+            found = pd.DataFrame(
+                {"product_id": key[0], "period_end": moves["period_end"], "stock_before": before, "stock": after, "stock_min": floor}
+            )
+            yield found[(after <= floor) & (before > floor)]
 
         def close(self):
             pass
