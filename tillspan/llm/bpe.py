@@ -5,7 +5,8 @@ together must end in just these two. That turns the merges into a transducer tha
 tokens end; a guess survives while it is the beginning of some token and its tokens agree with their neighbours. The
 transducer is made deterministic while it runs: a state is the set of guesses that are alive, and the tokens all of
 them have in common are emitted. Guesses never reach back further than the longest token, which bounds states and
-lookahead. States and whole pieces are remembered up to fixed numbers, then forgotten.
+lookahead. States of the beginnings of pieces, which many share, and whole pieces are remembered up to fixed numbers, then
+forgotten; behind a beginning the guesses are followed without making states.
 
 Decoding joins the bytes of tokens; a UTF-8 state machine holds back an incomplete character until its rest comes.
 
@@ -30,8 +31,10 @@ Ranks = dict[bytes, int]
 Guess = tuple[tuple[int, ...], int]
 State = tuple[int, tuple[Guess, ...]]
 
-MAX_STEPS = 1_000_000
-MAX_PIECES = 100_000
+MAX_STEPS = 200_000
+MAX_PIECES = 200_000
+# States are made for the first bytes of a piece; what comes later is followed without remembering it.
+DEEP = 6
 MAX_PAIRS = 200_000
 LONG_PIECE = 64
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -168,14 +171,67 @@ class Transducer:
         if len(self.steps) >= MAX_STEPS:
             self._forget()
         state, out, steps = 0, [], self.steps
-        for byte in piece:
-            step = steps.get(state << 8 | byte) or self._step(state, byte)
+        for at, byte in enumerate(piece):
+            step = steps.get(state << 8 | byte)
+            if step is None:
+                if at >= DEEP:
+                    return self._alone(state, piece, at, out)
+                step = self._step(state, byte)
             state = step[0]
             if step[1]:
                 out += step[1]
         # Only one guess has no token under way: it is the result.
         return out + [t for pending, node in self.guesses[state][1] if not node for t in pending]
 
+    def _alone(self, state: int, piece: bytes, at: int, out: list[int]) -> list[int]:
+        """The rest of a piece from a state on, without states of its own: hardly any other piece would come by here.
+
+        The same guesses are alive as in the states; their tokens are chains (token, those before it), and are emitted
+        whenever a single guess is left.
+        """
+        tree, pairs = self.tree, self.pairs
+        emitted, guesses = self.guesses[state]
+        alive: list[tuple[tuple | None, int]] = []
+        for pending, node in guesses:
+            chain = None
+            for token in pending:
+                chain = token, chain
+            alive.append((chain, node))
+        for k in range(at, len(piece)):
+            byte, after, ended = piece[k], [], False
+            for chain, node in alive:
+                found = tree.get(node << 8 | byte)
+                if found is None:
+                    continue
+                longer, token = found
+                if longer:
+                    after.append((chain, longer))
+                if token >= 0 and not ended:
+                    last = chain[0] if chain is not None else emitted
+                    apart = pairs.get(last << 32 | token)
+                    if apart or (apart is None and self.neighbours(last, token)):
+                        ended, last_chain = True, (token, chain)
+            if ended:
+                after.append((last_chain, 0))
+            if len(after) == 1 and after[0][0] is not None:
+                chain, node = after[0]
+                emitted = chain[0]
+                out += _unchained(chain)
+                after = [(None, node)]
+            alive = after
+        for chain, node in alive:
+            if not node:
+                return out + _unchained(chain)
+        return out
+
+
+def _unchained(chain: tuple | None) -> list[int]:
+    tokens = []
+    while chain is not None:
+        token, chain = chain
+        tokens.append(token)
+    return tokens[::-1]
+
 
 class Encoder(dict):
     """Pieces and their tokens as little-endian 32-bit numbers; what is not known yet is computed.
