@@ -241,10 +241,14 @@ def _not_apart(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     parity = entries.select("cls", "parity")
     both = pairs.join(parity.withColumnsRenamed({"cls": "a", "parity": "a_parity"}), "a")
     both = both.join(parity.withColumnsRenamed({"cls": "b", "parity": "b_parity"}), "b")
-    differing = sum(
-        (F.bit_count(F.get("a_parity", F.lit(k)).bitwiseXOR(F.get("b_parity", F.lit(k)))) for k in range(PARITY_BITS // 64)), F.lit(0)
-    )
-    return both.where(differing * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)).select("a", "a_n", "b", "b_n")
+    near = _parities_fit(F.col("a_parity"), F.col("b_parity"), F.col("a_n") + F.col("b_n"), percent)
+    return both.where(near).select("a", "a_n", "b", "b_n")
+
+
+def _parities_fit(a: Column, b: Column, sizes: Column, percent: int) -> Column:
+    """Whether parity sketches of sets with these sizes together differ in no more places than similar sets may."""
+    differing = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(PARITY_BITS // 64)), F.lit(0))
+    return differing * (100 + percent) <= sizes * (100 - percent)
 
 
 def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -293,13 +297,15 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     band = lambda size: F.floor(F.log(size) / F.lit(log(100 / percent)) + 1e-9)
     reach = (F.col("n") - F.col("pos")) * (100 + percent) / percent - F.col("n")
     blocks = F.sequence(band(F.col("n")), F.greatest(band(F.greatest(reach, F.lit(1))), band(F.col("n"))))
-    entry = F.struct("cls", "n", "pos", "root")
+    # Entries carry their parity sketch, so that pairs of different sets that share a passage don't leave the join.
+    open_lists = open_lists.join(entries.select("cls", "parity"), "cls")
+    entry = F.struct("cls", "n", "pos", "root", "parity")
     x = open_lists.where(reach >= F.col("n")).select("token", entry.alias("x"), F.explode(blocks).alias("block"))
     y = open_lists.select("token", entry.alias("y"), band(F.col("n")).alias("block"))
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
-    rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", percent))
-    rest = _pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    rest = scratch.save(_not_apart(rest, entries, percent))
+    fit = _parities_fit(F.col("x.parity"), F.col("y.parity"), F.col("x.n") + F.col("y.n"), percent)
+    rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", percent) & fit)
+    rest = scratch.save(_pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
 
     # Answers that follow from the differences to a set both have been compared with.
     seen = compared.select(F.col("a").alias("lead"), F.col("a_n").alias("lead_n"), F.col("b").alias("cls"), F.col("only_a").alias("lost"), F.col("only_b").alias("gained"))
