@@ -205,6 +205,15 @@ SELECT customer_id, CASE WHEN {HELD.format('orders')} THEN 'has orders' WHEN {HE
   ELSE 'has carts' END AS reason
 FROM m_customers c WHERE NOT ({FREE})
 """
+_SINCE = {"orders": "order_ts", "reviews": "created_at", "carts": "created_at"}
+_RECENT = {t: f"EXISTS (SELECT 1 FROM m_{t} x WHERE x.customer_id = c.customer_id AND x.{ts} >= TIMESTAMP '2000-06-01')" for t, ts in _SINCE.items()}
+_IDLE = " AND ".join(f"NOT {held}" for held in _RECENT.values())
+J08_ARCHIVED = f"SELECT customer_id, name FROM m_customers c WHERE {_IDLE}"
+J08_ARCHIVED_ADDRESSES = f"SELECT address_id, customer_id FROM m_addresses c WHERE {_IDLE}"
+J08_ARCHIVED_REFUSALS = f"""
+SELECT customer_id, CASE WHEN {_RECENT['orders']} THEN 'has orders' WHEN {_RECENT['reviews']} THEN 'has reviews' ELSE 'has carts' END AS reason
+FROM m_customers c WHERE NOT ({_IDLE})
+"""
 J09 = f"""
 SELECT n.product_id, n.name, n.franchise, n.price::DOUBLE AS price, n.promo_price::DOUBLE AS promo_price, n.stock, n.stock_min,
   n.active, CASE WHEN o.product_id IS NOT NULL AND ({DIFFERS}) THEN '2001-07-31 00:00:00.000000'
@@ -260,6 +269,9 @@ SQL = {
     "j08_plan_deletes_customers": J08_CUSTOMERS,
     "j08_plan_deletes_addresses": J08_ADDRESSES,
     "j08_plan_deletes_refusals": J08_REFUSALS,
+    "j08_archived_customers": J08_ARCHIVED,
+    "j08_archived_addresses": J08_ARCHIVED_ADDRESSES,
+    "j08_archived_refusals": J08_ARCHIVED_REFUSALS,
     "j09_stamp_updates": J09,
     "j10_merge_items": J10,
     "j11_dedupe_reviews": J11,

@@ -167,6 +167,17 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
            FROM m_events""",
         ("m_events",),
     ),
+    "m_status_history": (
+        """SELECT order_id AS history_id, order_id, CASE WHEN status_id > 1 THEN status_id - 1 END AS old_status_id,
+                  status_id AS new_status_id FROM m_orders""",
+        ("m_orders",),
+    ),
+    "m_audit_log": (
+        """SELECT event_id AS log_id, 'products' AS table_name,
+                  CASE WHEN event_id % 100 = 0 THEN NULL ELSE ['INSERT', 'UPDATE', 'REMOVE'][event_id % 3 + 1] END AS op
+           FROM m_events WHERE event_type = 'signup'""",
+        ("m_events",),
+    ),
     "m_cart_adds": (
         """SELECT event_id AS request_id, ts, user_id AS customer_id, k * 3 AS product_id,
                   1 + event_id % 60 AS qty FROM m_events WHERE event_type = 'view'""",

@@ -63,7 +63,8 @@ UNIQUE = [
     ("order_items(order_id, product_id)", "m_order_items", "order_id, product_id"),
     ("reviews(review_id)", "m_reviews", "review_id"),
     ("reviews(product_id, customer_id)", "m_reviews", "product_id, customer_id"),
-    ("carts(cart_id)", "m_carts", "cart_id"),
+    ("carts(cart_id)", "m_carts", "cart_id"), ("status_history(history_id)", "m_status_history", "history_id"),
+    ("audit_log(log_id)", "m_audit_log", "log_id"),
     ("coupons(coupon_id)", "m_coupons", "coupon_id"), ("coupons(code)", "m_coupons", "code"),
 ]
 D01 = " UNION ALL ".join(
@@ -80,7 +81,8 @@ REFERENCES = [
     ("order_items.order_id", "orders.order_id"), ("order_items.product_id", "products.product_id"),
     ("reviews.product_id", "products.product_id"), ("reviews.customer_id", "customers.customer_id"),
     ("carts.customer_id", "customers.customer_id"), ("carts.product_id", "products.product_id"),
-    ("orders.coupon_code", "coupons.code"),
+    ("orders.coupon_code", "coupons.code"), ("status_history.order_id", "orders.order_id"),
+    ("status_history.old_status_id", "order_status.status_id"), ("status_history.new_status_id", "order_status.status_id"),
 ]
 
 
@@ -112,6 +114,7 @@ RULES = [
     ("order_items.subtotal", "m_order_items", "subtotal < 0"),
     ("reviews.rating", "m_reviews", "rating < 1 OR rating > 5"),
     ("carts.qty", "m_carts", "qty <= 0"), ("carts.owner", "m_carts", "customer_id IS NULL AND session_id IS NULL"),
+    ("audit_log.op", "m_audit_log", "op NOT IN ('INSERT', 'UPDATE', 'DELETE')"),
     ("coupons.kind", "m_coupons", "kind NOT IN ('PERCENT', 'FIXED')"), ("coupons.dates", "m_coupons", "ends < starts"),
 ]
 D03 = " UNION ALL ".join(
@@ -127,6 +130,7 @@ REQUIRED = {
     "order_items": "item_id order_id product_id qty unit_price unit_discount subtotal",
     "reviews": "review_id product_id customer_id rating", "carts": "cart_id customer_id product_id qty",
     "coupons": "coupon_id code kind value max_uses starts ends",
+    "status_history": "history_id order_id new_status_id", "audit_log": "log_id table_name op",
 }
 D04 = " UNION ALL ".join(
     f"SELECT '{table}.{c}' AS rule, (SELECT count(*) FROM m_{table} WHERE {c} IS NULL) AS violations"

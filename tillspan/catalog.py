@@ -34,6 +34,7 @@ from tillspan.streaming.stock import state_store, stream_low_stock
 
 SINCE = "1998-01-01"
 COHORTS_SINCE = "1996-01-01"
+ARCHIVED_BEFORE = "2000-06-01"
 CORRECTED_MONTH = "1998-02"
 BUCKETS = 8
 
@@ -70,6 +71,12 @@ def _deletes(t: Retail) -> jobs.DeletePlan:
     )
 
 
+def _archived(t: Retail) -> jobs.DeletePlan:
+    """Who could go if everything before a day were archived."""
+    recent = {name: in_period(getattr(t, name), ts, ARCHIVED_BEFORE) for name, ts in (("orders", "order_ts"), ("reviews", "created_at"), ("carts", "created_at"))}
+    return jobs.plan_deletes(t.customers.select("customer_id"), t.customers, recent["orders"], t.addresses, recent["reviews"], recent["carts"])
+
+
 # Nullable columns the derived tables leave empty in part; checked as if they were required.
 ALSO_REQUIRED = {
     "customers": ["tax_id"],
@@ -145,6 +152,9 @@ ON_TABLES: dict[str, Callable[[Retail], DataFrame]] = {
     "j08_plan_deletes_customers": lambda t: _deletes(t).customers.select("customer_id", "name"),
     "j08_plan_deletes_addresses": lambda t: _deletes(t).addresses.select("address_id", "customer_id"),
     "j08_plan_deletes_refusals": lambda t: _deletes(t).refusals,
+    "j08_archived_customers": lambda t: _archived(t).customers.select("customer_id", "name"),
+    "j08_archived_addresses": lambda t: _archived(t).addresses.select("address_id", "customer_id"),
+    "j08_archived_refusals": lambda t: _archived(t).refusals,
     "j09_stamp_updates": lambda t: jobs.stamp_updates(t.products_old, t.products_new, "product_id", instant(AS_OF)),
     "j10_merge_items": lambda t: jobs.merge_items(t.order_items, ITEM_SEQUENCE),
     "j11_dedupe_reviews": lambda t: jobs.dedupe_reviews(t.review_submissions).select(

@@ -8,11 +8,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspan.sources.constraints import REFERENCES, REQUIRED, RULES, UNIQUE
-from tillspan.sources.tables import Retail
+from tillspan.sources.tables import Retail, literal_rows
 
 
 def _all_set(columns: Sequence[str]) -> Column:
@@ -81,34 +81,70 @@ def table_counts(t: Retail, names: Sequence[str]) -> DataFrame:
 
 
 def all_unique(t: Retail) -> DataFrame:
-    return _union([
-        check_unique(getattr(t, name), keys, f"{name}({', '.join(keys)})")
-        for name, key_lists in UNIQUE.items() if name in t.names()
-        for keys in key_lists
-    ])
+    """Every declared key; the number of violations is NULL where the shop has no such table."""
+    rules = [(name, keys, f"{name}({', '.join(keys)})") for name, key_lists in UNIQUE.items() for keys in key_lists]
+    known = [check_unique(getattr(t, name), keys, rule) for name, keys, rule in rules if name in t.names()]
+    return _with_unchecked(known, [rule for *_, rule in rules])
 
 
 def all_references(t: Retail) -> DataFrame:
-    known = t.names()
-    return _union([
-        check_references(getattr(t, child), getattr(t, parent), column, key, f"{child}.{column} -> {parent}.{key}")
-        for child, column, parent, key in REFERENCES if child in known and parent in known
-    ])
+    """Every reference, all of them in one scan per table; the number of violations is NULL where a table is missing.
+
+    The values of references and the keys they point to go into one table of (key column, value), in which rows of one
+    value combine before and after the only shuffle: a value without a key counts for the references that have it.
+    """
+    rules = [(child, column, f"{parent}.{key}", f"{child}.{column} -> {parent}.{key}") for child, column, parent, key in REFERENCES]
+    targets = sorted({target for _, _, target, _ in rules})
+    # Rules are numbered within the key they point to.
+    numbers = {rule: sum(r[2] == target for r in rules[:n]) for n, (_, _, target, rule) in enumerate(rules)}
+    places = max(numbers.values()) + 1
+    known = set(t.names())
+    parts = []
+    for name in sorted(known & ({child for child, *_ in rules} | {target.split(".")[0] for target in targets})):
+        entries = [_entry(target, target.split(".")[1], None) for target in targets if target.split(".")[0] == name]
+        entries += [_entry(target, column, numbers[rule]) for child, column, target, rule in rules if child == name]
+        parts.append(getattr(t, name).select(F.inline(F.array(*entries))).filter("value is not null"))
+    values = _union(parts).groupBy("target", "value").agg(
+        F.max(F.col("rule").isNull()).alias("known"), *[F.count_if(F.col("rule") == n).alias(f"n{n}") for n in range(places)]
+    )
+    lost = values.filter("not known").groupBy("target").agg(*[F.sum(f"n{n}").alias(f"n{n}") for n in range(places)])
+    checked = [(target, numbers[rule], rule) for child, _, target, rule in rules if {child, target.split(".")[0]} <= known]
+    listed = literal_rows(_spark(t), checked, ["target", "number", "rule"])
+    count = F.coalesce(F.get(F.array(*[F.col(f"n{n}") for n in range(places)]), F.col("number")), F.lit(0))
+    found = listed.join(lost, "target", "left").select("rule", count.cast("bigint").alias("violations"))
+    return _with_unchecked([found], [rule for *_, rule in rules])
+
+
+def _entry(target: str, column: str, rule: int | None) -> Column:
+    """A value of a reference, or a key where `rule` is None."""
+    return F.struct(
+        F.lit(target).alias("target"), F.col(column).cast("string").alias("value"), F.lit(rule).cast("int").alias("rule")
+    )
 
 
 def all_rules(t: Retail) -> DataFrame:
-    return _union([
-        check_rules(getattr(t, name), rules, f"{name}.") for name, rules in RULES.items() if name in t.names()
-    ])
+    """Every value rule; the number of violations is NULL where the shop has no such table."""
+    known = [check_rules(getattr(t, name), rules, f"{name}.") for name, rules in RULES.items() if name in t.names()]
+    return _with_unchecked(known, [f"{name}.{rule}" for name, rules in RULES.items() for rule in rules])
 
 
 def all_required(t: Retail, also: dict[str, list[str]] | None = None) -> DataFrame:
-    """The declared required columns, and those in `also`."""
+    """The declared required columns, and those in `also`; NULL violations where the shop has no such table."""
     also = also or {}
-    return _union([
-        check_required(getattr(t, name), columns + also.get(name, []), f"{name}.")
-        for name, columns in REQUIRED.items() if name in t.names()
-    ])
+    columns = {name: needed + also.get(name, []) for name, needed in REQUIRED.items()}
+    known = [check_required(getattr(t, name), needed, f"{name}.") for name, needed in columns.items() if name in t.names()]
+    return _with_unchecked(known, [f"{name}.{c}" for name, needed in columns.items() for c in needed])
+
+
+def _with_unchecked(found: Sequence[DataFrame], rules: Sequence[str]) -> DataFrame:
+    """All rules, those that could not be checked with NULL: a complete list shows what is missing."""
+    checked = _union(found)
+    listed = literal_rows(checked.sparkSession, [(rule,) for rule in rules], ["rule"])
+    return listed.join(checked, "rule", "left").select("rule", "violations")
+
+
+def _spark(t: Retail) -> SparkSession:
+    return getattr(t, t.names()[0]).sparkSession
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:

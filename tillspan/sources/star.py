@@ -57,6 +57,8 @@ def star_retail(spark: SparkSession, sf_dir: str) -> Retail:
             "reviews": lambda: _reviews(raw),
             "review_submissions": lambda: _review_submissions(raw),
             "coupons": lambda: _coupons(raw),
+            "status_history": lambda: _status_history(raw),
+            "audit_log": lambda: _audit_log(raw),
             "products_old": lambda: _products_old(raw),
             "products_new": lambda: _products_new(raw),
             "product_feed": lambda: _product_feed(raw),
@@ -404,6 +406,33 @@ def _status_requests(raw) -> DataFrame:
     )
 
 
+def _status_history(raw) -> DataFrame:
+    # The step to the present state of every order.
+    return _orders(raw).selectExpr(
+        "order_id as history_id",
+        "order_id",
+        "case when status_id > 1 then status_id - 1 end as old_status_id",
+        "status_id as new_status_id",
+        "cast(null as string) as note",
+        "concat('clerk', order_id % 4) as actor",
+        "order_ts as created_at",
+    )
+
+
+def _audit_log(raw) -> DataFrame:
+    # What clerks did to products; every hundredth entry lost the kind of change.
+    return _events(raw, "signup").selectExpr(
+        "event_id as log_id",
+        "'products' as table_name",
+        "case when event_id % 100 = 0 then null when event_id % 3 = 0 then 'INSERT' when event_id % 3 = 1 then 'UPDATE' else 'REMOVE' end as op",
+        "k * 25 as row_id",
+        "cast(null as string) as old_row",
+        "cast(null as string) as new_row",
+        "concat('clerk', user_id % 4) as actor",
+        "ts as created_at",
+    )
+
+
 def _cart_adds(raw) -> DataFrame:
     return _events(raw, "view").selectExpr(
         "event_id as request_id",
