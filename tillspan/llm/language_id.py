@@ -93,9 +93,11 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether the lead is too narrow to be trusted."""
-        data = letters(text or "").encode()
-        if not data.strip() or not self.langs:
+        words = letters(text or "")
+        # Signs like superscripts and fractions count as word characters, but are no letters.
+        if not self.langs or not any(map(str.isalpha, words)):
             return "und", 0.0, True
+        data = words.encode()
         sizes = self.sizes(data)
         best = min(range(len(sizes)), key=sizes.__getitem__)
         # A byte less is eight bits of evidence; dictionaries are alike, so evidence counts a quarter of that.
