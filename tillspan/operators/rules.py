@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspan.functions.dates import DateLike, age_on, date_lit
-from tillspan.functions.numbers import money
+from tillspan.functions.numbers import money, zero_if_null
 from tillspan.functions.pricing import coupon_amount, discount_pct, final_price, freight
 from tillspan.functions.text import clean_email, fold_accents, format_tax_id, is_email
 from tillspan.plans.joins import left_lookup
@@ -53,7 +53,7 @@ def quote_freight(requests: DataFrame) -> DataFrame:
 
 def usable_coupons(coupons: DataFrame, as_of: DateLike) -> DataFrame:
     """Active coupons in their dates and below their cap."""
-    below_cap = F.col("max_uses").isNull() | (F.col("used") < F.col("max_uses"))
+    below_cap = F.col("max_uses").isNull() | (zero_if_null(F.col("used")) < F.col("max_uses"))
     in_dates = date_lit(as_of).between(F.col("starts"), F.col("ends"))
     return coupons.filter(F.col("active") & in_dates & below_cap)
 

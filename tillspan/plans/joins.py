@@ -8,13 +8,10 @@ from pyspark.sql import functions as F
 # A frame cut by a limit of at most this many rows may be broadcast: its size is bounded by construction.
 MAX_BROADCAST_ROWS = 100_000
 
-# Number of places rows without a key are spread over.
-NULL_SPREAD = 1024
 
-
-def broadcast_limited(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast hint for a frame that a `limit(n)` bounds; no hint where n is large."""
-    return F.broadcast(df) if limit <= MAX_BROADCAST_ROWS else df
+def broadcast_limited(df: DataFrame, limit: int, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a frame that a `limit(n)` bounds; no hint where n is above `most`."""
+    return F.broadcast(df) if limit <= most else df
 
 
 def left_lookup(df: DataFrame, key: str, table: DataFrame, spread_by: str) -> DataFrame:
@@ -23,7 +20,7 @@ def left_lookup(df: DataFrame, key: str, table: DataFrame, spread_by: str) -> Da
     Rows without a key can match nothing, yet a shuffle would send all of them to one task. A second
     join column, 0 where there is a key and a hash of `spread_by` where there is none, spreads them.
     """
-    place = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(F.pmod(F.hash(spread_by), F.lit(NULL_SPREAD)))
+    place = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(F.hash(spread_by))
     left = df.withColumn("_place", place)
     right = table.withColumn("_place", F.lit(0))
     return left.join(right, [key, "_place"], "left").drop("_place")
