@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspan.functions.numbers import money, zero_if_null
+from tillspan.plans.joins import checked
 from tillspan.plans.running import before_each_row, before_each_row_in_ranges, latest_before
 from tillspan.sources.merge import apply_updates
 from tillspan.sources.statuses import CANCELLED, CLOSING_FLOW, STAMP_DELIVERY, STAMP_PAYMENT, STAMP_SHIPPING
@@ -303,24 +306,47 @@ def plan_deletes(
 
 def merge_items(items: DataFrame, seq: Sequence[str] = ("item_id",)) -> DataFrame:
     """One row per (order, product). Quantities add up; unit price and discount stay those of the first row in
-    the order of `seq`, while the subtotal is taken at the price and discount of the last one."""
+    the order of `seq`, while the subtotal is taken at the price and discount of the last one.
+
+    Most items stand alone with their order and product; these pass without being moved, and only the keys are counted
+    by a shuffle of all.
+    """
+    alone, several = _alone_and_several(items, ["order_id", "product_id"], "merge-items")
+    net = F.col("unit_price") - F.coalesce(F.col("unit_discount"), F.lit(0))
+    alone = alone.select(
+        "item_id", "order_id", "product_id", F.col("qty").cast("int").alias("qty"), "unit_price", "unit_discount",
+        money(net * F.col("qty")).alias("subtotal"),
+    )
     order = F.struct(*seq)
-    merged = items.groupBy("order_id", "product_id").agg(
+    merged = several.groupBy("order_id", "product_id").agg(
         F.min_by(F.struct("item_id", "unit_price", "unit_discount"), order).alias("first"),
         F.max_by(F.struct("unit_price", "unit_discount"), order).alias("last"),
         F.sum("qty").alias("qty"),
     )
     last_net = F.col("last.unit_price") - F.coalesce(F.col("last.unit_discount"), F.lit(0))
-    return merged.select(
+    return alone.unionByName(merged.select(
         "first.item_id", "order_id", "product_id", F.col("qty").cast("int").alias("qty"), "first.unit_price",
         "first.unit_discount", money(last_net * F.col("qty")).alias("subtotal"),
-    )
+    ))
+
+
+def _alone_and_several(df: DataFrame, keys: Sequence[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key no other row has, and the others. NULL is a key like any other.
+
+    Counting moves the keys alone, by a hash aggregate. The keys that several rows have are written and counted; where
+    they are few they are broadcast, and no row is moved to tell the two kinds apart.
+    """
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = checked(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]), name)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(repeated, same, "left_anti"), df.join(repeated, same, "left_semi")
 
 
 def dedupe_reviews(reviews: DataFrame) -> DataFrame:
     """The first review of each customer for each product."""
+    alone, several = _alone_and_several(reviews, ["product_id", "customer_id"], "dedupe-reviews")
     first = F.min_by(F.struct(*reviews.columns), F.col("review_id")).alias("first")
-    return reviews.groupBy("product_id", "customer_id").agg(first).select("first.*")
+    return alone.unionByName(several.groupBy("product_id", "customer_id").agg(first).select("first.*"))
 
 
 def backfill_status_history(orders: DataFrame, note: str = "Automatic status update", actor: str = "system") -> DataFrame:

@@ -32,7 +32,7 @@ from tillspan.operators.common import (
     sum_when,
     with_place,
 )
-from tillspan.plans.joins import broadcast_limited
+from tillspan.plans.joins import broadcast_counted, broadcast_limited, checked, taken
 from tillspan.sources.statuses import AWAITING, CANCELLED, CONFIRMED, DELIVERED, MOVING, VOID
 from tillspan.sources.tables import Retail, in_period
 
@@ -70,31 +70,27 @@ def sales_detail(t: Retail, start: DateLike, end: DateLike, ordered: bool = True
 def best_sellers(t: Retail, limit: int = 100) -> DataFrame:
     """Active products by units sold, with revenue, delivered orders and approved ratings.
 
-    The ranking needs quantities only, which combine before the shuffle. Everything else is then looked up for
-    the products that made the list, so the join of items with orders moves their rows alone. The list is used
-    more than once; Spark computes its quantities once, as all uses shuffle the same columns.
+    The ranking needs quantities, values and numbers of lines only, which combine before the shuffle. The list is
+    computed once; the orders are then looked up for the lines of the listed products alone, whose number the list
+    tells: if they are few, they are broadcast to the orders and neither fact is shuffled.
     """
+    sold = t.order_items.groupBy("product_id").agg(
+        F.sum("qty").alias("units"), F.sum("subtotal").cast(DecimalType(28, 2)).alias("sales"), F.count(F.lit(1)).alias("lines")
+    )
     ranked = (
         t.products.filter("active")
         .select("product_id", "category_id", F.col("name").alias("product"), "sku", "price", "stock")
         .join(category_names(t), "category_id")
-        .join(t.order_items.groupBy("product_id").agg(F.sum("qty").alias("units")), "product_id", "left")
+        .join(sold, "product_id", "left")
     )
     best_first = [F.col("units").desc_nulls_last(), F.col("product_id")]
-    listed = ranked.orderBy(*best_first).limit(limit)
+    listed, rows = taken(ranked.orderBy(*best_first).limit(limit), limit)
     ids = broadcast_limited(listed.select("product_id"), limit)
-    delivered = t.orders.join(status_ids(t, DELIVERED), "status_id", "left_semi").select(
-        "order_id", F.lit(1).alias("delivered")
-    )
-    sales = (
-        t.order_items.select("order_id", "product_id", "subtotal")
-        .join(ids, "product_id", "left_semi")
-        .groupBy("product_id", "order_id")
-        .agg(F.sum("subtotal").alias("sales"))
-        .join(delivered, "order_id", "left")
-        .groupBy("product_id")
-        .agg(F.sum("sales").cast(DecimalType(28, 2)).alias("sales"), F.count("delivered").alias("delivered"))
-    )
+    lines = t.order_items.select("order_id", "product_id").join(ids, "product_id", "left_semi").distinct()
+    if rows is not None:
+        lines = broadcast_limited(lines, sum(row["lines"] or 0 for row in rows))
+    delivered = t.orders.join(status_ids(t, DELIVERED), "status_id", "left_semi").select("order_id")
+    delivered = delivered.join(lines, "order_id").groupBy("product_id").agg(F.count(F.lit(1)).alias("delivered"))
     ratings = (
         t.reviews.filter("approved")
         .join(ids, "product_id", "left_semi")
@@ -102,8 +98,9 @@ def best_sellers(t: Retail, limit: int = 100) -> DataFrame:
         .agg(F.sum("rating").alias("rated"), F.count(F.lit(1)).alias("n"))
     )
     return (
-        listed.join(sales, "product_id", "left")
-        .join(ratings, "product_id", "left")
+        # One row per listed product at most.
+        listed.join(broadcast_limited(delivered, limit), "product_id", "left")
+        .join(broadcast_limited(ratings, limit), "product_id", "left")
         .orderBy(*best_first)
         .select(
             "product_id", "category", "product", "sku", "price",
@@ -118,27 +115,32 @@ def best_sellers(t: Retail, limit: int = 100) -> DataFrame:
 
 
 def vip_customers(t: Retail, as_of: DateLike, limit: int = 50) -> DataFrame:
-    """Active customers by total spent. Orders are summed for the ranking; all else is read for those listed."""
+    """Active customers by total spent.
+
+    The ranking takes all it can from one pass over the orders. The list is computed once and tells how many orders it
+    stands for: if they are few, they are broadcast to the items, which then aren't shuffled.
+    """
+    bought = t.orders.groupBy("customer_id").agg(
+        F.sum("total").alias("spent"), F.count(F.lit(1)).alias("n"),
+        F.min("order_ts").alias("first_order"), F.max("order_ts").alias("last_order"),
+    )
     ranked = (
         t.customers.filter("active")
         .select("customer_id", "name", "email", "birth_date", "created_at")
-        .join(t.orders.groupBy("customer_id").agg(F.sum("total").alias("spent")), "customer_id", "left")
+        .join(bought, "customer_id", "left")
     )
     most_first = [F.col("spent").desc_nulls_last(), F.col("customer_id")]
-    listed = ranked.orderBy(*most_first).limit(limit)
+    listed, rows = taken(ranked.orderBy(*most_first).limit(limit), limit)
     ids = broadcast_limited(listed.select("customer_id"), limit)
-    # Only the listed customers' orders and items get here, so two distinct counts side by side are cheap.
-    habits = (
-        t.orders.join(ids, "customer_id", "left_semi")
-        .select("order_id", "customer_id", "order_ts")
-        .join(t.order_items.select("order_id", "product_id"), "order_id", "left")
+    keys = order_keys(t)
+    orders = t.orders.select(*keys, "customer_id").join(ids, "customer_id", "left_semi")
+    if rows is not None:
+        orders = broadcast_limited(orders, sum(row["n"] or 0 for row in rows))
+    kinds = (
+        t.order_items.select(*keys, "product_id")
+        .join(orders, keys)
         .groupBy("customer_id")
-        .agg(
-            F.countDistinct("order_id").alias("n"),
-            F.countDistinct("product_id").alias("kinds"),
-            F.min("order_ts").alias("first_order"),
-            F.max("order_ts").alias("last_order"),
-        )
+        .agg(F.countDistinct("product_id").alias("kinds"))
     )
     homes = (
         t.addresses.filter("principal")
@@ -148,8 +150,9 @@ def vip_customers(t: Retail, as_of: DateLike, limit: int = 50) -> DataFrame:
     )
     homes = add_place(homes, t).select("customer_id", F.concat("city", F.lit("/"), "state").alias("main_city"))
     return (
-        listed.join(habits, "customer_id", "left")
-        .join(homes, "customer_id", "left")
+        # One row per listed customer at most.
+        listed.join(broadcast_limited(kinds, limit), "customer_id", "left")
+        .join(broadcast_limited(homes, limit), "customer_id", "left")
         .orderBy(*most_first)
         .select(
             "customer_id", "name", "email", "birth_date", age_on(F.col("birth_date"), as_of).alias("age"),
@@ -266,27 +269,30 @@ def cart_conversion(t: Retail, limit: int = 50) -> DataFrame:
         .join(t.carts.groupBy("product_id").agg(F.count(F.lit(1)).alias("cart_lines")), "product_id")
     )
     most_first = [F.col("cart_lines").desc(), F.col("product_id")]
-    listed = ranked.orderBy(*most_first).limit(limit)
+    listed, _ = taken(ranked.orderBy(*most_first).limit(limit), limit)
     ids = broadcast_limited(listed.select("product_id"), limit)
     wanted = (
         t.carts.join(ids, "product_id", "left_semi")
         .groupBy("product_id")
         .agg(F.sum("qty").alias("cart_units"), F.countDistinct("customer_id").alias("interested_customers"))
     )
-    good = not_void(t.orders, t, VOID).select("order_id", F.lit(1).alias("good"))
-    sold = (
+    # What was sold of the listed products, by order: written and counted, so that few rows are broadcast to the orders.
+    lines = checked(
         t.order_items.select("order_id", "product_id", "qty")
         .join(ids, "product_id", "left_semi")
         .groupBy("product_id", "order_id")
-        .agg(F.sum("qty").alias("units"))
-        .join(good, "order_id", "left")
-        .groupBy("product_id")
-        .agg(F.sum("units").alias("units"), F.count("good").alias("good_orders"))
+        .agg(F.sum("qty").alias("units")),
+        "cart-conversion",
     )
+    good = not_void(t.orders, t, VOID).select("order_id").join(lines.select("order_id", "product_id"), "order_id")
+    good = good.groupBy("product_id").agg(F.count(F.lit(1)).alias("good_orders"))
+    sold = lines.groupBy("product_id").agg(F.sum("units").alias("units"))
     units = zero_if_null(F.col("units"))
     return (
-        listed.join(wanted, "product_id")
-        .join(sold, "product_id", "left")
+        # One row per listed product at most.
+        listed.join(broadcast_limited(wanted, limit), "product_id")
+        .join(broadcast_limited(sold, limit), "product_id", "left")
+        .join(broadcast_limited(good, limit), "product_id", "left")
         .orderBy(*most_first)
         .select(
             "product_id", "product", "sku", "category", "price", "stock", "cart_lines", "cart_units",
@@ -530,13 +536,19 @@ def cohort_matrix(t: Retail, since: DateLike, n_months: int = 6) -> DataFrame:
 
 
 def stockout_forecast(t: Retail, as_of: DateLike) -> DataFrame:
-    """Active products at or below twice their minimum stock, most urgent first."""
+    """Active products at or below twice their minimum stock, most urgent first.
+
+    Sales and carts are read for these products alone: if they are few, they are broadcast to both.
+    """
     end = day_after(as_of)
+    short = t.products.filter(F.col("active") & (F.col("stock") <= F.col("stock_min") * 2)).select("product_id")
+    short = broadcast_counted(short)
     keys = order_keys(t)
     recent = in_period(t.orders, "order_ts", days_before(as_of, 90), end).select(*keys, "order_ts")
     in_30, in_7 = F.col("day") >= date_lit(days_before(as_of, 30)), F.col("day") >= date_lit(days_before(as_of, 7))
     sales = (
         t.order_items.select(*keys, "product_id", "qty")
+        .join(short, "product_id", "left_semi")
         .join(recent, keys)
         .groupBy("product_id", F.col("order_ts").cast("date").alias("day"))
         .agg(F.sum("qty").alias("qty"))
@@ -548,7 +560,7 @@ def stockout_forecast(t: Retail, as_of: DateLike) -> DataFrame:
             count_when(in_30).alias("days"),
         )
     )
-    carts = t.carts.groupBy("product_id").agg(
+    carts = t.carts.join(short, "product_id", "left_semi").groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n_carts"), F.sum("qty").alias("in_carts")
     )
     stock, floor = F.col("stock"), F.col("stock_min")
