@@ -273,6 +273,26 @@ def test_labeller_on_frames_it_was_not_shown(spark):
     assert html_extract.learn(spark.createDataFrame([], schema))
 
 
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<div>x", "<div class=c>", "</p><div>", "<a \"", "<![CDATA[", "<!--x", "<!x", "<script>", "<", "<p class='a<b'>t", "&amp", "<b>x</i>"]
+)
+def test_hostile_pages_take_time_in_proportion(piece):
+    import time
+
+    start = time.process_time()
+    blocks = html_extract.blocks_of("<p>begin</p>" + piece * (5_000_000 // len(piece)))
+    assert time.process_time() - start < 60 and blocks[0][1].startswith("begin")
+
+
+def test_blocks_of_odd_tags():
+    texts = lambda page: [text for _, text, _ in html_extract.blocks_of(page)]
+    assert texts("<div title='a > b'>x</div><p data-x=\"1 < 2\">y<p>z") == ["x", "y", "z"]
+    assert texts("<title>no</title><head><p>no</p><body><p>a &lt; b</p>tail <!-- no") == ["a < b", "tail"]
+    assert texts("</div></div><ul><li>one<li>two</ul>") == ["one", "two"]
+    path = html_extract.blocks_of("<body><div class='x y'><div id=z><p>t")[0][0]
+    assert path[-1] == "p" and set(path) == {"body", "div", ".x", ".y", ".z", "p"}
+
+
 def test_texts_without_a_letter_have_no_language():
     classifier = language_id.Classifier({"xx": [b" some words of a language "], "yy": [b" andere worte "]})
     for text in (None, "", " \n", "123 456", "\u00bd \u00b2", "\u2167", "!? \u2014", "\u0301"):

@@ -20,7 +20,9 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +39,13 @@ PATH_SIZE, WORD_SIZE, MEASURES = 192, 32, 6
 SIZE = PATH_SIZE + WORD_SIZE + MEASURES
 HIDDEN = 24
 
+# A tag ends before the next "<", but for one inside a quoted value of up to 10,000 characters; what is opened and never
+# closed reaches to the end of the page. So no search for an end is made twice, and reading stays linear.
+_ATTRS = r"""(?:[^<>"']|"[^"<]*"|'[^'<]*'|"[^"<]{0,5000}<[^"]{0,5000}"|'[^'<]{0,5000}<[^']{0,5000}')*+"""
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"""
-    r"""|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|title)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"""
-    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*>"""
+    rf"""|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|title)\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"""
+    rf"""|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>{_ATTRS})>""",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -53,27 +58,41 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
-Block = tuple[tuple[str, ...], str, int]  # path tokens, text, characters inside links
+# Different tokens of the open tags and the last one once more, text, characters inside links.
+Block = tuple[tuple[str, ...], str, int]
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order; texts as they are to be returned."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    # How many open tags have a token, and how many are of a name: kept up to date, as stacks may be deep.
+    tokens: Counter[str] = Counter()
+    open_tags: Counter[str] = Counter()
     parts: list[str] = []
     linked, links = 0, 0
     page = page or ""
 
-    def flush(path: tuple[str, ...]) -> None:
+    def flush() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
-        if text and "head" not in path:
-            out.append((path, text, linked))
+        if text and "head" not in tokens:
+            out.append(((*tokens, stack[-1][1][-1]) if stack else (), text, linked))
         parts.clear()
         linked = 0
 
-    def path() -> tuple[str, ...]:
-        return tuple(token for _, tokens in stack for token in tokens)
+    def push(tag: str, names: list[str]) -> None:
+        stack.append((tag, tuple(names)))
+        open_tags[tag] += 1
+        tokens.update(names)
+
+    def pop() -> None:
+        tag, names = stack.pop()
+        open_tags[tag] -= 1
+        for name in names:
+            tokens[name] -= 1
+            if not tokens[name]:
+                del tokens[name]
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -89,27 +108,28 @@ def blocks_of(page: str | None) -> list[Block]:
             if tag == "a":
                 links = 0 if token["close"] else 1
             continue
-        flush(path())
+        flush()
         if token["close"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            if open_tags[tag]:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
         elif tag not in VOID and not token["attrs"].endswith("/"):
             if tag in CLOSES_ITSELF and stack and stack[-1][0] == tag:
-                stack.pop()
+                pop()
             names = [tag]
             for found in _NAMES.finditer(token["attrs"]):
                 value = found[1] or found[2] or found[3] or ""
                 names += [f".{word}" for word in re.split(r"[\s_-]+", value.lower()) if word][:6]
-            stack.append((tag, tuple(names)))
-            if tag == "body":
-                stack[:] = [stack[-1]]  # a head left open ends here
+            while tag == "body" and stack:
+                pop()  # a head left open ends here
+            push(tag, names)
     parts.append(page[at:])
-    flush(path())
+    flush()
     return out
 
 
+@lru_cache(100_000)
 def _place(word: str, size: int) -> int:
     return zlib.crc32(word.encode()) % size
 
@@ -126,14 +146,14 @@ def vectors(blocks: list[Block]) -> np.ndarray:
         if path:
             x[k, _place("last:" + path[-1], PATH_SIZE)] = 1.0
         words = _WORD.findall(text)
-        for word in words[:200]:
+        for word in words:
             x[k, PATH_SIZE + _place(word.lower(), WORD_SIZE)] += 1.0
-        x[k, PATH_SIZE : PATH_SIZE + WORD_SIZE] /= max(1, min(200, len(words)))
+        x[k, PATH_SIZE : PATH_SIZE + WORD_SIZE] /= max(1, len(words))
         rest = PATH_SIZE + WORD_SIZE
         x[k, rest] = min(1.0, len(text) / 400)
         x[k, rest + 1] = min(1.0, linked / max(1, len(text)))
         x[k, rest + 2] = k / max(1, len(blocks) - 1)
-        x[k, rest + 3] = sum(c in ".!?" for c in text[:400]) / max(1, len(words[:60]))
+        x[k, rest + 3] = (text.count(".") + text.count("!") + text.count("?")) / max(1, len(words))
         x[k, rest + 4] = 1.0 if len(words) <= 3 else 0.0
         x[k, rest + 5] = 1.0
     return x
