@@ -293,6 +293,13 @@ def test_blocks_of_odd_tags():
     assert path[-1] == "p" and set(path) == {"body", "div", ".x", ".y", ".z", "p"}
 
 
+def test_ends_without_a_sentence_count():
+    assert len(fingerprints.paragraphs("???")) == 1 and len(fingerprints.paragraphs("Hello.\n???\nworld")) == 3
+    whole = "One. Two!? \n ... \n.5 a.b  three\n\n!!! x"
+    assert "".join(fingerprints._PARAGRAPH.findall(whole)).replace(" ", "") == whole.replace(" ", "").replace("\n", "")
+    assert fingerprints.difference(fingerprints.Version("???"), fingerprints.Version(""))[0].size == 1
+
+
 def test_texts_without_a_letter_have_no_language():
     classifier = language_id.Classifier({"xx": [b" some words of a language "], "yy": [b" andere worte "]})
     for text in (None, "", " \n", "123 456", "\u00bd \u00b2", "\u2167", "!? \u2014", "\u0301"):

@@ -35,7 +35,8 @@ PIECE = 160
 BUCKET_ROWS = 20_000
 MAX_BUCKETS = 2_000
 
-_PARAGRAPH = re.compile(rf"(?:[^\n.!?]|[.!?](?=[^\s.!?])){{1,{PIECE}}}[.!?]*")
+# The end of a sentence belongs to it; ends without a sentence stand for themselves. White space around is no part.
+_PARAGRAPH = re.compile(rf"(?:[^\n.!?]|[.!?](?=[^\s.!?])){{1,{PIECE}}}[.!?]*|[.!?]+")
 _U = np.uint64
 _MIXES = np.array([[0xBF58476D1CE4E5B9], [0x94D049BB133111EB], [0xD6E8FEB86659FD95]], np.uint64)
 _PARTS = np.arange(HASHES)[:, None]
