@@ -44,6 +44,8 @@ SKETCH_BITS = 24
 SLICES = 64
 # Bits of a class's parity sketch.
 PARITY_BITS = 1024
+# Rows a worker handles at a time.
+ROWS = 1000
 # So many ids may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -92,6 +94,13 @@ def shingle_set(text: str | None, n: int = N) -> np.ndarray:
     return np.unique(_mixed(made))
 
 
+def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time: sets of a whole batch would need memory for all its texts at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
+
+
 def _texts(batch: pa.RecordBatch, place: int) -> Iterator[str | None]:
     return (t.as_py() for t in batch.column(place))
 
@@ -111,9 +120,9 @@ def sketch_levels(documents: DataFrame, n: int = N, bits: int = SKETCH_BITS) ->
                 np.add.at(counts, (shingle_set(text, n) >> _U(64 - bits)).astype(np.int64), np.uint32(1))
         if counts.any():
             salt = int(counts.sum(dtype=np.int64)) % 64
-            few = np.minimum(counts, 255)
+            np.minimum(counts, 255, out=counts)
             for k in range(SLICES):
-                part = few[k * width : (k + 1) * width]
+                part = counts[k * width : (k + 1) * width]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k], pa.int32()), pa.array([salt], pa.int32()), pa.array([_packed(part, np.uint8)], pa.binary())],
                     ["slice", "salt", "counts"],
@@ -174,7 +183,7 @@ def indexed(documents: DataFrame, levels: np.ndarray, n: int = N, percent: int =
     shift = _U(65 - len(levels).bit_length())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small_batches(batches):
             sizes, keys, prefixes, parities = [], [], [], []
             for text in _texts(batch, 1):
                 found = shingle_set(text, n)
@@ -205,7 +214,7 @@ def class_sets(documents: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame
     asked = plain.join(ids, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi").select("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small_batches(batches):
             found = [s for s in (shingle_set(t, n) for t in _texts(batch, 0)) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_class_key(s) for s in found], pa.binary()), _lists(found)], ["key", "shingles"]
