@@ -19,7 +19,7 @@ FROM m_products
 """
 
 C03 = f"""
-SELECT cart_id, customer_id, session_id, product_id, qty, {stamp('created_at')} AS created_at,
+SELECT cart_id, customer_id, session_id, product_id, qty, {stamp('created_at')} AS created_at, {stamp('created_at')} AS updated_at,
   EXISTS (SELECT 1 FROM m_products p WHERE p.product_id = c.product_id AND p.active AND p.stock >= c.qty) AS available
 FROM m_carts c
 """
