@@ -146,9 +146,9 @@ near AS (
         AND len(list_filter(phrase, lambda w: len(list_filter(around, lambda a: a = w)) < len(list_filter(phrase, lambda p: p = w)))) = 0
         AND around[1:10] <> phrase AND around[2:11] <> phrase AND around[3:12] <> phrase
 )
-SELECT doc_id, coalesce(n_near, 0) AS n_near, coalesce(near_items, []) AS near_items
+SELECT doc_id, coalesce(n_near, 0) AS n_near, coalesce(near_items, '') AS near_items
 FROM docs LEFT JOIN (SELECT row_id, count(DISTINCT k) AS n_near FROM near GROUP BY row_id) USING (row_id)
-LEFT JOIN (SELECT row_id, list(DISTINCT item ORDER BY item) AS near_items FROM near JOIN window_items USING (wid) GROUP BY row_id) USING (row_id)
+LEFT JOIN (SELECT row_id, string_agg(DISTINCT item, ',' ORDER BY item) AS near_items FROM near JOIN window_items USING (wid) GROUP BY row_id) USING (row_id)
 """
 
 # CRC-32 is folded over the bytes of each distinct word, with the table of its 256 remainders.

@@ -71,7 +71,8 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op6_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.near_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.near_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("near_items", F.array_join("near_items", ","))
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
