@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tillspan.llm.common import worker_state
+
 Ranks = dict[bytes, int]
 # A guess: tokens not emitted yet, and the node of the token that has begun in the tree of all tokens. A state has the
 # last token emitted and its guesses, those whose token began first coming first.
@@ -269,16 +271,9 @@ class Encoder(dict):
         return b"".join(self[m[0]] for m in self.pattern.finditer(text))
 
 
-_ENCODERS: dict[tuple[int, str], Encoder] = {}
-
-
 def _encoder(known, pattern: str) -> Encoder:
     """A worker serves several tasks; what it has learnt about pieces stays with it."""
-    key = id(known.value), pattern
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(known.value, pattern)
-    return _ENCODERS[key]
+    return worker_state(f"bpe {pattern}", known.value, lambda: Encoder(known.value, pattern))
 
 
 def little_endian(ids: Iterable[int]) -> bytes:

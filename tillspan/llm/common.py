@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspan.plans.lineage import run_dir
 
+# Operator, what it has learnt from, and what it has learnt.
+_STATE: list[tuple[str, object, object]] = []
+
+
+def worker_state[T](operator: str, source: object, make: Callable[[], T]) -> T:
+    """What a Python worker has learnt for one operator from one source, made if it isn't there.
+
+    Workers serve the tasks of many stages. They keep the state of one operator at a time: whoever comes next makes
+    room first, so that the stages of a pipeline don't add up in a worker's memory.
+    """
+    if not _STATE or _STATE[0][0] != operator or _STATE[0][1] is not source:
+        _STATE.clear()
+        _STATE.append((operator, source, make()))
+    return _STATE[0][2]
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 

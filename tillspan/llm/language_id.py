@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillspan.llm.common import worker_state
+
 # The bound of the sample: texts per language and characters of each. A language's dictionaries stay below
 # SAMPLE_TEXTS * SAMPLE_CHARS characters, whatever the size of the corpus.
 SAMPLE_TEXTS = 256
@@ -114,7 +116,7 @@ def predict(documents: DataFrame, model: Model, columns: list[str] | None = None
     asked = documents.select(*columns, F.col("text").alias("_asked"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier = Classifier(known.value)
+        classifier = worker_state("language", known.value, lambda: Classifier(known.value))
         for batch in batches:
             found = [classifier.predict(t.as_py()) for t in batch.column(len(columns))]
             langs, scores, rejected = zip(*found, strict=True) if found else ((), (), ())
@@ -133,7 +135,7 @@ def keep_known(documents: DataFrame, model: Model) -> DataFrame:
     place = documents.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier = Classifier(known.value)
+        classifier = worker_state("language", known.value, lambda: Classifier(known.value))
         for batch in batches:
             yield batch.filter(pa.array([not classifier.predict(t.as_py())[2] for t in batch.column(place)], pa.bool_()))
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillspan.llm.common import Scratch
+from tillspan.llm.common import Scratch, worker_state
 from tillspan.llm.components import components
 
 # Defaults of the arguments `n` and `percent`: words of a shingle, and the threshold in hundredths.
@@ -96,6 +96,7 @@ def shingle_set(text: str | None, n: int = N) -> np.ndarray:
 
 def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows, few at a time: sets of a whole batch would need memory for all its texts at once."""
+    worker_state("ngrams", None, lambda: None)  # what an operator before has left in this worker goes
     for batch in batches:
         for k in range(0, batch.num_rows, ROWS):
             yield batch.slice(k, ROWS)
@@ -115,7 +116,7 @@ def sketch_levels(documents: DataFrame, n: int = N, bits: int = SKETCH_BITS) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
+        for batch in _small_batches(batches):
             for text in _texts(batch, 0):
                 np.add.at(counts, (shingle_set(text, n) >> _U(64 - bits)).astype(np.int64), np.uint32(1))
         if counts.any():

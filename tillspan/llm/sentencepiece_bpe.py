@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillspan.llm.common import worker_state
+
 BLANK = "▁"
 NEVER = np.iinfo(np.int64).max
 # Characters of words that a worker remembers, twice at most: a young and an old generation.
@@ -347,16 +349,9 @@ class Decoder:
         return "".join(out)
 
 
-_ENCODERS: dict[int, tuple[Encoder, Decoder]] = {}
-
-
 def _tools(known) -> tuple[Encoder, Decoder]:
     """A worker serves several tasks; what it has learnt about words stays with it."""
-    key = id(known.value)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(known.value), Decoder(known.value)
-    return _ENCODERS[key]
+    return worker_state("sentencepiece", known.value, lambda: (Encoder(known.value), Decoder(known.value)))
 
 
 # Texts of a batch are encoded together up to so many characters.
