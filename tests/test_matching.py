@@ -38,3 +38,19 @@ def test_equals_all_pairs(spark):
 def test_repeated_names_are_compared_once(spark):
     df = spark.createDataFrame([("same name",)] * 500, "name string")
     assert rows(name_matches(df, df, 0.3)) == [("same name", "same name", 1.0)]
+
+
+def test_numbered_names_stay_apart(spark):
+    # Every trigram of a number is common; single ones would bring most names together.
+    names = [f"Customer#{k:09d}" for k in range(3000)]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = name_matches(df, df, 0.9)
+    sets = {}
+    for name in names:
+        sets.setdefault(frozenset(grams(name)), []).append(name)
+    want = {(a, b) for one in sets for other in sets if one == other or (
+        abs(len(one) - len(other)) < 2 and len(one & other) / len(one | other) >= 0.9
+    ) for a in sets[one] for b in sets[other]}
+    assert {(r["left_name"], r["right_name"]) for r in found.collect()} == want
+    # Keys are made behind the last estimate the planner has; neither side may go to the driver.
+    assert "SortMergeJoin [count" in found._jdf.queryExecution().executedPlan().toString()
