@@ -219,3 +219,12 @@ def test_stages_keep_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).columns == docs.columns
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_header_texts_are_not_shuffled_with_their_words(spark):
+    rows = [("Released under the MIT License.", 2), ("Licensed under the Apache License, Version 2.0.", 1), ("Licensed to drive", 5)]
+    headers = spark.createDataFrame(rows, "header string, files long")
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license string, template string")
+    scores = licenses.header_scores(headers, templates)
+    assert sorted(r["license"] for r in scores.collect()) == ["Apache-2.0", "MIT"]
+    assert "hashpartitioning(header#" not in scores._jdf.queryExecution().executedPlan().toString()

@@ -99,27 +99,35 @@ def _counted(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.explode(_words(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _text_keys(text: str) -> dict[str, Column]:
+    """96 bits that stand for a header, so that no row with its text is shuffled."""
+    return {f"{text}_key": F.xxhash64(text), f"{text}_check": F.hash(text)}
+
+
 def header_scores(headers: DataFrame, templates: DataFrame, least: float = LEAST) -> DataFrame:
-    """(header, license, score) of every distinct header that some template fits. `headers`: header, files."""
+    """(header_key, header_check, license, score) of every distinct header that some template fits. `headers`: header, files."""
     named = _counted(templates.distinct(), "template", "template")
     vocabulary = named.select("term").distinct()
-    terms = _counted(headers.select("header"), "header", "header").join(F.broadcast(vocabulary), "term")
+    header = list(_text_keys("header"))
+    words = headers.select(*[c.alias(name) for name, c in _text_keys("header").items()], "files", F.explode(_words(F.col("header"))).alias("term"))
+    # Words of no template go before anything is counted; every row of the rest has the files of its header.
+    terms = words.join(F.broadcast(vocabulary), "term").groupBy(*header, "files", "term").agg(F.count(F.lit(1)).alias("tf"))
     total = headers.agg(F.coalesce(F.sum("files"), F.lit(0)).alias("all"))
-    common = terms.join(headers, "header").groupBy("term").agg(F.sum("files").alias("files"))
+    common = terms.groupBy("term").agg(F.sum("files").alias("files"))
     idf = vocabulary.join(common, "term", "left").crossJoin(F.broadcast(total)).select(  # one row
         "term", (F.log((1 + F.col("all")) / (1 + F.coalesce("files", F.lit(0)))) + 1).alias("idf")
     )
     weigh = lambda df: df.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     a, b = weigh(terms), weigh(named)
-    a_norm = a.groupBy("header").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("a_norm"))
+    a_norm = a.groupBy(*header).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("a_norm"))
     b_norm = b.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("b_norm"))
-    dots = a.select("header", "term", "w").join(F.broadcast(b.select("template", "term", F.col("w").alias("v"))), "term")
-    dots = dots.groupBy("header", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    dots = a.select(*header, "term", "w").join(F.broadcast(b.select("template", "term", F.col("w").alias("v"))), "term")
+    dots = dots.groupBy(*header, "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
     score = F.round(F.col("dot") / F.col("a_norm") / F.col("b_norm"), 6)
-    scored = dots.join(a_norm, "header").join(F.broadcast(b_norm), "template").join(F.broadcast(templates), "template")
-    scored = scored.select("header", "license", score.alias("score"))
-    best = scored.groupBy("header").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
-    return best.select("header", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score")).where(
+    scored = dots.join(a_norm, header).join(F.broadcast(b_norm), "template").join(F.broadcast(templates), "template")
+    scored = scored.select(*header, "license", score.alias("score"))
+    best = scored.groupBy(*header).agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
+    return best.select(*header, F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score")).where(
         F.col("score") >= least
     )
 
@@ -198,9 +206,8 @@ def license_scan(files: DataFrame, templates: DataFrame | None = None, least: fl
     found = found.drop("text")
     scratch = Scratch(files.sparkSession, "licenses")
     headers = scratch.save(found.groupBy("header").agg(F.count_if("single").alias("files")))
-    # Headers meet their scores by 96 bits of their text: no row with a header's text is shuffled for that.
-    keys = {"header_key": F.xxhash64("header"), "header_check": F.hash("header")}
-    fitting = scratch.save(header_scores(headers, templates, least).withColumns(keys).drop("header"))
+    fitting = scratch.save(header_scores(headers, templates, least))
+    keys = _text_keys("header")
     scored = found.withColumns({**keys, "length": F.length("header")}).drop("header").join(fitting, list(keys))
     first = F.min(F.struct((-F.col("score")).alias("minus"), "license"))
     length = F.min(F.when(F.col("single"), F.col("length")))
