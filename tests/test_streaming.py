@@ -152,3 +152,21 @@ def test_bases_replace_the_history_before_them(spark, tmp_path):
     # A batch sent again after its base was made finds the base before it.
     logs[0].apply(sent[5], 5)
     assert rows(logs[0].entries(spark)) == rows(logs[1].entries(spark)) and rows(logs[0].current(spark), "product_id", "price") == want
+
+
+def test_the_state_of_a_product_takes_plain_rows():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+    from tillspan.streaming.stock import _alert_processor
+
+    held = {"level": None}
+    state = SimpleNamespace(get=lambda: held["level"], exists=lambda: held["level"] is not None, update=lambda v: held.update(level=v))
+    alerts = _alert_processor()
+    alerts.init(SimpleNamespace(getValueState=lambda *_: state))
+    moves = [Row(period_end=n, product_id=1, delta=d) for n, d in ((3, -4), (1, -3), (2, None))]
+    assert list(alerts.handleInputRows((1,), iter(moves), None)) == []  # not in the table
+    alerts.handleInitialState((1,), Row(product_id=1, stock=10, stock_min=5), None)
+    alerts.handleInitialState((1,), Row(product_id=1, stock=99, stock_min=5), None)  # listed twice
+    assert [tuple(r) for r in alerts.handleInputRows((1,), iter(moves), None)] == [(1, 3, 7, 3, 5)]
+    assert held["level"] == (3, 5)

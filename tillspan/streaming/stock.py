@@ -50,7 +50,7 @@ def stream_low_stock(
         .agg(F.sum("delta").alias("delta"))
         .select("product_id", F.col("w.end").cast("timestamp_ntz").alias("period_end"), "delta")
     )
-    return periods.groupBy("product_id").transformWithStateInPandas(
+    return periods.groupBy("product_id").transformWithState(
         _alert_processor(),
         outputStructType=ALERT_SCHEMA,
         outputMode="Append",
@@ -61,31 +61,36 @@ def stream_low_stock(
 
 def _alert_processor():
     # Made inside a function so that it travels to the workers by value.
-    import pandas as pd
+    from pyspark.sql import Row
     from pyspark.sql.streaming import StatefulProcessor
 
     class Alerts(StatefulProcessor):
+        """Rows as they are: most products have few of them, for which a pandas frame each costs far more."""
+
         def init(self, handle):
             self.level = handle.getValueState("level", "stock bigint, stock_min bigint")
+            self.started = None
 
         def handleInitialState(self, key, initialState, timerValues):
-            first = initialState.iloc[0]
-            if not pd.isna(first["stock"]) and not pd.isna(first["stock_min"]):
-                self.level.update((int(first["stock"]), int(first["stock_min"])))
+            # Rows of a key come together; of a product that is listed twice the first one counts.
+            if key == self.started:
+                return
+            self.started = key
+            if initialState["stock"] is not None and initialState["stock_min"] is not None:
+                self.level.update((initialState["stock"], initialState["stock_min"]))
 
         def handleInputRows(self, key, rows, timerValues):
-            moves = pd.concat(list(rows)).sort_values("period_end")
-            if not self.level.exists():
-                moves, (stock, floor) = moves.iloc[:0], (0, 0)
-            else:
-                stock, floor = self.level.get()
-                self.level.update((int(stock + moves["delta"].sum()), int(floor)))
-            after = stock + moves["delta"].cumsum()
-            before = after - moves["delta"]
-            found = pd.DataFrame(
-                {"product_id": key[0], "period_end": moves["period_end"], "stock_before": before, "stock": after, "stock_min": floor}
-            )
-            yield found[(after <= floor) & (before > floor)]
+            level = self.level.get()
+            if level is None:
+                return
+            stock, floor = level
+            found = []
+            for row in sorted(rows, key=lambda row: row["period_end"]):
+                before, stock = stock, stock + (row["delta"] or 0)
+                if stock <= floor < before:
+                    found.append(Row(product_id=key[0], period_end=row["period_end"], stock_before=before, stock=stock, stock_min=floor))
+            self.level.update((stock, floor))
+            yield from found
 
         def close(self):
             pass
