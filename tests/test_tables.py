@@ -118,3 +118,22 @@ def test_analyze_gives_column_statistics(spark, tmp_path):
     described = spark.sql("DESCRIBE EXTENDED tillspan_products product_id").collect()
     assert {r["info_name"]: r["info_value"] for r in described}["distinct_count"] == "5"
     spark.sql("DROP TABLE tillspan_products")
+
+
+def test_partitions_grow_with_the_files(spark, tmp_path, monkeypatch):
+    from tillspan.plans import session
+
+    names = [f"spark.sql.adaptive.{k}" for k in ("coalescePartitions.initialPartitionNum", "advisoryPartitionSizeInBytes")]
+    before = {name: spark.conf.get(name, None) for name in names}
+    spark.range(1000).repartition(4).write.parquet(f"{tmp_path}/a.parquet")
+    stored = sum(f.stat().st_size for f in tmp_path.glob("a.parquet/*.parquet"))
+    monkeypatch.setattr(session, "STORED_BYTES_PER_PARTITION", 10)
+    try:
+        session.size_merging(spark, [f"{tmp_path}/a.parquet"])
+        assert int(spark.conf.get(names[0])) == -(-stored // 10) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        monkeypatch.setattr(session, "STORED_BYTES_PER_PARTITION", 1 << 30)
+        session.size_merging(spark, [f"{tmp_path}/a.parquet"])
+        assert spark.conf.get(names[0]) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -14,6 +14,7 @@ from tillspan.operators.checkout import Checkout, checkout
 from tillspan.operators.common import order_keys
 from tillspan.functions.dates import instant
 from tillspan.plans.lineage import run_dir
+from tillspan.plans.session import size_merging
 from tillspan.sources.star import AS_OF, star_retail, star_streams
 from tillspan.sources.tables import (
     MONTH,
@@ -284,8 +285,16 @@ ON_FOLDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# Given tables whose size tells how many partitions a shuffle needs.
+GROWING = ("customer", "part", "orders", "lineitem", "events")
+
+
 def _on_tables(build: Callable[[Retail], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: present(build(star_retail(spark, sf_dir)))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        size_merging(spark, [f"{sf_dir}/{name}.parquet" for name in GROWING])
+        return present(build(star_retail(spark, sf_dir)))
+
+    return run
 
 
 def _on_streams(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
