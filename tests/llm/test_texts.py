@@ -305,3 +305,12 @@ def test_texts_without_a_letter_have_no_language():
     for text in (None, "", " \n", "123 456", "\u00bd \u00b2", "\u2167", "!? \u2014", "\u0301"):
         assert classifier.predict(text) == ("und", 0.0, True)
     assert classifier.predict("some words of")[0] != "und"
+
+
+def test_small_batches_hold_the_same_rows():
+    import pyarrow as pa
+
+    from tillspan.llm.common import small_batches
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], ["x"]) for n in (0, 5, 2)]
+    assert [b.column(0).to_pylist() for b in small_batches(iter(batches), 2)] == [[0, 1], [2, 3], [4], [0, 1]]

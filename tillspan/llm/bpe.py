@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tillspan.llm.common import worker_state
+from tillspan.llm.common import small_batches, worker_state
 
 Ranks = dict[bytes, int]
 # A guess: tokens not emitted yet, and the node of the token that has begun in the tree of all tokens. A state has the
@@ -325,7 +325,7 @@ def encode(df: DataFrame, ranks: Ranks, pattern: str, text: str = "text", back:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(known, pattern)
         tokens = sorted(known.value, key=known.value.get)
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = [encoder.encode(t.as_py() or "") for t in batch.column(place)]
             kept = [batch.column(k) for k in range(batch.num_columns) if k != place]
             made = [pa.array(ids, pa.binary())]

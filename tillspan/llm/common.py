@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +24,27 @@ def worker_state[T](operator: str, source: object, make: Callable[[], T]) -> T:
     """
     if not _STATE or _STATE[0][0] != operator or _STATE[0][1] is not source:
         _STATE.clear()
+        _give_back()
         _STATE.append((operator, source, make()))
     return _STATE[0][2]
 
 
+def _give_back() -> None:
+    """What this process has freed goes back to the system, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time: what is made of a whole batch would need memory for all its texts at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
