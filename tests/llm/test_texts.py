@@ -314,3 +314,23 @@ def test_small_batches_hold_the_same_rows():
 
     batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], ["x"]) for n in (0, 5, 2)]
     assert [b.column(0).to_pylist() for b in small_batches(iter(batches), 2)] == [[0, 1], [2, 3], [4], [0, 1]]
+
+
+def test_operators_ask_for_small_batches(spark):
+    import pyarrow as pa
+
+    from tillspan.llm import common, pii
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        ids = spark.range(2500).coalesce(1)
+        pii.mask_pii(ids.selectExpr("id AS doc_id", "'a' AS text"))
+        sizes = ids.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+        assert [r["n"] for r in sizes.collect()] == [1000, 1000, 500]
+        spark.conf.set(name, "300")
+        common.map_batches(ids, lambda batches: batches, "id long")
+        assert spark.conf.get(name) == "300"
+    finally:
+        spark.conf.set(name, before)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tillspan.llm.common import small_batches, worker_state
+from tillspan.llm.common import map_batches, small_batches, worker_state
 
 Ranks = dict[bytes, int]
 # A guess: tokens not emitted yet, and the node of the token that has begun in the tree of all tokens. A state has the
@@ -335,7 +335,7 @@ def encode(df: DataFrame, ranks: Ranks, pattern: str, text: str = "text", back:
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text)
     made = "ids binary" + (f", `{back}` string" if back else "")
-    return df.mapInArrow(work, f"{kept}, {made}" if kept else made)
+    return map_batches(df, work, f"{kept}, {made}" if kept else made)
 
 
 def decode(df: DataFrame, ranks: Ranks, ids: str = "ids", to: str = "decoded") -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillspan.plans.lineage import run_dir
 
@@ -24,12 +25,12 @@ def worker_state[T](operator: str, source: object, make: Callable[[], T]) -> T:
     """
     if not _STATE or _STATE[0][0] != operator or _STATE[0][1] is not source:
         _STATE.clear()
-        _give_back()
+        give_back()
         _STATE.append((operator, source, make()))
     return _STATE[0][2]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """What this process has freed goes back to the system, where the C library can do that."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -38,7 +39,19 @@ def _give_back() -> None:
         trim(0)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+# Rows of a batch that the JVM and a Python worker hand each other.
+BATCH_ROWS = 1000
+
+
+def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """`df.mapInArrow` with BATCH_ROWS rows at a time: JVM and worker both hold the texts of a batch several times over."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(work, schema)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows, few at a time: what is made of a whole batch would need memory for all its texts at once."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillspan.llm.common import worker_state
+from tillspan.llm.common import map_batches, worker_state
 
 # The bound of the sample: texts per language and characters of each. A language's dictionaries stay below
 # SAMPLE_TEXTS * SAMPLE_CHARS characters, whatever the size of the corpus.
@@ -126,7 +126,7 @@ def predict(documents: DataFrame, model: Model, columns: list[str] | None = None
             )
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema.fields[:-1])
-    return asked.mapInArrow(work, f"{kept}, lang_pred string, score double, rejected boolean".removeprefix(", "))
+    return map_batches(asked, work, f"{kept}, lang_pred string, score double, rejected boolean".removeprefix(", "))
 
 
 def keep_known(documents: DataFrame, model: Model) -> DataFrame:
@@ -139,7 +139,7 @@ def keep_known(documents: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([not classifier.predict(t.as_py())[2] for t in batch.column(place)], pa.bool_()))
 
-    return documents.mapInArrow(work, documents.schema)
+    return map_batches(documents, work, documents.schema)
 
 
 def held_out(doc_id):

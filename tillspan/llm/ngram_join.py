@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillspan.llm.common import Scratch, worker_state
+from tillspan.llm.common import Scratch, give_back, map_batches, worker_state
 from tillspan.llm.components import components
 
 # Defaults of the arguments `n` and `percent`: words of a shingle, and the threshold in hundredths.
@@ -100,6 +100,7 @@ def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for k in range(0, batch.num_rows, ROWS):
             yield batch.slice(k, ROWS)
+    give_back()  # the worker may have nothing to do in the stages to come
 
 
 def _texts(batch: pa.RecordBatch, place: int) -> Iterator[str | None]:
@@ -141,7 +142,7 @@ def sketch_levels(documents: DataFrame, n: int = N, bits: int = SKETCH_BITS) ->
         return pa.table({"slice": table["slice"][:1], "salt": table["salt"][:1], "counts": pa.array(made, pa.binary())})
 
     schema = "slice int, salt int, counts binary"
-    parts = documents.select("text").mapInArrow(count, schema)
+    parts = map_batches(documents.select("text"), count, schema)
     parts = parts.groupBy("slice", "salt").applyInArrow(add, schema).groupBy("slice").applyInArrow(level, schema)
     levels = np.zeros(1 << bits, np.uint8)
     for row in parts.select("slice", "counts").toLocalIterator():  # SLICES rows
@@ -200,8 +201,8 @@ def indexed(documents: DataFrame, levels: np.ndarray, n: int = N, percent: int =
             )
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {id_type}, n_shingles long, key binary, prefix array<long>, parity array<long>"
+    return map_batches(
+        documents.select("doc_id", "text"), work, f"doc_id {id_type}, n_shingles long, key binary, prefix array<long>, parity array<long>"
     )
 
 
@@ -221,7 +222,7 @@ def class_sets(documents: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame
                 [pa.array([_class_key(s) for s in found], pa.binary()), _lists(found)], ["key", "shingles"]
             )
 
-    sets = asked.mapInArrow(work, "key binary, shingles array<long>")
+    sets = map_batches(asked, work, "key binary, shingles array<long>")
     # An id may stand for several documents; whatever is not wanted goes here.
     return sets.join(wanted.select("key", "cls"), "key").select("cls", "shingles").dropDuplicates(["cls"])
 

@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillspan.llm.common import map_batches
+
 # Kinds in the order of the contract, then those the method adds.
 KINDS = ("email", "ip", "card", "phone", "iban", "id")
 
@@ -204,7 +206,7 @@ def pii_spans(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
             )
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(work, OUT.format(id=id_type))
+    return map_batches(documents.select("doc_id", "text"), work, OUT.format(id=id_type))
 
 
 def mask_pii(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -217,4 +219,4 @@ def mask_pii(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
             masked = [mask(t, spans_of(t, min_score)) for t in texts]
             yield batch.set_column(place, batch.schema.field(place), pa.array(masked, batch.schema.field(place).type))
 
-    return documents.mapInArrow(work, documents.schema)
+    return map_batches(documents, work, documents.schema)
