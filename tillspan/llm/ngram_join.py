@@ -11,8 +11,10 @@ Set relations spare work:
   are settled by them, without their sets.
 * Every list is first compared with its first entry and with neighbours only. These answers, kept as the differences to
   the first entry, say whether two members of a list are similar without their sets: the common part of x and y is
-  |L| - |Lx union Ly| + |xL intersect yL|, with Lx what L has and x has not, and xL the opposite. Then only lists
-  that still hold more than one component are joined in full, without pairs that are linked already.
+  |L| - |Lx union Ly| + |xL intersect yL|, with Lx what L has and x has not, and xL the opposite. While lists of
+  near copies still hold many more pairs of different components than all lists have entries, pairs drawn from them are
+  compared and components put together. Then only lists that still hold more than one component are joined in full, without pairs that are
+  linked already.
 
 Links are found between classes; groups of copies are never expanded into pairs.
 
@@ -22,7 +24,7 @@ shingle; rows that repeat an id are documents of their own with that id; equal t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log
 
 import numpy as np
@@ -46,6 +48,12 @@ SLICES = 64
 PARITY_BITS = 1024
 # Rows a worker handles at a time.
 ROWS = 1000
+# Pairs are drawn while lists hold so many open pairs for each entry, and from lists where neighbours have put together
+# this share of the entries, so many for each entry and turn; a turn that leaves more than the last share is the last.
+OPEN_PAIRS = 10
+OFTEN = 0.1
+DRAWN = 2
+LEAST_GAIN = 0.9
 # So many ids may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -271,6 +279,37 @@ def _with_differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, cls, n, pos, root) of the lists that hold several components."""
+    labelled = lists.select("token", "y.cls", "y.n", "y.pos").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    labelled = labelled.withColumn("root", F.coalesce("root", "cls"))
+    mixed = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return labelled.join(mixed.select("token"), "token", "left_semi")
+
+
+def _crowded(open_lists: DataFrame, band: Callable[[Column], Column]) -> DataFrame:
+    """(token, open): parts of like size whose entries often are similar, and their pairs of different components."""
+    of_root = open_lists.groupBy("token", band(F.col("n")).alias("band"), "root").agg(F.count(F.lit(1)).cast("double").alias("size"))
+    of_list = of_root.groupBy("token", "band").agg(
+        F.sum("size").alias("all"), F.sum(F.col("size") * F.col("size")).alias("within"), F.count(F.lit(1)).alias("roots")
+    )
+    together = F.col("all") - F.col("roots") >= F.col("all") * OFTEN
+    return of_list.where(together & (F.col("roots") > 1)).select("token", ((F.col("all") * F.col("all") - F.col("within")) / 2).alias("open"))
+
+
+def _drawn(open_lists: DataFrame, turn: int, band: Callable[[Column], Column]) -> DataFrame:
+    """(x, y): a few pairs of every entry of a list with others of like size but another component.
+
+    Every list and turn has an order of its own, and every other turn the sizes are parted elsewhere.
+    """
+    entry = F.struct("cls", "n", "pos", "root")
+    like = band(F.col("n") * (1 + turn % 2 * 0.08)).alias("like")
+    order = Window.partitionBy("token", "like").orderBy(F.xxhash64("cls", "token", F.lit(turn)))
+    others = F.array(*[F.lag(entry, k).over(order) for k in range(1, DRAWN + 1)])
+    drawn = open_lists.withColumn("like", like).select(entry.alias("y"), others.alias("others"))
+    return drawn.select("y", F.explode("others").alias("x")).where(F.col("x.root") != F.col("y.root"))
+
+
 def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes, enough of them to tell every component.
 
@@ -294,18 +333,32 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     pairs = scratch.save(_not_apart(_pairs(near), entries, percent))
     names = entries.select("cls", "key", "doc_id")
     members = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
-    sets = scratch.save(class_sets(documents, names.join(members(pairs), "cls", "left_semi"), n))
-    compared = scratch.save(_with_differences(pairs, sets))
-    common = F.col("a_n") - F.size("only_a")
-    links = compared.where(_reaches(F.col("a_n"), F.col("b_n"), common, percent)).select("a", "b")
-    roots = components(links, scratch)
+    band = lambda size: F.floor(F.log(size) / F.lit(log(100 / percent)) + 1e-9)
+
+    def compare(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The pairs with their differences, and links among them."""
+        sets = scratch.save(class_sets(documents, names.join(members(asked), "cls", "left_semi"), n))
+        compared = scratch.save(_with_differences(asked, sets))
+        common = F.col("a_n") - F.size("only_a")
+        return compared, compared.where(_reaches(F.col("a_n"), F.col("b_n"), common, percent)).select("a", "b")
+
+    compared, links = compare(pairs)
+    open_lists = scratch.save(_open_lists(lists, components(links, scratch)))
+    # A group of near copies may still be in many components: draw other pairs while the join in full would be large.
+    known, entered, turn, before = pairs.select("a", "b"), lists.count(), 0, float("inf")
+    while True:
+        crowded = scratch.save(_crowded(open_lists, band))
+        work = crowded.agg(F.sum("open")).first()[0] or 0.0
+        if work <= OPEN_PAIRS * entered or work > before * LEAST_GAIN:
+            break
+        turn, before = turn + 1, work
+        near = _drawn(open_lists.join(crowded.select("token"), "token", "left_semi"), turn, band).where(_possible("x", "y", percent))
+        drawn = scratch.save(_not_apart(_pairs(near).join(known, ["a", "b"], "left_anti"), entries, percent))
+        links = links.union(compare(drawn)[1])
+        known = known.union(drawn.select("a", "b"))
+        open_lists = scratch.save(_open_lists(lists, components(links, scratch)))
 
     # Lists that still hold several components, in blocks of similar sizes; blocks out of reach are skipped.
-    labelled = lists.select("token", "y.cls", "y.n", "y.pos").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    labelled = labelled.withColumn("root", F.coalesce("root", "cls"))
-    mixed = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_lists = labelled.join(mixed.select("token"), "token", "left_semi")
-    band = lambda size: F.floor(F.log(size) / F.lit(log(100 / percent)) + 1e-9)
     reach = (F.col("n") - F.col("pos")) * (100 + percent) / percent - F.col("n")
     blocks = F.sequence(band(F.col("n")), F.greatest(band(F.greatest(reach, F.lit(1))), band(F.col("n"))))
     # Entries carry their parity sketch, so that pairs of different sets that share a passage don't leave the join.
@@ -316,7 +369,7 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
     fit = _parities_fit(F.col("x.parity"), F.col("y.parity"), F.col("x.n") + F.col("y.n"), percent)
     rest = x.join(y, ["token", "block"]).where(ordered & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", percent) & fit)
-    rest = scratch.save(_pairs(rest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = scratch.save(_pairs(rest).join(known, ["a", "b"], "left_anti"))
 
     # Answers that follow from the differences to a set both have been compared with.
     seen = compared.select(F.col("a").alias("lead"), F.col("a_n").alias("lead_n"), F.col("b").alias("cls"), F.col("only_a").alias("lost"), F.col("only_b").alias("gained"))
