@@ -110,3 +110,29 @@ def test_passages_with_words_put_in(spark):
     assert got == {1: (True, ["7"]), 2: (False, []), 3: (False, []), 4: (False, []), None: (False, [])}
     assert {r["doc_id"] for r in decontaminate.clean(documents, benchmark).collect()} == {1, 3, 4, None}
     assert {r["doc_id"] for r in decontaminate.clean(documents, benchmark, slack=2).collect()} == {3, 4, None}
+
+
+def test_pairs_drawn_from_a_large_group_of_near_copies(spark, monkeypatch):
+    rng = random.Random(21)
+    passage = [f"w{k}" for k in range(150)]
+    # Every other copy is far from all others; the shortest one comes first in the lists and is far, too.
+    rows = [(0, " ".join([f"odd{k}" for k in range(30)] + passage[30:149]))]
+    for k in range(1, 201):
+        words = list(passage)
+        for place in rng.sample(range(150), 1 if k % 2 else 6):
+            words[place] = f"new{k}_{place}"
+        rows.append((k, " ".join(words)))
+    # Turns of drawn pairs from the first open list on.
+    monkeypatch.setattr(ngram_join, "OPEN_PAIRS", 0)
+    turns, drawn = [], ngram_join._drawn
+
+    def counted(open_lists, turn, band):
+        pairs = drawn(open_lists, turn, band)
+        turns.append((open_lists.count(), pairs.count(), pairs.where("x.root = y.root").count()))
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_drawn", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == smallest_ids(rows, 4, 85) and len(got) < 110
+    assert turns and all(0 < made <= ngram_join.DRAWN * entries and same == 0 for entries, made, same in turns)
