@@ -3,6 +3,7 @@
 import random
 import re
 from array import array
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -12,7 +13,7 @@ import corpus_pipeline
 from tests.conftest import SF_DIR
 from tillspan.llm import bpe, decontaminate, language_id, licenses, ngram_join, pii, queries
 from tillspan.llm.common import Scratch
-from tillspan.llm.components import components
+from tillspan.llm.components import components, with_links
 
 SCHEMA = "doc_id long, text string, component_id long, n long, a string"
 
@@ -88,6 +89,41 @@ def test_components_of_chains_and_stars(spark, tmp_path):
     assert roots[0] != roots[1000]
 
 
+def test_rounds_of_components_have_tasks_for_their_links(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long")
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    scratch = Scratch(spark, "test")
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        assert len({r["root"] for r in components(links, scratch).collect()}) == 1
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    tables = Path(scratch.folder.removeprefix("file:"))
+    files = {k: len([*(tables / str(k)).glob("part-*")]) for k in range(1, scratch.count + 1)}
+    # How many links there are is not known before the first table is written.
+    assert files.pop(1) > 1 and set(files.values()) == {1}
+
+
+def test_components_with_later_links(spark):
+    scratch = Scratch(spark, "test")
+    made = lambda links: spark.createDataFrame(links, "a long, b long")
+    roots = components(made([(k, k + 1) for k in range(0, 200, 2)]), scratch)
+    # Links of pairs that are known, of their other ends, of a new node and of new nodes alone.
+    later = [(0, 1), *((k, k + 3) for k in range(0, 100, 2)), (150, 5000), (6000, 6001), (7000, 7000)]
+    found = with_links(roots, made(later), scratch).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r["root"], set()).add(r["node"])
+    chain = set(range(102))
+    pairs = [{k, k + 1} for k in range(102, 200, 2) if k != 150]
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, [chain, {150, 151, 5000}, {6000, 6001}, *pairs]))
+    assert len(found) == 200 + 3 and all(root in nodes for root, nodes in got.items())
+    assert sorted(map(tuple, with_links(roots, made([]), scratch).collect())) == sorted(map(tuple, roots.collect()))
+
+
 def test_decontamination_of_hostile_rows(spark):
     ten = " ".join(f"T{k}" for k in range(10))
     docs = [(1, None), (2, ""), (3, f"...x {ten}, y"), (3, f"...x {ten}, y"), (4, "t0 t1 t2"), (5, "Äb;äb"), (None, f"{ten} {ten}"), (6, "short item here")]

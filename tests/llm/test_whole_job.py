@@ -136,3 +136,12 @@ def test_pairs_drawn_from_a_large_group_of_near_copies(spark, monkeypatch):
     got = {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()}
     assert got == smallest_ids(rows, 4, 85) and len(got) < 110
     assert turns and all(0 < made <= ngram_join.DRAWN * entries and same == 0 for entries, made, same in turns)
+
+
+def test_drawn_pairs_tell_how_many_pairs_a_list_holds(spark):
+    # 120 entries of a list in 60 components, and 80 of another in two.
+    rows = [(1, k, 100, 0, k // 2) for k in range(120)] + [(2, k, 100, 0, k % 2) for k in range(200, 280)]
+    lists = spark.createDataFrame(rows, "token long, cls long, n long, pos int, root long")
+    drawn = ngram_join._drawn(lists, 1, lambda n: n * 0)
+    got = {r["many"]: r["all"] for r in drawn.groupBy((drawn["y.cls"] < 200).alias("many")).agg({"stands_for": "sum"}).toDF("many", "all").collect()}
+    assert abs(got[True] - (120 * 119 // 2 - 60)) < 0.05 * 7080 and abs(got[False] - 40 * 40) < 0.25 * 1600

@@ -13,7 +13,7 @@ Set relations spare work:
   the first entry, say whether two members of a list are similar without their sets: the common part of x and y is
   |L| - |Lx union Ly| + |xL intersect yL|, with Lx what L has and x has not, and xL the opposite. While lists of
   near copies still hold many more pairs of different components than all lists have entries, pairs drawn from them are
-  compared and components put together. Then only lists that still hold more than one component are joined in full, without pairs that are
+  compared and components put together, until few of those drawn fit by size, position and parity. Then only lists that still hold more than one component are joined in full, without pairs that are
   linked already.
 
 Links are found between classes; groups of copies are never expanded into pairs.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillspan.llm.common import Scratch, give_back, map_batches, worker_state
-from tillspan.llm.components import components
+from tillspan.llm.components import components, with_links
 
 # Defaults of the arguments `n` and `percent`: words of a shingle, and the threshold in hundredths.
 N = 4
@@ -48,9 +48,14 @@ SLICES = 64
 PARITY_BITS = 1024
 # Rows a worker handles at a time.
 ROWS = 1000
-# Pairs are drawn while lists hold so many open pairs for each entry, and from lists where neighbours have put together
-# this share of the entries, so many for each entry and turn; a turn that leaves more than the last share is the last.
+# Sets, and rows of list entries or pairs, that one task writes where their number is known.
+SETS_PER_TASK = 1000
+PAIRS_PER_TASK = 20_000
+# Pairs are drawn while lists hold so many open pairs for each entry, as long as those drawn let expect more than so many
+# rows for each entry in the join, and from lists where neighbours have put together this share of the entries, so many
+# for each entry and turn; a turn that leaves more than the last share is the last.
 OPEN_PAIRS = 10
+EXPECTED_ROWS = 1
 OFTEN = 0.1
 DRAWN = 2
 LEAST_GAIN = 0.9
@@ -153,7 +158,7 @@ def sketch_levels(documents: DataFrame, n: int = N, bits: int = SKETCH_BITS) ->
     parts = map_batches(documents.select("text"), count, schema)
     parts = parts.groupBy("slice", "salt").applyInArrow(add, schema).groupBy("slice").applyInArrow(level, schema)
     levels = np.zeros(1 << bits, np.uint8)
-    for row in parts.select("slice", "counts").toLocalIterator():  # SLICES rows
+    for row in parts.select("slice", "counts").collect():  # SLICES rows, one byte a counter
         levels[row["slice"] * width : (row["slice"] + 1) * width] = _unpacked(row["counts"], np.uint8)
     return levels
 
@@ -246,13 +251,14 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return _reaches(F.col(f"{a}.n"), F.col(f"{b}.n"), most, percent)
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    """Distinct pairs of classes with their sizes, smaller class first."""
+def _pairs(joined: DataFrame, *added: str) -> DataFrame:
+    """Distinct pairs of classes with their sizes, smaller class first, and sums of the columns `added`."""
     swap = F.col("x.cls") < F.col("y.cls")
     pick = lambda name, first: F.when(swap == F.lit(first), F.col(f"x.{name}")).otherwise(F.col(f"y.{name}"))
-    return joined.select(
-        pick("cls", True).alias("a"), pick("n", True).alias("a_n"), pick("cls", False).alias("b"), pick("n", False).alias("b_n")
-    ).distinct()
+    pairs = joined.select(
+        pick("cls", True).alias("a"), pick("n", True).alias("a_n"), pick("cls", False).alias("b"), pick("n", False).alias("b_n"), *added
+    )
+    return pairs.groupBy("a", "a_n", "b", "b_n").agg(*[F.sum(c).alias(c) for c in added]) if added else pairs.distinct()
 
 
 def _not_apart(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
@@ -261,7 +267,7 @@ def _not_apart(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(parity.withColumnsRenamed({"cls": "a", "parity": "a_parity"}), "a")
     both = both.join(parity.withColumnsRenamed({"cls": "b", "parity": "b_parity"}), "b")
     near = _parities_fit(F.col("a_parity"), F.col("b_parity"), F.col("a_n") + F.col("b_n"), percent)
-    return both.where(near).select("a", "a_n", "b", "b_n")
+    return both.where(near).select(*pairs.columns)
 
 
 def _parities_fit(a: Column, b: Column, sizes: Column, percent: int) -> Column:
@@ -298,20 +304,22 @@ def _crowded(open_lists: DataFrame, band: Callable[[Column], Column]) -> DataFra
 
 
 def _drawn(open_lists: DataFrame, turn: int, band: Callable[[Column], Column]) -> DataFrame:
-    """(x, y): a few pairs of every entry of a list with others of like size but another component.
+    """(x, y, stands_for): a few pairs of every entry of a list with others of like size but another component.
 
-    Every list and turn has an order of its own, and every other turn the sizes are parted elsewhere.
+    Every list and turn has an order of its own, and every other turn the sizes are parted elsewhere. `stands_for`: the
+    pairs of the entries of like size for each one drawn; summed over those that fit, what a join of them would make.
     """
     entry = F.struct("cls", "n", "pos", "root")
     like = band(F.col("n") * (1 + turn % 2 * 0.08)).alias("like")
     order = Window.partitionBy("token", "like").orderBy(F.xxhash64("cls", "token", F.lit(turn)))
     others = F.array(*[F.lag(entry, k).over(order) for k in range(1, DRAWN + 1)])
-    drawn = open_lists.withColumn("like", like).select(entry.alias("y"), others.alias("others"))
-    return drawn.select("y", F.explode("others").alias("x")).where(F.col("x.root") != F.col("y.root"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("token", "like"))
+    drawn = open_lists.withColumn("like", like).select(entry.alias("y"), others.alias("others"), ((many - 1) / (2 * DRAWN)).alias("stands_for"))
+    return drawn.select("y", F.explode("others").alias("x"), "stands_for").where(F.col("x.root") != F.col("y.root"))
 
 
 def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between classes, enough of them to tell every component.
+    """(node, root) of the classes that have links: the components they make.
 
     `entries`: cls, key, n, doc_id, prefix and parity of every class.
     """
@@ -327,36 +335,51 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
         F.lead("cls").over(by_size).alias("after"),
     )
     lists = scratch.save(lists.where("before IS NOT NULL OR after IS NOT NULL").drop("after"))
+    entered = lists.count()
+
+    def save(rows: DataFrame, at_most: int, a_task: int = PAIRS_PER_TASK) -> DataFrame:
+        """A table of a known number of rows at most, in no more tasks than these need."""
+        return scratch.save(rows.coalesce(max(1, -(-at_most // a_task))))
+
     # First every list against its first entry and each entry against the one before.
     near = lists.where("before IS NOT NULL").select("y", F.explode(F.array("first", "before")).alias("x"))
     near = near.where(_possible("x", "y", percent))
-    pairs = scratch.save(_not_apart(_pairs(near), entries, percent))
+    pairs = save(_not_apart(_pairs(near), entries, percent), 2 * entered)
     names = entries.select("cls", "key", "doc_id")
     members = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
     band = lambda size: F.floor(F.log(size) / F.lit(log(100 / percent)) + 1e-9)
 
-    def compare(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The pairs with their differences, and links among them."""
-        sets = scratch.save(class_sets(documents, names.join(members(asked), "cls", "left_semi"), n))
-        compared = scratch.save(_with_differences(asked, sets))
+    def compared_by_sets(asked: DataFrame, at_most: int) -> DataFrame:
+        """The pairs with their differences."""
+        sets = save(class_sets(documents, names.join(members(asked), "cls", "left_semi"), n), 2 * at_most, SETS_PER_TASK)
+        return _with_differences(asked, sets)
+
+    def similar(compared: DataFrame) -> DataFrame:
         common = F.col("a_n") - F.size("only_a")
-        return compared, compared.where(_reaches(F.col("a_n"), F.col("b_n"), common, percent)).select("a", "b")
+        return compared.where(_reaches(F.col("a_n"), F.col("b_n"), common, percent)).select("a", "b")
 
-    compared, links = compare(pairs)
-    open_lists = scratch.save(_open_lists(lists, components(links, scratch)))
+    count = pairs.count()
+    compared = save(compared_by_sets(pairs, count), count, SETS_PER_TASK)
+    roots = components(similar(compared), scratch, count)
+    open_lists = save(_open_lists(lists, roots), entered)
     # A group of near copies may still be in many components: draw other pairs while the join in full would be large.
-    known, entered, turn, before = pairs.select("a", "b"), lists.count(), 0, float("inf")
+    known, turn, before = pairs.select("a", "b"), 0, float("inf")
     while True:
-        crowded = scratch.save(_crowded(open_lists, band))
+        crowded = save(_crowded(open_lists, band), entered)
         work = crowded.agg(F.sum("open")).first()[0] or 0.0
         if work <= OPEN_PAIRS * entered or work > before * LEAST_GAIN:
             break
         turn, before = turn + 1, work
         near = _drawn(open_lists.join(crowded.select("token"), "token", "left_semi"), turn, band).where(_possible("x", "y", percent))
-        drawn = scratch.save(_not_apart(_pairs(near).join(known, ["a", "b"], "left_anti"), entries, percent))
-        links = links.union(compare(drawn)[1])
+        drawn = _not_apart(_pairs(near, "stands_for").join(known, ["a", "b"], "left_anti"), entries, percent)
+        drawn = save(drawn, DRAWN * entered)
+        count, expected = drawn.agg(F.count("a"), F.sum("stands_for")).first()
+        if (expected or 0.0) <= EXPECTED_ROWS * entered:
+            break  # the other open pairs don't fit either; the join finds that out by itself
+        drawn = drawn.drop("stands_for")
+        roots = with_links(roots, similar(compared_by_sets(drawn, count)), scratch, count)
         known = known.union(drawn.select("a", "b"))
-        open_lists = scratch.save(_open_lists(lists, components(links, scratch)))
+        open_lists = save(_open_lists(lists, roots), entered)
 
     # Lists that still hold several components, in blocks of similar sizes; blocks out of reach are skipped.
     reach = (F.col("n") - F.col("pos")) * (100 + percent) / percent - F.col("n")
@@ -380,14 +403,11 @@ def similar_classes(documents: DataFrame, entries: DataFrame, scratch: Scratch,
     ys = seen.withColumnsRenamed({"cls": "b", "lost": "b_lost", "gained": "b_gained"}).drop("lead_n")
     shared = F.col("lead_n") - F.size(F.array_union("a_lost", "b_lost")) + F.size(F.array_intersect("a_gained", "b_gained"))
     derived = rest.join(xs, "a").join(ys, ["b", "lead"]).select("a", "a_n", "b", "b_n", shared.alias("common"))
-    derived = scratch.save(derived.groupBy("a", "a_n", "b", "b_n").agg(F.max("common").alias("common")))
+    count = rest.count()
+    derived = save(derived.groupBy("a", "a_n", "b", "b_n").agg(F.max("common").alias("common")), count)
     open_pairs = rest.join(derived.select("a", "b"), ["a", "b"], "left_anti")
-    more = scratch.save(class_sets(documents, names.join(members(open_pairs), "cls", "left_semi"), n))
-    direct = _with_differences(open_pairs, more)
-    return (
-        links.union(derived.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("common"), percent)).select("a", "b"))
-        .union(direct.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("a_n") - F.size("only_a"), percent)).select("a", "b"))
-    )
+    derived = derived.where(_reaches(F.col("a_n"), F.col("b_n"), F.col("common"), percent)).select("a", "b")
+    return with_links(roots, derived.union(similar(compared_by_sets(open_pairs, count))), scratch, count)
 
 
 def near_duplicates(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -400,7 +420,7 @@ def near_duplicates(documents: DataFrame, n: int = N, percent: int = PERCENT) ->
     )
     # Short ids for classes; they hold because the table is written.
     classes = scratch.save(classes.withColumn("cls", F.monotonically_increasing_id()))
-    roots = components(similar_classes(documents, classes, scratch, n, percent), scratch)
+    roots = similar_classes(documents, classes, scratch, n, percent)
     labelled = classes.select("cls", "key", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     labelled = labelled.select("key", "doc_id", F.coalesce("root", "cls").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
