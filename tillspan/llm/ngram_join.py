@@ -55,7 +55,7 @@ PAIRS_PER_TASK = 20_000
 # rows for each entry in the join, and from lists where neighbours have put together this share of the entries, so many
 # for each entry and turn; a turn that leaves more than the last share is the last.
 OPEN_PAIRS = 10
-EXPECTED_ROWS = 1
+EXPECTED_ROWS = 0.1
 OFTEN = 0.1
 DRAWN = 2
 LEAST_GAIN = 0.9
