@@ -1,6 +1,7 @@
 """Operators on single texts against brute force, on the smallest tables and on hostile rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from array import array
@@ -166,6 +167,32 @@ def test_bpe_forgets_and_stays_right(ranks, library, monkeypatch, documents):
         assert list(array("I", encoder.encode(text))) == library.encode_ordinary(text)
 
 
+def test_bpe_keeps_only_what_comes_again(ranks, library):
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    draw = random.Random(3)
+    once = sorted({"".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(5000)})
+    text = " ".join(once)
+    assert list(array("I", encoder.encode(text))) == library.encode_ordinary(text)
+    assert len(encoder) < len(once) / 20
+    # States stand for beginnings, which pieces share.
+    assert len(encoder.transducer.steps) < 2 * len(once)
+    for _ in range(2):
+        assert list(array("I", encoder.encode(text))) == library.encode_ordinary(text)
+    assert len(encoder) > len(once) * 0.95
+
+
+def test_workers_give_memory_back_after_each_batch(monkeypatch):
+    from types import SimpleNamespace
+
+    from tillspan.llm import common
+
+    given_back = []
+    monkeypatch.setattr(common, "give_back_freed", lambda: given_back.append(1), raising=False)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name: "1000"))
+    work = common.map_batches(SimpleNamespace(sparkSession=session, mapInArrow=lambda work, schema: work), lambda batches: batches, "x long")
+    assert list(work(iter("abc"))) == ["a", "b", "c"] and len(given_back) == 3
+
+
 @given(st.text(max_size=40), st.integers(1, 5))
 def test_utf8_stream(text, size):
     stream, data = bpe.Utf8Stream(), text.encode()

@@ -34,9 +34,11 @@ Guess = tuple[tuple[int, ...], int]
 State = tuple[int, tuple[Guess, ...]]
 
 MAX_STEPS = 200_000
-MAX_PIECES = 200_000
+MAX_PIECES = 120_000
+# Places for the marks of pieces that came lately, a byte each.
+LATELY = 1 << 20
 # States are made for the first bytes of a piece; what comes later is followed without remembering it.
-DEEP = 6
+DEEP = 4
 MAX_PAIRS = 200_000
 LONG_PIECE = 64
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -239,6 +241,8 @@ class Encoder(dict):
     """Pieces and their tokens as little-endian 32-bit numbers; what is not known yet is computed.
 
     Two generations of pieces are kept: when the young one is full it becomes the old one, so frequent pieces stay.
+    Most pieces of a corpus never come again, so one is kept when it comes a second time. What came lately is told by a
+    byte of its hash; a wrong guess keeps a piece too early or too late, its tokens are the same.
     """
 
     def __init__(self, ranks: Ranks, pattern: str):
@@ -246,10 +250,17 @@ class Encoder(dict):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
         self.old: dict[str, bytes] = {}
+        self.lately = bytearray(LATELY)
 
     def __missing__(self, piece: str) -> bytes:
         packed = self.old.get(piece)
-        return self._keep(piece, self._packed(piece) if packed is None else packed)
+        if packed is None:
+            packed, mark = self._packed(piece), hash(piece)
+            place, mark = mark % LATELY, mark // LATELY & 0xFF
+            if self.lately[place] != mark:
+                self.lately[place] = mark
+                return packed
+        return self._keep(piece, packed)
 
     def _packed(self, piece: str) -> bytes:
         data = piece.encode()

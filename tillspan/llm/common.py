@@ -33,6 +33,11 @@ def worker_state[T](operator: str, source: object, make: Callable[[], T]) -> T:
 def give_back() -> None:
     """What this process has freed goes back to the system, where the C library can do that."""
     gc.collect()
+    give_back_freed()
+
+
+def give_back_freed() -> None:
+    """As `give_back` without a search for garbage; quick enough for every batch."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -44,11 +49,20 @@ BATCH_ROWS = 1000
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
-    """`df.mapInArrow` with BATCH_ROWS rows at a time: JVM and worker both hold the texts of a batch several times over."""
+    """`df.mapInArrow` with BATCH_ROWS rows at a time: JVM and worker both hold the texts of a batch several times over.
+
+    After each batch the worker gives back what it has freed; Arrow and the C library would keep several batches' worth.
+    """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(work, schema)
+
+    def giving_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in work(batches):
+            yield batch
+            give_back_freed()
+
+    return df.mapInArrow(giving_back, schema)
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
