@@ -1,8 +1,11 @@
 import random
+import re
 
 from tests.helpers import rows
 from tillspan.functions.text import trigrams
 from tillspan.operators.matching import name_matches
+from tillspan.plans import joins
+from tillspan.plans.inspect import final_plan
 
 
 def grams(name):
@@ -54,3 +57,24 @@ def test_numbered_names_stay_apart(spark):
     assert {(r["left_name"], r["right_name"]) for r in found.collect()} == want
     # Keys are made behind the last estimate the planner has; neither side may go to the driver.
     assert "SortMergeJoin [count" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_are_never_broadcast(spark, tmp_path, monkeypatch):
+    # A file of names is small; with their trigrams they are many times that.
+    names = [f"Customer#{k:09d}" for k in range(300)] + ["Same name", "same-name", "--", "", None]
+    spark.createDataFrame([(n,) for n in names], "name string").write.parquet(f"{tmp_path}/names")
+    df, none = spark.read.parquet(f"{tmp_path}/names"), spark.createDataFrame([], "name string")
+    for least in (0.9, 0.4):
+        found = {}
+        for most in (joins.MAX_BROADCAST_ROWS, 0):
+            monkeypatch.setattr(joins.checked, "__defaults__", (most,))
+            matches = name_matches(df, df, least)
+            plan = matches._jdf.queryExecution().executedPlan().toString() + final_plan(matches)
+            broadcast = re.findall(r"BroadcastExchange[^\n]*\n(?:[^\n]*\n){0,6}?[^\n]*FileScan parquet \[(.*?)\]", plan)
+            # Only trigrams that were counted, and few of them.
+            assert bool(broadcast) == (most > 0) == ("BroadcastExchange" in plan)
+            assert all(re.sub(r"#\d+L?", "", columns) == "gram,freq" for columns in broadcast)
+            assert "BuildLeft" not in plan
+            found[most] = rows(matches)
+        assert found[0] == found[joins.MAX_BROADCAST_ROWS] and ("Same name", "same-name", 1.0) in found[0]
+        assert not name_matches(none, df, least).collect() and not name_matches(none, none, least).collect()

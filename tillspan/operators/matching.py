@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspan.functions.text import trigrams
+from tillspan.plans.joins import checked
 
 
 # Names meet on so many shared trigrams at once, as long as a name doesn't take more than so many keys for that.
@@ -25,12 +26,13 @@ def name_matches(left: DataFrame, right: DataFrame, min_sim: float = 0.3) -> Dat
     of each name (prefix filtering), so only those are joined on, and common trigrams never meet. The larger name
     of a pair tells how many trigrams that are; with several at once a list of names stays short where every single
     trigram is common, as in numbers. Two names meet at the rarest trigrams their prefixes share, so no pair is
-    produced twice.
+    produced twice. How common trigrams are is counted, and written to shared storage, when the plan is made.
     """
     sides = {"l": _names(left), "r": _names(right)}
     exploded = {s: df.select("name", F.explode("grams").alias("gram")) for s, df in sides.items()}
-    frequency = (
-        exploded["l"].unionByName(exploded["r"]).groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
+    # Written and counted: few are broadcast to the names, many meet them in a shuffle.
+    frequency = checked(
+        exploded["l"].unionByName(exploded["r"]).groupBy("gram").agg(F.count(F.lit(1)).alias("freq")), "trigrams"
     )
     needed = lambda n: F.ceil(n * F.lit(min_sim) - 1e-9).cast("int")
 
@@ -50,8 +52,9 @@ def name_matches(left: DataFrame, right: DataFrame, min_sim: float = 0.3) -> Dat
         return F.slice(grams, F.lit(1), F.least(n - needed(n) + F.col("count"), n))
 
     def keyed(side: str) -> DataFrame:
-        # The trigrams of one name: their number is bounded by the length of the name.
-        ranked = exploded[side].join(frequency, "gram").groupBy("name").agg(
+        # The trigrams of one name: their number is bounded by the length of the name. To the planner a table of names
+        # is as small as its file, without their trigrams: it is never to be broadcast.
+        ranked = exploded[side].hint("merge").join(frequency, "gram").groupBy("name").agg(
             F.array_sort(F.collect_list(F.struct("freq", "gram"))).alias("ranked")
         )
         n = F.col("n")
