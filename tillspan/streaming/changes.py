@@ -103,8 +103,10 @@ class ChangeLog:
         spark.range(1).select(F.lit(base).cast("long").alias("base")).write.mode(mode).parquet(self.complete)
 
     def _last_base(self, spark: SparkSession, before: int | None) -> int:
+        """The last base; before a batch, without the one of the batch right before it. That base is made from what is
+        stored before this batch, again if the other is run again, and must not be read for itself."""
         listed = spark.read.schema("base long").parquet(self.complete)
-        listed = listed if before is None else listed.filter(F.col("base") < before)
+        listed = listed if before is None else listed.filter(F.col("base") < max(before - 1, INITIAL + 1))
         return listed.agg(F.max("base")).collect()[0][0]
 
     def _stored(self, spark: SparkSession, before: int | None) -> DataFrame:
